@@ -9,6 +9,7 @@ from collections.abc import Iterable, Mapping
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Spellings that stand for "no value" in each kind of delivery.
 ORDER_MISSING = ("NULL", "N/A", "-", "")
@@ -50,7 +51,7 @@ _WIDE = "".join(_ONE_TO_ONE)
 _NARROW = "".join(unicodedata.normalize("NFKC", c) for c in _ONE_TO_ONE)
 
 
-@F.arrow_udf("string")
+@F.arrow_udf(T.StringType())
 def _nfkc(values: pa.Array) -> pa.Array:
     return pa.array([v and unicodedata.normalize("NFKC", v) for v in values.to_pylist()], pa.string())
 

@@ -15,6 +15,7 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 @dataclass(frozen=True)
@@ -24,7 +25,7 @@ class FileProfile:
     header: tuple[str, ...]
 
 
-@F.arrow_udf("boolean")
+@F.arrow_udf(T.BooleanType())
 def _is_cp932(values: pa.Array) -> pa.Array:
     def strict(raw):
         if raw is None:
