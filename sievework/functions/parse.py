@@ -71,14 +71,17 @@ def excel_serial_date(c: Column) -> Column:
 
 def parse_amount(c: Column, marks: str = AMOUNT_MARKS, on_error: str = "null") -> Column:
     """Whole currency units: marks dropped, decimals cut off ("1200.0" is 1200)."""
-    number = F.translate(c, marks, "").try_cast("double")
-    return guarded(c, F.when(~F.isnan(number), number.try_cast("bigint")), "amount", on_error)
+    bare = F.translate(c, marks, "") if marks else c
+    number = bare.try_cast("double")
+    whole = F.coalesce(bare.try_cast("bigint"), F.when(~F.isnan(number), number.try_cast("bigint")))
+    return guarded(c, whole, "amount", on_error)
 
 
 def parse_integer(c: Column, marks: str = "", on_error: str = "null") -> Column:
     """Whole number; text with a fractional part other than zero is unreadable."""
-    number = (F.translate(c, marks, "") if marks else c).try_cast("double")
-    whole = F.when(number == F.rint(number), number.try_cast("bigint"))
+    bare = F.translate(c, marks, "") if marks else c
+    number = bare.try_cast("double")
+    whole = F.coalesce(bare.try_cast("bigint"), F.when(number == F.rint(number), number.try_cast("bigint")))
     return guarded(c, whole, "number", on_error)
 
 

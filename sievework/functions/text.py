@@ -7,7 +7,7 @@ import unicodedata
 from collections.abc import Iterable, Mapping
 
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,42 +20,20 @@ ROSTER_MISSING = ("", "-", "N/A", "不明")
 _BLANKS = "".join(map(chr, (0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x1C, 0x1D, 0x1E, 0x1F, 0x20, 0x85,
                             0x1680, 0x2028, 0x2029)))
 
-# Blocks whose members are mostly untouched by NFKC, so that a row built from
-# them needs no trip to a Python worker.  Members that NFKC does change are
-# left out by the rule in _stable_class().
-_STABLE_BLOCKS = ((0x00, 0xFF), (0x3001, 0x3029), (0x3041, 0x3096), (0x30A1, 0x30FC),
-                  (0x3400, 0x4DBF), (0x4E00, 0x9FFF))
-# Full-width ASCII, ideographic and no-break blank, currency signs: one character each after NFKC.
-_ONE_TO_ONE = [chr(c) for c in (*range(0xFF01, 0xFF5F), 0x3000, 0xA0, 0xFFE0, 0xFFE1, 0xFFE2, 0xFFE4, 0xFFE5,
-                                0xFFE6)]
-
-
-def _stable_class() -> str:
-    """Regex class of the characters NFKC leaves alone, plus those translate() handles."""
-    runs: list[list[int]] = []
-    for low, high in _STABLE_BLOCKS:
-        for code in range(low, high + 1):
-            char = chr(code)
-            if unicodedata.normalize("NFKC", char) != char or unicodedata.combining(char):
-                continue
-            if runs and runs[-1][1] == code - 1:
-                runs[-1][1] = code
-            else:
-                runs.append([code, code])
-    spans = "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in runs)
-    return spans + "".join(f"\\x{{{ord(c):X}}}" for c in _ONE_TO_ONE)
-
-
-_NEEDS_PYTHON = f"[^{_stable_class()}]"
-_WIDE = "".join(_ONE_TO_ONE)
-_NARROW = "".join(unicodedata.normalize("NFKC", c) for c in _ONE_TO_ONE)
-
 
 @F.arrow_udf(T.StringType())
-def _nfkc(values: pa.Array) -> pa.Array:
+def _nfkc_values(values: pa.Array) -> pa.Array:
+    if values.null_count == len(values):
+        return values.cast(pa.string())
     return pa.array([v and unicodedata.normalize("NFKC", v) for v in values.to_pylist()], pa.string())
 
 
+# Declared non-deterministic so that Spark computes it once per row.  Otherwise a
+# filter on a parsed value is pushed below the parsing, and the whole chain of
+# normalising and parsing is evaluated a second time inside the filter.
+_nfkc = _nfkc_values.asNondeterministic()
+
+
 def strip(c: Column) -> Column:
     """Remove every kind of blank at both ends; Spark's trim knows only U+0020."""
     return F.btrim(c, F.lit(_BLANKS))
@@ -64,13 +42,11 @@ def strip(c: Column) -> Column:
 def nfkc_strip(c: Column) -> Column:
     """Unicode NFKC, then strip.
 
-    Full-width ASCII and blanks are mapped with ``translate`` inside the JVM.
-    Only values holding any other character that NFKC might change are handed to
-    the Arrow function; for all others the worker sees NULL.
+    ASCII text (as many bytes as characters) is in that form already and stays in
+    the JVM; the Arrow function sees NULL for it.
     """
-    mapped = F.translate(c, _WIDE, _NARROW)
-    hard = F.when(c.rlike(_NEEDS_PYTHON), c)
-    return strip(F.when(hard.isNotNull(), _nfkc(hard)).otherwise(mapped))
+    ascii_only = F.octet_length(c) == F.char_length(c)
+    return strip(F.coalesce(_nfkc(F.when(~ascii_only, c)), c))
 
 
 def missing_to_null(c: Column, tokens: Iterable[str]) -> Column:
@@ -78,8 +54,18 @@ def missing_to_null(c: Column, tokens: Iterable[str]) -> Column:
     return F.when(~c.isin(*tokens), c)
 
 
-def normalise_columns(df, columns: Iterable[str], tokens: Iterable[str] = ()):
-    """nfkc_strip and missing_to_null over the named text columns, in one select."""
+def select_once(df: DataFrame, columns: Iterable[Column | str]) -> DataFrame:
+    """``df.select(columns)`` whose results later filters and projections use as they are.
+
+    Spark moves a filter below a plain select by copying the selected expressions
+    into it; with costly, nested expressions that multiplies the work.  It does not
+    move filters below a generator.
+    """
+    return df.select(F.inline(F.array(F.struct(*columns))))
+
+
+def normalise_columns(df: DataFrame, columns: Iterable[str], tokens: Iterable[str] = ()) -> DataFrame:
+    """nfkc_strip, then missing_to_null, over the named text columns."""
     wanted = set(columns)
     unknown = wanted - set(df.columns)
     if unknown:
@@ -88,8 +74,8 @@ def normalise_columns(df, columns: Iterable[str], tokens: Iterable[str] = ()):
     cleaned = df.select(*[nfkc_strip(F.col(c)).alias(c) if c in wanted else F.col(c) for c in df.columns])
     if not tokens:
         return cleaned
-    return cleaned.select(*[missing_to_null(F.col(c), tokens).alias(c) if c in wanted else F.col(c)
-                            for c in cleaned.columns])
+    return select_once(cleaned, [missing_to_null(F.col(c), tokens).alias(c) if c in wanted else F.col(c)
+                                 for c in cleaned.columns])
 
 
 def zero_pad(c: Column, width: int) -> Column:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sievework.functions.parse import parse_amount, parse_date
-from sievework.functions.text import ORDER_MISSING, normalise_columns
+from sievework.functions.text import ORDER_MISSING, normalise_columns, select_once
 from sievework.operators.dedup import latest_by
 from sievework.operators.order import asc
 from sievework.sinks.contract import enforce_contract
@@ -37,7 +37,7 @@ RAW_COLUMNS = ("order_id", "order_date", "customer_name", "region", "status", "q
 def typed_orders(raw: DataFrame) -> DataFrame:
     """Normalised and typed order rows; text nobody can read stops the job."""
     text = normalise_columns(raw.select(*RAW_COLUMNS), RAW_COLUMNS, ORDER_MISSING)
-    return text.select(
+    return select_once(text, [
         "order_id",
         parse_date(F.col("order_date"), on_error="raise").alias("order_date"),
         "customer_name",
@@ -45,7 +45,7 @@ def typed_orders(raw: DataFrame) -> DataFrame:
         F.lower("status").alias("status"),
         parse_amount(F.col("quantity"), marks="", on_error="raise").cast("int").alias("quantity"),
         parse_amount(F.col("amount"), on_error="raise").alias("amount_jpy"),
-        "ingested_at")
+        "ingested_at"])
 
 
 def usable(orders: DataFrame) -> DataFrame:

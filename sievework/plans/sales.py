@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from sievework.functions.logic import after_date
 from sievework.functions.parse import parse_date, parse_integer, tax_included
-from sievework.functions.text import SALES_MISSING, nfkc_strip, normalise_columns, zero_pad
+from sievework.functions.text import SALES_MISSING, nfkc_strip, normalise_columns, select_once, zero_pad
 from sievework.operators.aggregate import zero_fill
 from sievework.operators.joins import checked_join, resolve_alias
 from sievework.session import scratch_path
@@ -57,12 +57,13 @@ def classify(raw: DataFrame, tax_rate: float = TAX_RATE) -> DataFrame:
     """Typed sales with ``reject_reason``: NULL for usable rows.  No row is dropped."""
     text = normalise_columns(raw, TEXT_COLUMNS, SALES_MISSING)
     amount = parse_integer(F.col("amount"), marks="¥,")
-    typed = text.withColumns({
+    made = {
         "item_cd": zero_pad(F.col("item_cd"), ITEM_CODE_WIDTH),
         "sale_date": parse_date(F.col("sale_date")),
         "qty": parse_integer(F.col("qty")),
         "amount": amount,
-    })
+    }
+    typed = select_once(text, [made[c].alias(c) if c in made else F.col(c) for c in text.columns])
     included = (F.when(F.col("tax_type") == TAX_EXCLUDED, tax_included(F.col("amount"), tax_rate))
                 .otherwise(F.col("amount")))
     missing = [F.when(F.col(c).isNull(), F.lit(c)) for c in ("sale_date", "qty", "amount")]
