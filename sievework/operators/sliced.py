@@ -14,42 +14,40 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.ml.feature import Bucketizer
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sievework.operators.order import SortKey, columns_of
 
-DEFAULT_SLICES = 64
-_ACCURACY = 1000
+_FEWEST, _MOST = 64, 10_000
+_EXACT_IN_DOUBLE = 1 << 53
+
+
+def default_slices(spark: SparkSession) -> int:
+    """Twice the shuffle partitions the session is set up for, within fixed limits."""
+    return min(_MOST, max(_FEWEST, 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
 
 
 def _measure(df: DataFrame, name: str) -> tuple[Column, bool]:
-    """A number that grows with the column, and whether equal numbers mean equal values."""
+    """A double that never falls as the column rises, and whether equal doubles may mean equal values."""
     kind, c = df.schema[name].dataType, F.col(name)
-    if isinstance(kind, T.NumericType):
-        return c, True
-    if isinstance(kind, T.DateType):
-        return F.unix_date(c), True
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(c.cast("timestamp")), True
-    if isinstance(kind, T.StringType):
-        # The first seven bytes as a number sort like the text itself.
-        prefix = F.rpad(F.left(F.hex(F.encode(c, "UTF-8")), F.lit(14)), 14, "0")
-        return F.conv(prefix, 16, 10).cast("bigint"), False
-    raise TypeError(f"cannot slice by {name}: {kind.simpleString()}")
-
-
-def _slot(number: Column, cuts: Sequence) -> Column:
-    """Position among the cut points by nested halving; a value equal to a cut has its own slot."""
-    def descend(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(2 * low)
-        mid = (low + high) // 2
-        cut = F.lit(cuts[mid])
-        return (F.when(number < cut, descend(low, mid)).when(number == cut, F.lit(2 * mid + 1))
-                .otherwise(descend(mid + 1, high)))
-    return descend(0, len(cuts))
+    exact = True
+    if isinstance(kind, T.DecimalType):
+        exact = kind.precision <= 15
+    elif isinstance(kind, T.DateType):
+        c = F.unix_date(c)
+    elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        c = F.unix_micros(c.cast("timestamp"))
+    elif isinstance(kind, T.StringType):
+        # The first six bytes as a number sort like the text itself.
+        prefix = F.rpad(F.left(F.hex(F.encode(c, "UTF-8")), F.lit(12)), 12, "0")
+        c, exact = F.conv(prefix, 16, 10), False
+    elif not isinstance(kind, T.NumericType):
+        raise TypeError(f"cannot slice by {name}: {kind.simpleString()}")
+    # Adding zero makes -0.0 and 0.0 the same number, as they are in a sort.
+    return c.cast("double") + F.lit(0.0), exact
 
 
 @dataclass(frozen=True)
@@ -63,18 +61,23 @@ class _Cuts:
 def _find_cuts(df: DataFrame, order: Sequence[SortKey], slices: int) -> _Cuts:
     """Cut points from one aggregate row: at most ``slices`` numbers per sort column."""
     fractions = [i / slices for i in range(1, slices)]
+    accuracy = max(1000, 5 * slices)
     number, exact = _measure(df, order[0].name)
-    row = df.agg(F.percentile_approx(number, fractions, _ACCURACY).alias("cuts"),
+    row = df.agg(F.percentile_approx(number, fractions, accuracy).alias("cuts"),
+                 F.max(F.abs(number)).alias("largest"),
                  F.count(F.lit(1)).alias("rows"), F.count(number).alias("known")).first()
-    found = row.cuts or []
+    found = [x for x in row.cuts or [] if x == x]
+    exact = exact and (row.largest is None or row.largest < _EXACT_IN_DOUBLE
+                       or isinstance(df.schema[order[0].name].dataType, (T.DoubleType, T.FloatType)))
     heavy = sorted({a for a, b in zip(found, found[1:]) if a == b}) if exact else []
     heavy_null = (row.rows - row.known) * slices > row.rows
     second: list = []
     if (heavy or heavy_null) and len(order) > 1:
         follow, _ = _measure(df, order[1].name)
         crowded = df.filter(_is_heavy(number, heavy, heavy_null))
-        second = crowded.agg(F.percentile_approx(follow, fractions, _ACCURACY).alias("cuts")).first().cuts or []
-    return _Cuts(tuple(sorted(set(found))), tuple(heavy), heavy_null, tuple(sorted(set(second))))
+        second = crowded.agg(F.percentile_approx(follow, fractions, accuracy).alias("cuts")).first().cuts or []
+    return _Cuts(tuple(sorted(set(found))), tuple(heavy), heavy_null,
+                 tuple(sorted({x for x in second if x == x})))
 
 
 def _is_heavy(number: Column, heavy: Sequence, heavy_null: bool) -> Column:
@@ -82,26 +85,39 @@ def _is_heavy(number: Column, heavy: Sequence, heavy_null: bool) -> Column:
     return hit | number.isNull() if heavy_null else hit
 
 
-def _with_slices(df: DataFrame, keys: Sequence[str], order: Sequence[SortKey], slices: int) -> DataFrame:
+def _with_bucket(df: DataFrame, number: Column, cuts: Sequence[float], name: str) -> DataFrame:
+    """Number of the interval [cut, next cut) a value lies in, by binary search."""
+    inner = [c for c in cuts if abs(c) != float("inf")]
+    if not inner:
+        return df.withColumn(name, F.lit(0))
+    splits = [-float("inf"), *inner, float("inf")]
+    source = f"{name}_number"
+    placed = Bucketizer(splits=splits, inputCol=source, outputCol=name, handleInvalid="keep").transform(
+        df.withColumn(source, F.coalesce(number, F.lit(0.0))))
+    return placed.withColumn(name, F.col(name).cast("int")).drop(source)
+
+
+def _directed(key: SortKey, slot: Column) -> Column:
+    """Slot numbers that rise in sort order, missing values at the end the key asks for."""
+    outside = F.lit(1 << 20) if key.nulls_last else F.lit(-(1 << 20))
+    return F.when(F.col(key.name).isNull(), outside).otherwise(-slot if key.descending else slot)
+
+
+def _with_slices(df: DataFrame, keys: Sequence[str], order: Sequence[SortKey], slices: int | None) -> DataFrame:
     """Add the group (_group) and the slice (_lead, _sub), numbered in sort order."""
-    cuts = _find_cuts(df, order, slices)
-    lead_key = order[0]
-    number, _ = _measure(df, lead_key.name)
-    lead = _slot(number, cuts.lead)
-    lead = -lead if lead_key.descending else lead
-    outside = F.lit(1 << 20) if lead_key.nulls_last else F.lit(-(1 << 20))
-    lead = F.when(F.col(lead_key.name).isNull(), outside).otherwise(lead)
+    cuts = _find_cuts(df, order, slices or default_slices(df.sparkSession))
+    number, _ = _measure(df, order[0].name)
+    out = _with_bucket(df, number, cuts.lead, "_bucket")
+    # A heavy value is a cut point, hence the smallest value of its interval.
+    heavy = F.coalesce(number.isin(*cuts.heavy), F.lit(False)) if cuts.heavy else F.lit(False)
+    lead = _directed(order[0], 2 * F.col("_bucket") + F.when(heavy, 0).otherwise(1))
     sub = F.lit(0)
     if cuts.second:
-        follow_key = order[1]
-        follow, _ = _measure(df, follow_key.name)
-        inner = _slot(follow, cuts.second)
-        inner = -inner if follow_key.descending else inner
-        inner_outside = F.lit(1 << 20) if follow_key.nulls_last else F.lit(-(1 << 20))
-        inner = F.when(F.col(follow_key.name).isNull(), inner_outside).otherwise(inner)
-        sub = F.when(_is_heavy(number, cuts.heavy, cuts.heavy_null), inner).otherwise(0)
+        follow, _ = _measure(df, order[1].name)
+        out = _with_bucket(out, follow, cuts.second, "_inner")
+        sub = F.when(_is_heavy(number, cuts.heavy, cuts.heavy_null), _directed(order[1], F.col("_inner"))).otherwise(0)
     group = F.struct(*keys) if keys else F.struct(F.lit(0).alias("all"))
-    return df.withColumns({"_group": group, "_lead": lead, "_sub": sub})
+    return out.withColumns({"_group": group, "_lead": lead, "_sub": sub}).drop("_bucket", "_inner")
 
 
 _HELPERS = ("_group", "_lead", "_sub")
@@ -110,7 +126,7 @@ _BEFORE = (Window.unboundedPreceding, -1)
 
 def with_ranks(df: DataFrame, keys: Sequence[str], order: Sequence[SortKey], *, row_number: str | None = None,
                rank: str | None = None, dense_rank: str | None = None, average_rank: str | None = None,
-               slices: int = DEFAULT_SLICES) -> DataFrame:
+               slices: int | None = None) -> DataFrame:
     """Any of the four ranks of each row within its key.
 
     ``row_number`` follows all sort keys; the other three rank by the first sort
@@ -158,7 +174,7 @@ def with_ranks(df: DataFrame, keys: Sequence[str], order: Sequence[SortKey], *,
 
 
 def with_running_total(df: DataFrame, keys: Sequence[str], order: Sequence[SortKey], value: str, name: str,
-                       slices: int = DEFAULT_SLICES) -> DataFrame:
+                       slices: int | None = None) -> DataFrame:
     """Sum of ``value`` over the rows of the key up to and including this one."""
     sliced = _with_slices(df, keys, order, slices)
     along = Window.partitionBy("_group").orderBy("_lead", "_sub").rowsBetween(*_BEFORE)
@@ -170,7 +186,7 @@ def with_running_total(df: DataFrame, keys: Sequence[str], order: Sequence[SortK
     return sliced.join(summary, list(_HELPERS)).withColumn(name, total).select(*df.columns, name)
 
 
-def _fill(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str], slices: int,
+def _fill(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str], slices: int | None,
           forward: bool) -> DataFrame:
     sort = [SortKey(c) for c in order]
     sliced = _with_slices(df, keys, sort, slices)
@@ -190,19 +206,19 @@ def _fill(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Seq
 
 
 def fill_forward(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str],
-                 slices: int = DEFAULT_SLICES) -> DataFrame:
+                 slices: int | None = None) -> DataFrame:
     """Missing values take the last known value before them; ``order`` is ascending and not null."""
     return _fill(df, keys, order, columns, slices, True)
 
 
 def fill_backward(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str],
-                  slices: int = DEFAULT_SLICES) -> DataFrame:
+                  slices: int | None = None) -> DataFrame:
     """Missing values take the next known value after them."""
     return _fill(df, keys, order, columns, slices, False)
 
 
 def with_neighbour(df: DataFrame, keys: Sequence[str], order: Sequence[str], column: str, name: str, *,
-                   following: bool = False, slices: int = DEFAULT_SLICES) -> DataFrame:
+                   following: bool = False, slices: int | None = None) -> DataFrame:
     """The column's value in the row before (or after) this one; ``order`` is ascending, unique per key."""
     sort = [SortKey(c) for c in order]
     sliced = _with_slices(df, keys, sort, slices)
@@ -218,7 +234,7 @@ def with_neighbour(df: DataFrame, keys: Sequence[str], order: Sequence[str], col
             .select(*df.columns, name))
 
 
-def exact_quantiles(df: DataFrame, column: str, fractions: Sequence[float], slices: int = DEFAULT_SLICES) -> DataFrame:
+def exact_quantiles(df: DataFrame, column: str, fractions: Sequence[float], slices: int | None = None) -> DataFrame:
     """Exact quantiles with linear interpolation: one row (fraction, value) each.
 
     Equal values are counted first.  Slice totals (a bounded handful of rows) tell
@@ -226,9 +242,9 @@ def exact_quantiles(df: DataFrame, column: str, fractions: Sequence[float], slic
     """
     counts = (df.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("_v"))
               .agg(F.count(F.lit(1)).alias("_n")))
-    cuts = _find_cuts(df.select(F.col(column).alias("_v")), [SortKey("_v")], slices)
+    cuts = _find_cuts(df.select(F.col(column).alias("_v")), [SortKey("_v")], slices or default_slices(df.sparkSession))
     number, _ = _measure(counts, "_v")
-    sliced = counts.withColumn("_lead", _slot(number, cuts.lead))
+    sliced = _with_bucket(counts, number, cuts.lead, "_lead")
     totals = sorted((r._lead, r.n) for r in sliced.groupBy("_lead").agg(F.sum("_n").alias("n")).collect())
     whole = sum(n for _, n in totals)
     positions = {f: (whole - 1) * f for f in fractions}
