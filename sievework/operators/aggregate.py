@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sievework.session import through_storage
+
 
 def group(df: DataFrame, keys: Sequence[str], aggregates: Sequence[Column], drop_null_keys: bool = False) -> DataFrame:
     """``groupBy().agg()`` with an explicit policy for missing keys: kept unless told otherwise."""
@@ -37,9 +39,11 @@ def zero_fill(summary: DataFrame, day: str, entities: DataFrame, measures: Seque
     """Put a zero row where an entity has none, over the period the summary covers.
 
     Rows of entities that are not in ``entities`` are kept: a summary total must not
-    change by filling gaps.
+    change by filling gaps.  The summary is needed twice, for its period and its
+    rows, and is written once for that, so the facts below it are read only once.
     """
     keys = [*entities.columns, day]
+    summary = through_storage(summary, "summary")
     bounds = summary.agg(F.min(day).alias("first"), F.max(day).alias("last"))
     grid = calendar_grid(entities, day, bounds.select("first").scalar(), bounds.select("last").scalar(), step)
     zeros = grid.select(*keys, *[F.lit(0).cast(summary.schema[m].dataType).alias(m) for m in measures])
@@ -51,7 +55,8 @@ def zero_fill(summary: DataFrame, day: str, entities: DataFrame, measures: Seque
 def bucket_counts(df: DataFrame, ts: str, step: str, name: str = "bucket", count: str = "n") -> DataFrame:
     """Rows per time bucket, empty buckets between the first and the last included as 0."""
     start = F.window(F.col(ts).cast("timestamp"), step).getField("start")
-    counted = df.filter(F.col(ts).isNotNull()).groupBy(start.alias(name)).agg(F.count(F.lit(1)).alias(count))
+    counted = through_storage(
+        df.filter(F.col(ts).isNotNull()).groupBy(start.alias(name)).agg(F.count(F.lit(1)).alias(count)), "buckets")
     bounds = counted.agg(F.min(name).alias("first"), F.max(name).alias("last"))
     axis = bounds.select(F.explode(F.sequence("first", "last", F.expr(f"interval {step}"))).alias(name))
     stacked = counted.unionByName(axis.withColumn(count, F.lit(0).cast("bigint")))

@@ -11,6 +11,7 @@ from sievework.functions.text import content_key
 from sievework.operators.dedup import latest_by
 from sievework.operators.order import SortKey
 from sievework.operators.sliced import with_neighbour
+from sievework.session import through_storage
 
 
 def apply_changes(snapshot: DataFrame, changes: DataFrame, keys: Sequence[str], sequence: str, kind: str,
@@ -36,6 +37,7 @@ def version_history(log: DataFrame, keys: Sequence[str], stamp: str, attributes:
     marked = with_neighbour(state, keys, [stamp], "_state", "_before")
     changed = (marked.filter(F.col("_before").isNull() | ~F.col("_before").eqNullSafe(F.col("_state")))
                .drop("_before"))
+    changed = through_storage(changed, "versions")
     dated = with_neighbour(changed, keys, [stamp], stamp, "valid_to", following=True)
     return dated.select(
         *keys, *[F.col(f"_state.{a}").alias(a) for a in attributes], F.col(stamp).alias("valid_from"), "valid_to",

@@ -7,6 +7,10 @@ are made from quantiles of the leading sort column.  A value so frequent that it
 fills a slice of its own is cut further by the second sort column.
 
 The cut points only decide how the work is spread; results do not depend on them.
+
+The input is read several times (cut points, summary, rows), each time only in the
+columns needed.  Hand in a stored table; put ``through_storage`` in front of
+anything costly.
 """
 
 from __future__ import annotations

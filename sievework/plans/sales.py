@@ -14,7 +14,8 @@ from sievework.functions.parse import parse_date, parse_integer, tax_included
 from sievework.functions.text import SALES_MISSING, nfkc_strip, normalise_columns, select_once, zero_pad
 from sievework.operators.aggregate import zero_fill
 from sievework.operators.joins import checked_join, resolve_alias
-from sievework.session import scratch_path
+from sievework.session import scratch_path, through_storage
+from sievework.sinks.contract import enforce_contract
 from sievework.sinks.publish import layer_path, replace_partition
 from sievework.sources.registry import SourceSpec, load, sources_for
 
@@ -180,13 +181,24 @@ def run_month(spark: SparkSession, month: str, registry: Iterable[SourceSpec], m
         raise ValueError(f"{month}: joining the masters changed the number of rows: {counts}")
 
     stored = spark.read.schema(fact.schema).parquet(f"{fact_path}/month={month}")
-    by_shop, by_category = summarise(stored, masters.shops)
-    goal = target_rows(stored).agg(F.sum("amount_incl").alias("total")).first().total
-    for table, frame, agreed in (("daily_shop", by_shop, DAILY_SHOP), ("daily_category", by_category, DAILY_CATEGORY)):
-        seen = Observation(table)
-        watched = frame.observe(seen, F.sum("amount_jpy").alias("total"), F.count(F.lit(1)).alias("rows"))
-        replace_partition(watched, layer_path(root, "gold", table), {"month": month}, agreed)
-        if seen.get["total"] != goal:
-            raise ValueError(f"{month}: {table} adds up to {seen.get['total']}, the facts to {goal}")
-        counts[f"{table}_rows"], counts[f"{table}_amount"] = seen.get["rows"], seen.get["total"]
+    targeted = Observation("targeted")
+    target = target_rows(stored).observe(targeted, F.sum("amount_incl").alias("total"))
+    by_category = _staged(daily_by_category(target), "daily_category", DAILY_CATEGORY, counts)
+    by_shop = _staged(daily_by_shop(by_category, masters.shops), "daily_shop", DAILY_SHOP, counts)
+    for table in ("daily_category", "daily_shop"):
+        if counts[f"{table}_amount"] != targeted.get["total"]:
+            raise ValueError(f"{month}: {table} adds up to {counts[f'{table}_amount']}, "
+                             f"the facts to {targeted.get['total']}")
+    for table, summary in (("daily_category", by_category), ("daily_shop", by_shop)):
+        replace_partition(summary, layer_path(root, "gold", table), {"month": month}, stored=True)
     return counts
+
+
+def _staged(summary: DataFrame, table: str, agreed: T.StructType, counts: dict) -> DataFrame:
+    """The summary as agreed, written to the scratch folder; its rows and total are counted on the way."""
+    seen = Observation(table)
+    checked = enforce_contract(summary.select(*agreed.fieldNames()), agreed)
+    watched = checked.observe(seen, F.sum("amount_jpy").alias("total"), F.count(F.lit(1)).alias("rows"))
+    staged = through_storage(watched, table)
+    counts[f"{table}_rows"], counts[f"{table}_amount"] = seen.get["rows"], seen.get["total"]
+    return staged

@@ -65,6 +65,16 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/sievework/{label}-{uuid.uuid4().hex}"
 
 
+def spread_out(df):
+    """Give a small input, stored in fewer pieces than there are cores, to all cores.
+
+    For CPU-bound work on few rows.  An input that is already split into at least as
+    many pieces as there are cores is returned as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def through_storage(df, label: str):
     """Write ``df`` once to the shared folder and read it back.
 

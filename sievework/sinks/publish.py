@@ -68,13 +68,14 @@ def clear_partition(spark: SparkSession, path: str, values: Mapping[str, str], s
 
 
 def replace_partition(df: DataFrame, path: str, values: Mapping[str, str],
-                      agreed: T.StructType | None = None) -> None:
+                      agreed: T.StructType | None = None, stored: bool = False) -> None:
     """Swap in one partition.  ``df`` holds its rows, without the partition columns.
 
     An empty result empties the partition: what the period no longer has must go.
+    ``stored`` says that ``df`` reads finished files already and needs no staging.
     """
     checked = enforce_contract(df, agreed) if agreed is not None else df
-    staged = through_storage(checked, "partition")
+    staged = checked if stored else through_storage(checked, "partition")
     staged.write.mode("overwrite").parquet(_partition_dir(path, values))
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from sievework.functions.text import zero_pad
 from sievework.plans.sales import Masters
+from sievework.session import spread_out
 from sievework.workload.catalog import Tables
 
 
@@ -72,7 +73,7 @@ def order_feed(t: Tables) -> DataFrame:
     A correction raises the amount by 100.  Corrections of low-priority orders carry
     no quantity: those orders are invalid and have to disappear.
     """
-    orders = order_systems(t.orders)
+    orders = order_systems(spread_out(t.orders))
     amount = F.floor("o_totalprice").cast("bigint")
     plain = F.when(F.col("o_custkey") % 10 == 9, _by("system", {"a": F.lit("NULL"), "b": F.lit("N/A"), "c": F.lit("-")})) \
         .otherwise((F.col("o_custkey") % 10).cast("string"))
@@ -112,7 +113,7 @@ def sales_feed(t: Tables) -> DataFrame:
     long_name = F.concat(F.lit("Supplier#"), zero_pad(supplier, 9))
     part = F.col("l_partkey").cast("string")
     test = (F.col("l_tax") == 0.04) & (F.col("l_discount") == 0.05)
-    return t.lineitem.select(
+    return spread_out(t.lineitem).select(
         _by("l_returnflag", {"A": F.date_format("l_shipdate", "y年M月d日"), "N": F.date_format("l_shipdate", "y/M/d"),
                              "R": F.date_format("l_shipdate", "yyyy-MM-dd")}).alias("sale_date"),
         _by("l_returnflag", {"A": F.concat(widen(long_name), F.lit("　")), "N": F.concat(F.lit(" "), long_name),
@@ -197,9 +198,10 @@ def roster_feed(t: Tables) -> DataFrame:
             F.upper(F.concat(F.col("c_name"), F.lit("@example.com"))).alias("mail"),
             F.lit(stamp).alias("updated_on"))
 
-    everyone = rows(t.customer, 0, "2024-04-01")
-    twice = rows(t.customer.filter(segment == "BUILDING"), 0, "2024-04-01")
-    corrected = rows(t.customer.filter(segment == "FURNITURE"), 1000, "2024-04-15")
+    staff = spread_out(t.customer)
+    everyone = rows(staff, 0, "2024-04-01")
+    twice = rows(staff.filter(segment == "BUILDING"), 0, "2024-04-01")
+    corrected = rows(staff.filter(segment == "FURNITURE"), 1000, "2024-04-15")
     return everyone.unionByName(twice).unionByName(corrected)
 
 
@@ -246,7 +248,7 @@ def log_feed(t: Tables) -> DataFrame:
     utc = F.col("event_type").isin("view", "click")
     stamp = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
     local = F.date_format(F.col("ts") + F.expr("interval 9 hours"), stamp)
-    return t.events.select(
+    return spread_out(t.events).select(
         F.when(utc, F.concat(F.date_format("ts", stamp), F.lit("Z"))).otherwise(F.concat(local, F.lit("+09:00"))).alias("ts"),
         _by("event_type", {k: F.lit(v) for k, v in PATHS.items()}).alias("path"),
         _by("event_type", {"view": F.lit("200"), "click": F.lit("302"), "signup": F.lit("201"),

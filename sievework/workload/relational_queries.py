@@ -8,6 +8,7 @@ from sievework.functions import parse, text
 from sievework.operators import aggregate, compare, dedup, history, joins, profile
 from sievework.operators.order import asc, desc
 from sievework.operators.sliced import exact_quantiles, with_neighbour, with_ranks, with_running_total
+from sievework.session import through_storage
 from sievework.workload import feeds
 from sievework.workload.catalog import cents, iso, n_rows, query
 
@@ -370,7 +371,8 @@ query("top_k", lambda t: t.lineitem.orderBy(C("l_extendedprice").desc(), "l_orde
 query("bottom_k", lambda t: t.orders.orderBy("o_totalprice", "o_orderkey").limit(50).select("o_orderkey", "o_totalprice"),
       "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice, o_orderkey LIMIT 50")
 query("previous_day_change",
-      lambda t: with_neighbour(t.orders.groupBy(C("o_orderdate").cast("date").alias("day")).agg(F.sum(cents("o_totalprice")).alias("cents")),
+      lambda t: with_neighbour(through_storage(t.orders.groupBy(C("o_orderdate").cast("date").alias("day"))
+                                               .agg(F.sum(cents("o_totalprice")).alias("cents")), "daily"),
                                [], ["day"], "cents", "before").select(iso("day").alias("day"), (C("cents") - C("before")).alias("change")),
       f"""SELECT CAST(day AS VARCHAR) AS day, cents - lag(cents) OVER (ORDER BY day) AS change FROM (SELECT CAST(o_orderdate AS DATE) AS day,
          {SUM_CENTS('o_totalprice')} AS cents FROM orders GROUP BY 1)""")
@@ -450,9 +452,9 @@ query("profile_candidate_key", lambda t: profile.key_report(t.lineitem, ["l_orde
       """SELECT CAST(sum(n) AS BIGINT) AS rows, count(*) AS keys, count(*) FILTER (n > 1) AS repeated_keys,
          CAST(sum(n - 1) AS BIGINT) AS surplus_rows FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber)""")
 query("profile_lateness",
-      lambda t: exact_quantiles(
+      lambda t: exact_quantiles(through_storage(
           t.lineitem.join(t.orders, C("l_orderkey") == C("o_orderkey")).select(
-              parse.seconds_between(C("o_orderdate"), C("l_shipdate")).alias("late")), "late", [0.5, 0.9, 0.99])
+              parse.seconds_between(C("o_orderdate"), C("l_shipdate")).alias("late")), "lateness"), "late", [0.5, 0.9, 0.99])
       .select("fraction", F.round("value", 3).alias("seconds")),
       " UNION ALL ".join(f"""SELECT CAST({q} AS DOUBLE) AS fraction, round(quantile_cont(CAST(date_diff('second', o_orderdate, l_shipdate)
          AS DOUBLE), {q}), 3) AS seconds FROM lineitem JOIN orders ON l_orderkey = o_orderkey""" for q in (0.5, 0.9, 0.99)))
