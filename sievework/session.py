@@ -72,7 +72,8 @@ def spread_out(df):
     many pieces as there are cores is returned as it is, without a shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    # By hash of the row: spreading round-robin would have to sort the rows first.
+    return df.repartition(cores, *df.columns) if df.rdd.getNumPartitions() < cores else df
 
 
 def through_storage(df, label: str):

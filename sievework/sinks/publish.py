@@ -89,7 +89,9 @@ def replace_partitions(df: DataFrame, path: str, by: Sequence[str], agreed: T.St
     spark = df.sparkSession
     if agreed is not None:
         df = enforce_contract(df.select(*agreed.fieldNames()), agreed)
-    staged = through_storage(df, "partitions")
+    # Rebalancing brings rows of a partition together, so that not every task writes a
+    # file into every partition, and splits partitions that are too large for one task.
+    staged = through_storage(df.hint("rebalance", *[F.col(c) for c in by]), "partitions")
     (staged.write.mode("overwrite").partitionBy(*by)
      .option("partitionOverwriteMode", "dynamic").parquet(path))
     if rerun is not None:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sievework.session import through_storage
 from sievework.sinks.publish import read_table, replace_partitions
 
 WATERMARKS = T.StructType([
@@ -44,9 +45,16 @@ def days_to_rebuild(recent: DataFrame, event_time: str, day: str) -> DataFrame:
 
 
 def rebuild_days(everything: DataFrame, recent: DataFrame, event_time: str, day: str, summarise, path: str) -> None:
-    """Recompute, from all rows, each day that received a row, and swap those days in."""
-    touched = days_to_rebuild(recent, event_time, day)
-    affected = everything.withColumn(day, F.to_date(event_time)).join(touched, day, "left_semi")
+    """Recompute, from all rows, each day that received a row, and swap those days in.
+
+    The first and last of these days limit the scan of ``everything``.
+    """
+    touched = through_storage(days_to_rebuild(recent, event_time, day), "days")
+    span = touched.agg(F.min(day).alias("since"), F.date_add(F.max(day), 1).alias("after")).first()
+    kind = everything.schema[event_time].dataType
+    nearby = everything.filter((F.col(event_time) >= F.lit(span.since).cast(kind))
+                               & (F.col(event_time) < F.lit(span.after).cast(kind)))
+    affected = nearby.withColumn(day, F.to_date(event_time)).join(touched, day, "left_semi")
     replace_partitions(summarise(affected), path, [day])
 
 

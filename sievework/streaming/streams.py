@@ -9,14 +9,15 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from sievework.operators.dedup import latest_by
 from sievework.operators.order import SortKey
-from sievework.sinks.publish import read_table, replace_partition, replace_partitions, upsert
+from sievework.session import through_storage
+from sievework.sinks.publish import read_table, replace_partitions, upsert
 
 
 def open_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None = None) -> DataFrame:
@@ -59,33 +60,42 @@ def sessions(df: DataFrame, ts: str, gap: str, keys: Sequence[str]) -> DataFrame
             .select(F.col("_w.start").alias("session_start"), F.col("_w.end").alias("session_end"), *keys, "n"))
 
 
-def land_batches(path: str) -> Callable[[DataFrame, int], None]:
-    """Sink: each batch in its own partition; a repeated batch replaces itself."""
+def land_batches(path: str, by: Sequence[str] = ()) -> Callable[[DataFrame, int], None]:
+    """Sink: each batch in partitions of its own; a repeated batch replaces itself."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        replace_partition(batch, path, {"batch": str(batch_id)})
+        replace_partitions(batch.withColumn("batch", F.lit(batch_id)), path, [*by, "batch"])
     return write
 
 
 def rebuild_touched_days(landed: str, path: str, ts: str, day: str, keys: Sequence[str],
                          summarise: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
-    """Sink: land the batch, then recompute every day it touches from all landed rows.
+    """Sink: land the batch by day, then recompute every day it touches from all landed rows.
 
     Late rows reach back to the day they belong to.  Rows delivered twice (equal
-    ``keys``) count once.
+    ``keys``) count once.  Only the touched days are read back; their number is
+    bounded by the calendar.
     """
-    land = land_batches(landed)
+    land = land_batches(landed, [day])
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        land(batch, batch_id)
-        stored = spark.read.schema(batch.schema).parquet(landed).withColumn(day, F.to_date(ts))
-        fresh = spark.read.schema(batch.schema).parquet(f"{landed}/batch={batch_id}")
-        touched = fresh.select(F.to_date(ts).alias(day)).distinct()
-        affected = stored.join(touched, day, "left_semi").dropDuplicates(list(keys))
-        replace_partitions(summarise(affected), path, [day])
+        dated = through_storage(batch.withColumn(day, F.to_date(ts)), "batch")
+        touched = [r[0] for r in dated.select(day).distinct().collect()]
+        if not touched:
+            return
+        land(dated, batch_id)
+        layout = dated.schema.add("batch", T.LongType())
+        stored = spark.read.schema(layout).parquet(landed).filter(_one_of(F.col(day), touched)).drop("batch")
+        replace_partitions(summarise(stored.dropDuplicates(list(keys))), path, [day])
     return write
 
 
+def _one_of(c: Column, values: Sequence) -> Column:
+    """Membership that also finds the missing value, if it is among the values."""
+    known = [v for v in values if v is not None]
+    return c.isin(known) | c.isNull() if len(known) < len(values) else c.isin(known)
+
+
 def keep_latest(path: str, keys: Sequence[str], stamp: str, tie_break: Sequence[SortKey],
                 by: Sequence[str]) -> Callable[[DataFrame, int], None]:
     """Sink: the newest row per key over everything seen so far."""

@@ -63,7 +63,7 @@ def test_stream_rebuilds_touched_days_once_per_event(spark, tmp_path):
     run()
     assert published(spark, path) == {"2024-01-01": (2, 6), "2024-01-02": (1, 2)}
     # A batch that is delivered again after a crash leaves the table as it is.
-    sink(spark.read.parquet(f"{tmp_path}/landed/batch=1").drop("batch"), 1)
+    sink(spark.read.parquet(f"{tmp_path}/landed").filter("batch = 1").drop("batch", "day"), 1)
     assert published(spark, path) == {"2024-01-01": (2, 6), "2024-01-02": (1, 2)}
 
 
