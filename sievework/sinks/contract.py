@@ -19,21 +19,25 @@ class ContractError(ValueError):
     """The table is not what was agreed."""
 
 
-def schema_problems(actual: T.StructType, agreed: T.StructType) -> list[str]:
-    """Missing, extra, misplaced and wrongly typed columns, in words."""
+def name_problems(actual: T.StructType, agreed: T.StructType) -> list[str]:
+    """Missing, unexpected and misplaced columns, in words."""
     got, want = actual.fieldNames(), agreed.fieldNames()
     out = [f"missing column {c}" for c in want if c not in got]
     out += [f"unexpected column {c}" for c in got if c not in want]
     if not out and got != want:
         out.append(f"column order {got}, agreed {want}")
-    out += [f"{c}: {actual[c].dataType.simpleString()}, agreed {agreed[c].dataType.simpleString()}"
-            for c in want if c in got and actual[c].dataType != agreed[c].dataType]
     return out
 
 
-def _narrows(source: T.DataType, target: T.DataType) -> bool:
+def type_problems(actual: T.StructType, agreed: T.StructType, any_width: bool = False) -> list[str]:
+    """Columns of another type; with ``any_width``, whole numbers of any size count as one type."""
     whole = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
-    return source == target or (isinstance(source, whole) and isinstance(target, whole))
+
+    def differs(a: T.DataType, b: T.DataType) -> bool:
+        return a != b and not (any_width and isinstance(a, whole) and isinstance(b, whole))
+
+    return [f"{f.name}: {actual[f.name].dataType.simpleString()}, agreed {f.dataType.simpleString()}"
+            for f in agreed.fields if f.name in actual.names and differs(actual[f.name].dataType, f.dataType)]
 
 
 def enforce_contract(df: DataFrame, agreed: T.StructType) -> DataFrame:
@@ -43,9 +47,7 @@ def enforce_contract(df: DataFrame, agreed: T.StructType) -> DataFrame:
     does not fit stops the job); no other type is converted.  Columns agreed to be
     NOT NULL are tested while the data flows, without a pass of their own.
     """
-    problems = [p for p in schema_problems(df.schema, agreed)
-                if not (": " in p and _narrows(df.schema[p.split(": ")[0]].dataType,
-                                               agreed[p.split(": ")[0]].dataType))]
+    problems = name_problems(df.schema, agreed) + type_problems(df.schema, agreed, any_width=True)
     if problems:
         raise ContractError("; ".join(problems))
 
@@ -78,9 +80,7 @@ def check_contract(actual: DataFrame, expected: DataFrame, key: Sequence[str], *
         findings.append(Finding(check, ok, "" if ok else detail, () if ok else tuple(examples)))
         return ok or not fail_fast
 
-    problems = schema_problems(actual.schema, expected.schema)
-    names = [p for p in problems if ": " not in p]
-    types = [p for p in problems if ": " in p]
+    names, types = name_problems(actual.schema, expected.schema), type_problems(actual.schema, expected.schema)
     if not add("columns", not names, "; ".join(names)) or not add("types", not types, "; ".join(types)):
         return findings
     if any(k not in actual.columns for k in key):

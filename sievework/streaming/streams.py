@@ -60,6 +60,11 @@ def sessions(df: DataFrame, ts: str, gap: str, keys: Sequence[str]) -> DataFrame
             .select(F.col("_w.start").alias("session_start"), F.col("_w.end").alias("session_end"), *keys, "n"))
 
 
+def first_deliveries(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Drop rows delivered again within the watermark's lateness; state is bounded by it."""
+    return df.dropDuplicatesWithinWatermark(list(keys))
+
+
 def land_batches(path: str, by: Sequence[str] = ()) -> Callable[[DataFrame, int], None]:
     """Sink: each batch in partitions of its own; a repeated batch replaces itself."""
     def write(batch: DataFrame, batch_id: int) -> None:

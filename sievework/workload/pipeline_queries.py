@@ -438,6 +438,19 @@ query("stream_hourly_windows", _stream_windows,
          HAVING date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""")
 
 
+def _stream_repeats(t):
+    """The stream joined by a second delivery of itself, each event kept once."""
+    path = f"{t.scratch}/once"
+    twice = _event_stream(t).unionByName(_event_stream(t))
+    once = streams.first_deliveries(streams.with_event_time(twice, "ts", "1 hour"), ["event_id"])
+    streams.append_available(once, f"{t.scratch}/progress", path)
+    return t.spark.read.parquet(path).groupBy("event_type").agg(n_rows(), F.countDistinct("event_id").alias("events"))
+
+
+query("stream_drop_repeats", _stream_repeats,
+      "SELECT event_type, count(*) AS n, count(DISTINCT event_id) AS events FROM events GROUP BY event_type")
+
+
 def _stream_sessions(t):
     path = f"{t.scratch}/sessions"
     found = streams.sessions(streams.with_event_time(_event_stream(t), "ts", "1 hour"), "ts", "30 minutes", ["event_type"])

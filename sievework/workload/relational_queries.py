@@ -362,8 +362,8 @@ query("sort_mixed_directions",
       lambda t: t.customer.orderBy(C("c_mktsegment").asc(), C("c_acctbal").desc(), C("c_custkey").asc()).select("c_custkey", "c_mktsegment"),
       "SELECT c_custkey, c_mktsegment FROM customer ORDER BY c_mktsegment, c_acctbal DESC, c_custkey")
 query("sort_nulls_placed",
-      lambda t: feeds.log_feed(t).orderBy(C("user_id").desc_nulls_first(), C("line")).limit(2000).select("line", "user_id"),
-      f"WITH {feeds.LOG_SQL} SELECT line, user_id FROM log ORDER BY user_id DESC NULLS FIRST, line LIMIT 2000")
+      lambda t: feeds.log_feed(t).orderBy(C("user_id").desc_nulls_first(), C("line")).select("line", "user_id"),
+      f"WITH {feeds.LOG_SQL} SELECT line, user_id FROM log ORDER BY user_id DESC NULLS FIRST, line")
 query("top_k", lambda t: t.lineitem.orderBy(C("l_extendedprice").desc(), "l_orderkey", "l_partkey", "l_linenumber").limit(50)
       .select("l_orderkey", "l_partkey", "l_linenumber", "l_extendedprice"),
       """SELECT l_orderkey, l_partkey, l_linenumber, l_extendedprice FROM lineitem
