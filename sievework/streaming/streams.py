@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from sievework.operators.dedup import latest_by
 from sievework.operators.order import SortKey
 from sievework.session import through_storage
-from sievework.sinks.publish import read_table, replace_partitions, upsert
+from sievework.sinks.publish import read_table, replace_partitions
 
 
 def open_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None = None) -> DataFrame:
@@ -102,12 +102,19 @@ def _one_of(c: Column, values: Sequence) -> Column:
 
 
 def keep_latest(path: str, keys: Sequence[str], stamp: str, tie_break: Sequence[SortKey],
-                by: Sequence[str]) -> Callable[[DataFrame, int], None]:
-    """Sink: the newest row per key over everything seen so far."""
+                by: str) -> Callable[[DataFrame, int], None]:
+    """Sink: the newest row per key over everything seen so far.
+
+    ``by`` is a partition column computed from the key, so a key never moves; only
+    the partitions a batch touches are read and rewritten.
+    """
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        newest = latest_by(batch, keys, stamp, tie_break)
-        known = (read_table(spark, path, batch.schema).select(*batch.columns)
-                 .join(newest.select(*keys), list(keys), "left_semi"))
-        upsert(latest_by(newest.unionByName(known), keys, stamp, tie_break), path, keys, by)
+        fresh = through_storage(latest_by(batch, keys, stamp, tie_break), "batch")
+        touched = [r[0] for r in fresh.select(by).distinct().collect()]
+        if not touched:
+            return
+        known = read_table(spark, path, batch.schema).filter(_one_of(F.col(by), touched))
+        merged = fresh.unionByName(known.select(*fresh.columns))
+        replace_partitions(latest_by(merged, keys, stamp, tie_break), path, [by])
     return write

@@ -418,7 +418,7 @@ query("stream_rebuild_days", _stream_days, _BY_DAY)
 def _stream_latest(t):
     path = f"{t.scratch}/latest"
     rows = _event_stream(t).select("user_id", "event_id", "ts", "event_type", (C("user_id") % 8).alias("part"))
-    streams.run_available(rows, f"{t.scratch}/progress", streams.keep_latest(path, ["user_id"], "ts", [asc("event_id")], ["part"]))
+    streams.run_available(rows, f"{t.scratch}/progress", streams.keep_latest(path, ["user_id"], "ts", [asc("event_id")], "part"))
     return t.spark.read.parquet(path).select("user_id", "event_id", "event_type")
 
 

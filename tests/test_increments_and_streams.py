@@ -69,7 +69,7 @@ def test_stream_rebuilds_touched_days_once_per_event(spark, tmp_path):
 
 def test_stream_keeps_the_latest_row_per_key(spark, tmp_path):
     source, path = str(tmp_path / "in"), str(tmp_path / "latest")
-    sink = streams.keep_latest(path, ["k"], "ts", [asc("id")], ["part"])
+    sink = streams.keep_latest(path, ["k"], "ts", [asc("id")], "part")
 
     def run():
         stream = streams.open_stream(spark, source, spark.createDataFrame([], SCHEMA).schema).withColumn("part", F.lit(0))
