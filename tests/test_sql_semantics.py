@@ -1,4 +1,4 @@
-"""Missing values, join conditions and grouping behave as the drills expect."""
+"""Missing values, join conditions and grouping follow SQL."""
 
 import pytest
 from pyspark.sql import functions as F
