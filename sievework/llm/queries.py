@@ -2,13 +2,34 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievework.llm import chat, contamination, quality, sharding
+from sievework.llm import bpe, chat, contamination, jaccard, quality, sharding, token_files, warc
 from sievework.workload.catalog import Tables, query
 
 
+def op1_packed_token_files(t: Tables) -> DataFrame:
+    manifest = token_files.write_token_files(t.documents, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return token_files.read_token_files(manifest)
+
+
+def op2_partenum_jaccard(t: Tables) -> DataFrame:
+    return jaccard.similar_components(t.documents).select("doc_id", "n_shingles", "component_id")
+
+
+def op3_lexicon_bpe(t: Tables) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    decoded = bpe.decode_documents(bpe.encode_documents(t.documents, path), path)
+    return decoded.select("doc_id", F.expr("octet_length(ids) div 4").cast("long").alias("n_tokens"),
+                          F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.encode("text", "UTF-8"), 256).alias("decoded_sha256"))
+
+
+def op4_capture_index(t: Tables) -> DataFrame:
+    return warc.read_captures(warc.write_archives(t.pages))
+
+
 def op10_adaptive_quality(t: Tables) -> DataFrame:
     judged = quality.judge(t.documents, ["doc_id"])
     return judged.select("d.doc_id", *[F.col(f"m.{c}").alias(c) for c in quality.MEASURES], "base_failed", "kept")
@@ -26,6 +47,10 @@ def op7_benchmark_containment(t: Tables) -> DataFrame:
     return contamination.contained_items(t.documents, t.benchmark)
 
 
+query("op1_packed_token_files", op1_packed_token_files, None)
+query("op2_partenum_jaccard", op2_partenum_jaccard, None)
+query("op3_lexicon_bpe", op3_lexicon_bpe, None)
+query("op4_capture_index", op4_capture_index, None)
 query("op5_chat_snapshots", op5_chat_snapshots, None)
 query("op7_benchmark_containment", op7_benchmark_containment, None)
 query("op8_balanced_shards", op8_balanced_shards, None)
