@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievework.llm import bpe, chat, contamination, jaccard, quality, sharding, token_files, warc
+from sievework.llm import bpe, chat, contamination, jaccard, quality, repeats, sharding, token_files, warc
 from sievework.workload.catalog import Tables, query
 
 
@@ -30,6 +30,11 @@ def op4_capture_index(t: Tables) -> DataFrame:
     return warc.read_captures(warc.write_archives(t.pages))
 
 
+def op6_suffix_array_repeats(t: Tables) -> DataFrame:
+    cut = repeats.without_repeats(t.documents, ["doc_id"])
+    return cut.select("d.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_adaptive_quality(t: Tables) -> DataFrame:
     judged = quality.judge(t.documents, ["doc_id"])
     return judged.select("d.doc_id", *[F.col(f"m.{c}").alias(c) for c in quality.MEASURES], "base_failed", "kept")
@@ -52,6 +57,7 @@ query("op2_partenum_jaccard", op2_partenum_jaccard, None)
 query("op3_lexicon_bpe", op3_lexicon_bpe, None)
 query("op4_capture_index", op4_capture_index, None)
 query("op5_chat_snapshots", op5_chat_snapshots, None)
+query("op6_suffix_array_repeats", op6_suffix_array_repeats, None)
 query("op7_benchmark_containment", op7_benchmark_containment, None)
 query("op8_balanced_shards", op8_balanced_shards, None)
 query("op10_adaptive_quality", op10_adaptive_quality, None)
