@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievework.llm import bpe, chat, contamination, jaccard, quality, repeats, sharding, token_files, warc
+from sievework.llm import bpe, chat, contamination, jaccard, licenses, quality, repeats, sharding, token_files, warc
 from sievework.workload.catalog import Tables, query
 
 
@@ -35,6 +35,10 @@ def op6_suffix_array_repeats(t: Tables) -> DataFrame:
     return cut.select("d.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op9_license_dictionaries(t: Tables) -> DataFrame:
+    return licenses.scan_licenses(t.documents)
+
+
 def op10_adaptive_quality(t: Tables) -> DataFrame:
     judged = quality.judge(t.documents, ["doc_id"])
     return judged.select("d.doc_id", *[F.col(f"m.{c}").alias(c) for c in quality.MEASURES], "base_failed", "kept")
@@ -60,4 +64,5 @@ query("op5_chat_snapshots", op5_chat_snapshots, None)
 query("op6_suffix_array_repeats", op6_suffix_array_repeats, None)
 query("op7_benchmark_containment", op7_benchmark_containment, None)
 query("op8_balanced_shards", op8_balanced_shards, None)
+query("op9_license_dictionaries", op9_license_dictionaries, None)
 query("op10_adaptive_quality", op10_adaptive_quality, None)
