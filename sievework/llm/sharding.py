@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from sievework.llm.columns import numbered
 from sievework.session import through_storage
 
-ROUNDS = 3
+ROUNDS = 4
 
 
 def _bucket(c: Column, n: int) -> Column:
@@ -44,7 +44,7 @@ def _quotas(requests: dict[tuple[int, int], int], load: list[int], room: int) ->
     return granted
 
 
-def propagate(nodes: DataFrame, links: DataFrame, shards: int, rounds: int = ROUNDS, slack: float = 0.05) -> DataFrame:
+def propagate(nodes: DataFrame, links: DataFrame, shards: int, rounds: int = ROUNDS, slack: float = 0.25) -> DataFrame:
     """(node, label): labels after ``rounds`` rounds of moves towards the most frequent label among neighbours.
 
     Nodes without links keep their first label.  In each round a node asks for the label that
