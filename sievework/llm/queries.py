@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievework.llm import bpe, chat, contamination, jaccard, licenses, quality, repeats, sharding, token_files, warc
+from sievework.llm import bpe, chat, contamination, jaccard, licenses, oracles, quality, repeats, sharding, token_files, warc
 from sievework.workload.catalog import Tables, query
 
 
@@ -57,12 +57,12 @@ def op7_benchmark_containment(t: Tables) -> DataFrame:
 
 
 query("op1_packed_token_files", op1_packed_token_files, None)
-query("op2_partenum_jaccard", op2_partenum_jaccard, None)
+query("op2_partenum_jaccard", op2_partenum_jaccard, oracles.JACCARD)
 query("op3_lexicon_bpe", op3_lexicon_bpe, None)
 query("op4_capture_index", op4_capture_index, None)
-query("op5_chat_snapshots", op5_chat_snapshots, None)
+query("op5_chat_snapshots", op5_chat_snapshots, oracles.SNAPSHOTS)
 query("op6_suffix_array_repeats", op6_suffix_array_repeats, None)
-query("op7_benchmark_containment", op7_benchmark_containment, None)
+query("op7_benchmark_containment", op7_benchmark_containment, oracles.CONTAINMENT)
 query("op8_balanced_shards", op8_balanced_shards, None)
 query("op9_license_dictionaries", op9_license_dictionaries, None)
-query("op10_adaptive_quality", op10_adaptive_quality, None)
+query("op10_adaptive_quality", op10_adaptive_quality, oracles.QUALITY)
