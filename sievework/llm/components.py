@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievework.session import through_storage
+from sievework.llm.scratch import Scratch
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -34,10 +34,12 @@ def connected_components(links: DataFrame) -> DataFrame:
     rounds grows with the logarithm of the longest path.  Minima are combined before they are shuffled and a
     node with many links is one side of a join that Spark can split.
     """
-    edges = through_storage(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+    scratch = Scratch(links.sparkSession)
+    edges = links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    edges = scratch.store(edges, "edges")
     before = _state(edges)
     while before[0]:
-        edges = through_storage(_small_star(_large_star(edges)), "edges")
+        edges = scratch.store(_small_star(_large_star(edges)), "edges", replace=True)
         now = _state(edges)
         if now == before:
             break

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sievework.llm.components import connected_components
+from sievework.llm.scratch import Scratch
 from sievework.llm.units import pieces
 from sievework.session import through_storage
 
@@ -33,8 +34,9 @@ FIRST_BAND = 64
 #: Shingles per partition of the largest sets of a band; fewer if some set fills too few partitions.
 FILL = 1.9
 #: Signatures shared by more components than this, or by more sets than its square, are ordered last.
-FREQUENT = 8
-STAR_ROUNDS = 4
+FREQUENT = 16
+#: Rounds of comparisons with one centre per group; they end earlier if all pairs left are at most so many per row.
+STAR_ROUNDS, PAIRS_PER_ROW = 6, 4
 BINS = 64
 
 _RNG = np.random.default_rng(20240229)
@@ -232,20 +234,18 @@ class _Join:
     """The state of one self-join: facts of all rows, links found, pairs already compared."""
 
     def __init__(self, docs: DataFrame):
-        self.docs, self.fill = docs, FILL
-        self.facts = through_storage(_facts(docs, self.fill, "prefix"), "set-facts")
+        self.docs, self.fill, self.scratch = docs, FILL, Scratch(docs.sparkSession)
+        self.facts = self.scratch.store(_facts(docs, self.fill, "prefix"), "set-facts")
         while not self.facts.where("short").isEmpty():  # a set fills too few partitions: halve the partitions' size
             self.fill /= 2
             if self.fill < 0.01:
                 raise RuntimeError("shingle hashes are not spread evenly")
-            self.facts = through_storage(_facts(docs, self.fill, "prefix"), "set-facts")
+            self.facts = self.scratch.store(_facts(docs, self.fill, "prefix"), "set-facts", replace=True)
         light = self.facts.where("n > 0").select("node", "n", "fp1", "fp2")
         groups = light.groupBy("n", "fp1", "fp2").agg(F.min("node").alias("b"), F.count(F.lit(1)).alias("c")).where("c > 1")
-        self.copies = through_storage(light.join(groups, ["n", "fp1", "fp2"]).where("node <> b")
-                                      .select(F.col("node").alias("a"), "b"), "equal-sets")
-        self.links = self.copies
-        self.tested = None
-        self.roots = None
+        self.copies = self.scratch.store(light.join(groups, ["n", "fp1", "fp2"]).where("node <> b")
+                                         .select(F.col("node").alias("a"), "b"), "equal-sets")
+        self.links, self.tested, self.roots = self.copies, None, None
 
     def prefix_rows(self) -> DataFrame:
         return self.facts.select("node", F.explode("sigs").alias("sig"))
@@ -254,78 +254,102 @@ class _Join:
         """Of equal sets one row is enough."""
         return rows.join(self.copies.select(F.col("a").alias("node")), "node", "left_anti")
 
+    def with_components(self, rows: DataFrame) -> DataFrame:
+        if self.roots is None:
+            return rows.withColumn("comp", F.col("node"))
+        return rows.join(self.roots, "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root")
+
     def unresolved(self, rows: DataFrame) -> DataFrame:
         """Rows (node, sig, comp) of signatures that more than one component has."""
-        if self.roots is None:
-            known = rows.withColumn("comp", F.col("node"))
-        else:
-            known = rows.join(self.roots, "node", "left").select("node", "sig", F.coalesce("root", "node").alias("comp"))
-        mixed_sigs = known.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("sig")
-        return through_storage(known.join(mixed_sigs, "sig", "left_semi").select("node", "sig", "comp"), "unresolved")
+        known = self.with_components(rows.select("node", "sig"))
+        several = known.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("sig")
+        return self.scratch.store(known.join(several, "sig", "left_semi").select("node", "sig", "comp"), "unresolved", replace=True)
+
+    def sets_of(self, nodes: DataFrame, kind: str) -> DataFrame:
+        """``_facts`` of this kind for the given nodes, computed anew from their texts."""
+        key = F.coalesce(F.col("doc_id"), F.lit(-1)).alias("key")
+        wanted = self.scratch.store(nodes.join(self.facts, "node").select("node", key, "fp1", "fp2"), "wanted")
+        texts = self.docs.withColumn("key", key).join(wanted.select("key").distinct(), "key", "left_semi").drop("key")
+        found = _facts(texts, self.fill, kind).withColumn("key", key).drop("node", "doc_id")
+        unique = ["key", "fp1", "fp2", *(["inst"] if kind == "all" else [])]
+        loaded = wanted.join(found.dropDuplicates(unique), ["key", "fp1", "fp2"]).drop("key", "fp1", "fp2")
+        loaded = self.scratch.store(loaded, kind)
+        self.scratch.drop("wanted")
+        return loaded
 
     def compare(self, pairs: DataFrame) -> bool:
         """Compare the pairs (a, b) not compared before, and join the components of those that are similar."""
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         if self.tested is not None:
             pairs = pairs.join(self.tested, ["a", "b"], "left_anti")
-        pairs = through_storage(pairs, "pairs")
+        pairs = self.scratch.store(pairs, "pairs")
         if pairs.isEmpty():
             return False
         self.tested = pairs if self.tested is None else self.tested.unionByName(pairs)
         side = lambda x: self.facts.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("bins").alias(f"bins_{x}"))
         sized = (pairs.join(side("a"), "a").join(side("b"), "b")
                  .where("4 * least(n_a, n_b) >= 3 * greatest(n_a, n_b)").withColumn("total", F.col("n_a") + F.col("n_b")))
-        near = through_storage(_near_sizes(sized), "near-pairs")
-        nodes = near.select(F.col("a").alias("node")).unionByName(near.select(F.col("b").alias("node"))).distinct()
-        wanted = through_storage(nodes.join(self.facts.select("node", "doc_id", "fp1", "fp2"), "node"), "wanted-sets")
-        key = lambda df: df.withColumn("key", F.coalesce(F.col("doc_id"), F.lit(-1)))
-        texts = key(self.docs).join(key(wanted).select("key").distinct(), "key", "left_semi").drop("key")
-        sets = key(_facts(texts, self.fill, "set")).dropDuplicates(["key", "fp1", "fp2"]).drop("doc_id")
-        sets = through_storage(key(wanted).join(sets, ["key", "fp1", "fp2"]).select("node", "items"), "sets")
+        near = self.scratch.store(_near_sizes(sized), "near-pairs")
+        if near.isEmpty():
+            return True
+        sets = self.sets_of(near.select(F.col("a").alias("node")).unionByName(near.select(F.col("b").alias("node"))).distinct(), "set")
         loaded = (near.join(sets.select(F.col("node").alias("a"), F.col("items").alias("set_a")), "a")
                   .join(sets.select(F.col("node").alias("b"), F.col("items").alias("set_b")), "b"))
-        found = through_storage(_similar(loaded), "links")
-        if found.isEmpty():
-            return True
-        self.links = self.links.unionByName(found)
-        self.roots = through_storage(connected_components(self.links), "roots")
+        found = self.scratch.store(_similar(loaded), "links")
+        self.scratch.drop("set", "near-pairs")
+        if not found.isEmpty():
+            self.links = self.links.unionByName(found)
+            self.join_links()
         return True
 
+    def join_links(self) -> None:
+        self.roots = self.scratch.store(connected_components(self.links), "roots", replace=True)
+
     def stars(self, rows: DataFrame) -> DataFrame:
-        """Compare every member of a signature's group with one centre, a few times; returns what is left."""
+        """Compare every member of a signature's group with one centre, until comparing all that is left costs little more.
+
+        Returns the unresolved rows.
+        """
         left = self.unresolved(rows)
         for k in range(STAR_ROUNDS):
+            per_comp = left.groupBy("sig", "comp").agg(F.count(F.lit(1)).alias("n"))
+            sums = per_comp.groupBy("sig").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("q"))
+            work = sums.agg(F.sum("n").alias("rows"), F.sum((F.col("n") * F.col("n") - F.col("q")) / 2).alias("pairs")).first()
+            if work["rows"] is None or k and work["pairs"] <= PAIRS_PER_ROW * work["rows"]:
+                break
             order = F.struct(F.xxhash64("node", F.lit(k)).alias("h"), F.col("node"), F.col("comp"))
             centre = left.groupBy("sig").agg(F.min(order).alias("centre"))
             pairs = (left.join(centre, "sig").where("comp <> centre.comp")
                      .select(F.col("node").alias("a"), F.col("centre.node").alias("b")))
             if not self.compare(pairs):
                 break
-            left = self.unresolved(left.select("node", "sig"))
+            left = self.unresolved(left)
         return left
 
     def shared(self, rows: DataFrame) -> DataFrame:
         """Rows (node, sig) whose signature at least two rows have."""
         counts = rows.groupBy("sig").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("sig")
-        return through_storage(self.without_copies(rows.join(counts, "sig", "left_semi").select("node", "sig")), "shared-signatures")
+        found = self.without_copies(rows.join(counts, "sig", "left_semi").select("node", "sig"))
+        return self.scratch.store(found, "shared-signatures")
 
     def run(self) -> None:
-        if self.copies.isEmpty() is False:
-            self.roots = through_storage(connected_components(self.links), "roots")
+        if not self.copies.isEmpty():
+            self.join_links()
         left = self.stars(self.shared(self.prefix_rows()))
+        self.scratch.drop("shared-signatures")
         frequent = self._frequent(left)
         if not frequent.isEmpty():
             left = self._reordered(left, frequent)
         # What is left is compared across components: rare signatures, or sets made of frequent ones.
         other = left.select("sig", F.col("node").alias("b"), F.col("comp").alias("other"))
         self.compare(left.join(other, "sig").where("comp < other").select(F.col("node").alias("a"), "b"))
+        self.scratch.drop("unresolved", "pairs", "frequent", "shared-signatures", "all", "concerned")
 
-    @staticmethod
-    def _frequent(left: DataFrame) -> DataFrame:
-        """Signatures of more than 8 components, or of more than 64 sets in several."""
-        counts = (left.groupBy("sig", "comp").agg(F.count(F.lit(1)).alias("n"))
+    def _frequent(self, rows: DataFrame) -> DataFrame:
+        """Signatures of more than 16 components, or of more than 256 sets in several; ``rows`` has sig and comp."""
+        counts = (rows.groupBy("sig", "comp").agg(F.count(F.lit(1)).alias("n"))
                   .groupBy("sig").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("n")))
-        return through_storage(counts.where((F.col("c") > FREQUENT) | (F.col("n") > FREQUENT ** 2)).select("sig"), "frequent")
+        return self.scratch.store(counts.where((F.col("c") > FREQUENT) | (F.col("c") > 1) & (F.col("n") > FREQUENT ** 2)).select("sig"), "frequent")
 
     def _reordered(self, left: DataFrame, frequent: DataFrame) -> DataFrame:
         """Unresolved rows after the frequent signatures have moved to the end of the order.
@@ -333,37 +357,36 @@ class _Join:
         Sets with a frequent signature among their first ones are loaded with all signatures.  These can
         make further signatures frequent and so concern more sets; this is repeated until none is added.
         """
-        prefixes, concerned, n_before = self.prefix_rows(), None, -1
+        prefixes, concerned, full, fresh = self.prefix_rows(), None, None, frequent
         while True:
-            now = prefixes.join(frequent, "sig", "left_semi").select("node").distinct()
-            now = through_storage(self.without_copies(now), "concerned")
-            n = now.count()
-            if n == n_before:
+            hit = self.without_copies(prefixes.join(fresh, "sig", "left_semi").select("node").distinct())
+            new = self.scratch.store(hit if concerned is None else hit.join(concerned, "node", "left_anti"), "concerned")
+            if new.isEmpty():
+                break
+            added = self.sets_of(new, "all")
+            concerned = new if concerned is None else concerned.unionByName(new)
+            full = added if full is None else full.unionByName(added)
+            # Of the signatures of the added sets: how many components have them among all sets loaded and all first signatures.
+            known = full.select("node", F.explode("sigs").alias("sig")).unionByName(
+                self.without_copies(prefixes.join(concerned, "node", "left_anti").select("node", "sig")))
+            known = known.join(added.select(F.explode("sigs").alias("sig")).distinct(), "sig", "left_semi")
+            fresh = self._frequent(self.with_components(known)).join(frequent, "sig", "left_anti")
+            fresh = self.scratch.store(fresh, "frequent")
+            if fresh.isEmpty():
                 break
-            concerned, n_before = now, n
-            where = concerned.join(self.facts.select("node", "doc_id", "fp1", "fp2"), "node")
-            key = lambda df: df.withColumn("key", F.coalesce(F.col("doc_id"), F.lit(-1)))
-            where = through_storage(key(where), "concerned-documents")
-            texts = key(self.docs).join(where.select("key").distinct(), "key", "left_semi").drop("key")
-            full = (key(_facts(texts, self.fill, "all")).drop("node", "doc_id").dropDuplicates(["key", "fp1", "fp2", "inst"])
-                    .join(where, ["key", "fp1", "fp2"]).select("node", "inst", "k", "sigs"))
-            full = through_storage(full, "all-signatures")
-            every = through_storage(full.select("node", "inst", "k", F.explode("sigs").alias("sig")), "concerned-signatures")
-            rest = self.without_copies(prefixes.join(concerned, "node", "left_anti").select("node", "sig"))
-            rest = through_storage(rest.join(every.select("sig").distinct(), "sig", "left_semi"), "met-signatures")
-            known = every.select("node", "sig").unionByName(rest.select("node", "sig"))
-            comps = known if self.roots is None else known.join(self.roots, "node", "left").select(
-                "sig", F.coalesce("root", "node").alias("node"))
-            counts = comps.select("sig", F.col("node").alias("comp")).distinct().groupBy("sig").agg(F.count(F.lit(1)).alias("c"))
-            more = counts.where(F.col("c") > FREQUENT).select("sig")
-            frequent = through_storage(frequent.unionByName(more).distinct(), "frequent")
-        flagged = every.join(frequent.withColumn("late", F.lit(1)), "sig", "left").fillna(0, ["late"])
+            frequent = frequent.unionByName(fresh)
+        every = full.select("node", "inst", "k", F.explode("sigs").alias("sig"))
+        flagged = every.join(frequent.distinct().withColumn("late", F.lit(1)), "sig", "left").fillna(0, ["late"])
         ranked = flagged.groupBy("node", "inst", "k").agg(F.sort_array(F.collect_list(F.struct("late", "sig"))).alias("o"))
         # One row per set and band: as many entries as the set has partitions.
         first = ranked.select("node", F.explode(F.slice("o", F.lit(1), F.col("k") + 1)).alias("o")).select("node", F.col("o.sig").alias("sig"))
-        rows = first.unionByName(rest.select("node", "sig"))
-        kept = left.select("node", "sig").join(concerned, "node", "left_anti").join(frequent, "sig", "left_anti")
-        return self.stars(self.shared(rows.unionByName(kept).distinct()))
+        first = self.scratch.store(first, "first")
+        others = prefixes.join(concerned, "node", "left_anti").select("node", "sig")
+        met = others.join(first.select("sig").distinct(), "sig", "left_semi").select("node", "sig")
+        kept = left.join(concerned, "node", "left_anti").select("node", "sig")
+        rows = self.shared(first.unionByName(met).unionByName(kept).distinct())
+        self.scratch.drop("first", "all")
+        return self.stars(rows)
 
 
 def similar_components(docs: DataFrame) -> DataFrame:
