@@ -215,3 +215,20 @@ def test_licenses(spark, edge, none):
     assert (got[1].license, got[1].exact, got[1].words_missing, got[1].words_added) == ("MIT", False, 4, 3)
     assert got[1].start == len(long) and got[1].differences == "-free -of -charge +for +a +fee -sublicense"
     assert got[3].license == "Apache-2.0 header" and got[3].exact
+
+
+def test_jaccard_join_with_frequent_signatures(spark):
+    """A passage most documents share, a group of near copies around the threshold, and documents of shared passages only."""
+    rng = random.Random(8)
+    common, other, origin = sentence(rng, 60), [sentence(rng, 40) for _ in range(4)], sentence(rng, 150).split()
+    texts = [common + " " + sentence(rng, rng.randint(40, 160)) for _ in range(60)]
+    for _ in range(60):
+        near = list(origin)
+        for _ in range(rng.randint(0, 8)):
+            near[rng.randrange(150)] = sentence(rng, 1)
+        texts.append(" ".join(near))
+    texts += [" ".join(rng.sample(other, 3)) + " " + sentence(rng, rng.randint(1, 30)) for _ in range(50)]
+    sets, roots = brute.similar_groups(texts)
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.similar_components(frame).collect()}
+    assert got == {k: (len(s), r) for k, (s, r) in enumerate(zip(sets, roots))}
