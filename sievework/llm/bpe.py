@@ -23,12 +23,12 @@ from pyspark.sql import functions as F
 from sievework.llm.columns import free_name
 from sievework.llm.store import open_store
 from sievework.llm.units import UnitEncoder, pieces
-from sievework.session import scratch_path
+from sievework.session import scratch_path, through_storage
 
 #: Words of the lexicon; it stays below a few MB whatever the corpus.
 LEXICON_WORDS = 65_536
 #: Pre-tokens whose ids a worker remembers besides the lexicon.
-MEMO_PIECES = 200_000
+MEMO_PIECES = 100_000
 #: Longer pre-tokens are merged with a heap.
 HEAP_FROM = 64
 
@@ -261,12 +261,24 @@ class Lexicon:
 
 
 def frequent_words(docs: DataFrame, text: str = "text", limit: int = LEXICON_WORDS) -> list[str]:
-    """The most frequent space-led words of all texts, counted whole; of equal counts the smaller word comes first."""
+    """Space-led words, counted over all whole texts: all above the lowest count that leaves at most ``limit`` of them.
+
+    Counts are compared by their logarithm in steps of a sixteenth, so that at most a thousand
+    numbers and then the words themselves come to the driver.
+    """
     word = F.explode(F.split(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")), " ")).alias("word")
     counts = docs.select(word).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     usable = counts.where(r"n > 1 and word <> '' and octet_length(word) <= 64 and not word rlike '[\\x00-\\x20]'")
-    top = usable.orderBy(F.desc("n"), "word").limit(limit).collect()  # the lexicon's fixed size
-    return [" " + r["word"] for r in top]
+    stored = through_storage(usable.select("word", F.floor(F.log2("n") * 16).cast("int").alias("step")), "word-counts")
+    room, least = limit, None
+    for r in sorted(stored.groupBy("step").agg(F.count(F.lit(1)).alias("n")).collect(), reverse=True):
+        room -= r["n"]
+        if room < 0:
+            break
+        least = r["step"]
+    if least is None:
+        return []
+    return sorted(" " + r["word"] for r in stored.where(F.col("step") >= least).select("word").collect())  # at most ``limit``
 
 
 def build_lexicon(spark: SparkSession, words: list[str], tokenizer_path: str) -> str:
@@ -365,7 +377,7 @@ def _token_table(path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return _TABLES[path]
 
 
-def _decoded(packed: bytes, table: tuple[np.ndarray, np.ndarray, np.ndarray], step: int = 1 << 20) -> str:
+def _decoded(packed: bytes, table: tuple[np.ndarray, np.ndarray, np.ndarray], step: int = 1 << 18) -> str:
     data, first, size = table
     ids, parts = np.frombuffer(packed, "<u4"), []
     for k in range(0, len(ids), step):

@@ -8,9 +8,9 @@ import numpy as np
 import pyarrow as pa
 
 #: Texts are worked on in slices of about this many bytes; longer texts are cut between words.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 #: Distinct units remembered between slices; then the memory starts anew.
-MEMO_UNITS = 300_000
+MEMO_UNITS = 150_000
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
