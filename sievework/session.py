@@ -23,6 +23,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot join key even where that costs one more exchange above it.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Python workers get a few MB at a time, however long the texts are.
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
     # Shuffle files go when their query ends, not when the driver happens to collect its garbage.
     "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
 }
