@@ -135,17 +135,37 @@ class TokenFile:
 
 
 _TOKENIZERS: dict[str, object] = {}
+#: A control character that becomes one id of its own parts the units of one call to the library.
+_PART, _PER_CALL = "\x01", 256
 
 
 def tokenizer(path: str):
-    """The tokenizer of a file, read once per Python worker, without threads, truncation and padding."""
+    """The tokenizer of a file, read once per Python worker, without threads, truncation and padding, and its unit encoder."""
     if path not in _TOKENIZERS:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         t = Tokenizer.from_file(path)
         t.no_truncation()
         t.no_padding()
-        encode = lambda units: [np.array(e.ids, dtype=np.uint32) for e in t.encode_batch_fast(units, add_special_tokens=False)]
+        ids_of = lambda texts: [np.array(e.ids, dtype=np.uint32) for e in t.encode_batch_fast(texts, add_special_tokens=False)]
+        part = ids_of([f"a {_PART} a", "a", _PART])
+        single = len(part[2]) == 1 and part[0].tolist() == [*part[1], *part[2], *part[1]]
+
+        def encode(units: list[str]) -> list[np.ndarray]:
+            if not single:
+                return ids_of(units)
+            out: list[np.ndarray] = []
+            for k in range(0, len(units), _PER_CALL):
+                some = units[k:k + _PER_CALL]
+                joined = f" {_PART} ".join(some)
+                if joined.count(_PART) != len(some) - 1:  # a unit has the character itself
+                    out += ids_of(some)
+                    continue
+                ids = ids_of([joined])[0]
+                cuts = np.flatnonzero(ids == part[2][0])
+                out += [ids[a:b] for a, b in zip([0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)])]
+            return out
+
         _TOKENIZERS[path] = (t, UnitEncoder(encode))
     return _TOKENIZERS[path]
 

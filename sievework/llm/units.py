@@ -9,7 +9,7 @@ import pyarrow as pa
 
 #: Texts are worked on in slices of about this many bytes; longer texts are cut between words.
 SLICE_BYTES = 1 << 20
-#: Distinct units remembered between slices; then the memory starts anew.
+#: Distinct units remembered between slices: the last so many, and those used since the so many before.
 MEMO_UNITS = 150_000
 
 _SPACE = np.zeros(256, dtype=bool)
@@ -61,7 +61,7 @@ class UnitEncoder:
     """Ids of texts from ids of their distinct units.  ``encode(units)`` gives the ids of each unit."""
 
     def __init__(self, encode: Callable[[list[str]], list[np.ndarray]], memo: int = MEMO_UNITS):
-        self.encode, self.limit, self.memo = encode, memo, {}
+        self.encode, self.limit, self.memo, self.older = encode, memo, {}, {}
 
     def ids_of(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after the other, number of ids of each text)."""
@@ -77,12 +77,16 @@ class UnitEncoder:
         coded = units.dictionary_encode()
         at = coded.indices.to_numpy(zero_copy_only=False)
         distinct = coded.dictionary.cast(pa.large_string()).to_pylist()
-        memo = self.memo
-        new = [u for u in distinct if u not in memo]
+        if len(self.memo) > self.limit:
+            self.memo, self.older = {}, self.memo
+        memo, older, new = self.memo, self.older, []
+        for u in distinct:
+            if u not in memo:
+                if u in older:
+                    memo[u] = older[u]
+                else:
+                    new.append(u)
         if new:
-            if len(memo) + len(new) > self.limit:
-                memo.clear()
-                new = distinct
             memo.update(zip(new, map(np.ndarray.tobytes, self.encode(new))))
         packed = [memo[u] for u in distinct]
         flat = np.frombuffer(b"".join(packed), dtype=np.uint32)
