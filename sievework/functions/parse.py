@@ -18,6 +18,7 @@ DATE_LAYOUTS = ("y-M-d", "y/M/d", "y年M月d日")
 ROSTER_DATE_LAYOUTS = ("y/M/d", "y年M月d日")
 AMOUNT_MARKS = "¥,円"
 TRUE_SPELLINGS = ("1", "Y", "true", "TRUE", "True", "有", "はい")
+_NUMBER = r"^\s*[+-]?(?:[0-9]+(?:\.[0-9]*)?|\.[0-9]+)(?:[eE][+-]?[0-9]+)?\s*$"
 FALSE_SPELLINGS = ("0", "N", "false", "FALSE", "False", "無", "いいえ")
 
 
@@ -69,32 +70,36 @@ def excel_serial_date(c: Column) -> Column:
     return F.date_add(F.lit("1899-12-30").cast("date"), c.try_cast("int"))
 
 
+def _decimal(bare: Column) -> Column:
+    """Exact value of plain decimal text; NULL for anything else, such as 12d or 0x1p3, which a cast to double would read."""
+    return F.when(bare.rlike(_NUMBER), bare.try_cast("decimal(38,12)"))
+
+
 def parse_amount(c: Column, marks: str = AMOUNT_MARKS, on_error: str = "null") -> Column:
     """Whole currency units: marks dropped, decimals cut off ("1200.0" is 1200)."""
     bare = F.translate(c, marks, "") if marks else c
-    number = bare.try_cast("double")
-    whole = F.coalesce(bare.try_cast("bigint"), F.when(~F.isnan(number), number.try_cast("bigint")))
-    return guarded(c, whole, "amount", on_error)
+    return guarded(c, _decimal(bare).try_cast("bigint"), "amount", on_error)
 
 
 def parse_integer(c: Column, marks: str = "", on_error: str = "null") -> Column:
     """Whole number; text with a fractional part other than zero is unreadable."""
     bare = F.translate(c, marks, "") if marks else c
-    number = bare.try_cast("double")
-    whole = F.coalesce(bare.try_cast("bigint"), F.when(number == F.rint(number), number.try_cast("bigint")))
+    number = _decimal(bare)
+    whole = F.when(number == F.floor(number), number.try_cast("bigint"))
     return guarded(c, whole, "number", on_error)
 
 
 def parse_number(c: Column, marks: str = "", on_error: str = "null") -> Column:
     """Double, after dropping marks."""
-    value = (F.translate(c, marks, "") if marks else c).try_cast("double")
+    bare = F.translate(c, marks, "") if marks else c
+    value = F.when(bare.rlike(_NUMBER), bare.try_cast("double"))
     return guarded(c, value, "number", on_error)
 
 
 def parse_accounting(c: Column, on_error: str = "null") -> Column:
     """Whole amount where brackets mean negative: (1,200) is -1200."""
     bare = F.translate(c, "(),¥円", "")
-    value = bare.try_cast("double").try_cast("bigint")
+    value = _decimal(bare).try_cast("bigint")
     signed = F.when(c.rlike(r"^\(.*\)$"), -value).otherwise(value)
     return guarded(c, signed, "amount", on_error)
 

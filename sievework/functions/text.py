@@ -23,9 +23,10 @@ _BLANKS = "".join(map(chr, (0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x1C, 0x1D, 0x1E, 0x1F
 
 @F.arrow_udf(T.StringType())
 def _nfkc_values(values: pa.Array) -> pa.Array:
-    if values.null_count == len(values):
-        return values.cast(pa.string())
-    return pa.array([v and unicodedata.normalize("NFKC", v) for v in values.to_pylist()], pa.string())
+    # Each distinct value of a batch once.  Arrow's own kernel leaves letters and their marks apart.
+    distinct = values.dictionary_encode()
+    normal = pa.array([unicodedata.normalize("NFKC", v) for v in distinct.dictionary.to_pylist()], pa.string())
+    return normal.take(distinct.indices)
 
 
 # Declared non-deterministic so that Spark computes it once per row.  Otherwise a
@@ -113,10 +114,9 @@ def map_values(c: Column, mapping: Mapping[str, object], unmapped: str = "keep")
     """Replace spellings by a small dictionary.
 
     ``unmapped``: "keep" leaves other values, "null" blanks them, "raise" stops.
-    Large dictionaries belong in a table: join them instead.
+    The dictionary is part of the expression and searched from its start; a large one
+    belongs in a table: see map_values_by_table.
     """
-    if len(mapping) > 200:
-        raise ValueError("use a join for a dictionary of this size")
     pairs = [F.lit(x) for item in mapping.items() for x in item]
     hit = F.try_element_at(F.create_map(*pairs), c)
     if unmapped == "keep":
@@ -129,6 +129,24 @@ def map_values(c: Column, mapping: Mapping[str, object], unmapped: str = "keep")
     raise ValueError(f"unmapped must be keep, null or raise, not {unmapped!r}")
 
 
+def map_values_by_table(df: DataFrame, column: str, table: DataFrame, unmapped: str = "keep") -> DataFrame:
+    """``map_values`` with a dictionary of any size: ``table`` has ``spelling`` and ``value``, each spelling once.
+
+    Spark broadcasts the table if its measured size allows.  A repeated spelling stops the job.
+    """
+    if unmapped not in ("keep", "null", "raise"):
+        raise ValueError(f"unmapped must be keep, null or raise, not {unmapped!r}")
+    once = table.groupBy(F.col("spelling").alias("_spelling")).agg(F.max("value").alias("_value"), F.count(F.lit(1)).alias("_n"))
+    single = F.when(F.col("_n") > 1, F.raise_error(F.concat(F.lit("repeated spelling: "), F.col("_spelling")))).otherwise(F.col("_value"))
+    joined = df.join(once, F.col(column) == F.col("_spelling"), "left")
+    known, c = F.col("_spelling").isNotNull(), F.col(column)
+    other = {"keep": c, "null": F.lit(None)}.get(unmapped)
+    if other is None:
+        other = F.when(c.isNotNull(), F.raise_error(F.concat(F.lit("value not in the dictionary: "), c)))
+    mapped = F.when(known, single).otherwise(other).alias(column)
+    return joined.select(*[mapped if x == column else F.col(x) for x in df.columns])
+
+
 def contains_text(c: Column, literal: str) -> Column:
     """Substring test that answers false, not NULL, for a missing value."""
     return F.coalesce(F.contains(c, F.lit(literal)), F.lit(False))

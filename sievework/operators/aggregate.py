@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from sievework.session import through_storage
 
 
+#: Buckets of a time axis that are generated from one row.
+AXIS_PIECE = 10_000
+
+
 def group(df: DataFrame, keys: Sequence[str], aggregates: Sequence[Column], drop_null_keys: bool = False) -> DataFrame:
     """``groupBy().agg()`` with an explicit policy for missing keys: kept unless told otherwise."""
     if drop_null_keys:
@@ -57,16 +61,35 @@ def bucket_counts(df: DataFrame, ts: str, step: str, name: str = "bucket", count
     start = F.window(F.col(ts).cast("timestamp"), step).getField("start")
     counted = through_storage(
         df.filter(F.col(ts).isNotNull()).groupBy(start.alias(name)).agg(F.count(F.lit(1)).alias(count)), "buckets")
+    # The axis grows day by day from one row per day, which Spark spreads, so no array holds all of it.
     bounds = counted.agg(F.min(name).alias("first"), F.max(name).alias("last"))
-    axis = bounds.select(F.explode(F.sequence("first", "last", F.expr(f"interval {step}"))).alias(name))
+    width = F.expr(f"unix_micros(timestamp'1970-01-01 00:00:00' + interval {step})")
+    pieces = bounds.select("first", "last", width.alias("width")).withColumn(
+        "steps", F.floor((F.unix_micros("last") - F.unix_micros("first")) / F.col("width")))
+    starts = pieces.select("first", "width", "steps", F.explode(F.sequence(F.lit(0), F.col("steps"), F.lit(AXIS_PIECE))).alias("from"))
+    axis = (starts.repartition("from")
+            .select("first", "width", F.explode(F.sequence("from", F.least(F.col("from") + AXIS_PIECE - 1, "steps"))).alias("k"))
+            .select(F.timestamp_micros(F.unix_micros("first") + F.col("k") * F.col("width")).alias(name)))
     stacked = counted.unionByName(axis.withColumn(count, F.lit(0).cast("bigint")))
     return stacked.groupBy(name).agg(F.sum(count).alias(count))
 
 
 def with_group_value(df: DataFrame, keys: Sequence[str], aggregates: Sequence[Column]) -> DataFrame:
-    """A group's aggregates on each of its rows: aggregate (combined before the shuffle), then join back."""
+    """A group's aggregates on each of its rows: aggregate (combined before the shuffle), then join back.
+
+    The join has a key expression of its own, so both sides are exchanged for it and
+    Spark can split a hot key; on the aggregate's own key it could not.
+    """
     per_key = df.groupBy(F.struct(*keys).alias("_key")).agg(*aggregates)
-    return df.withColumn("_key", F.struct(*keys)).join(per_key, "_key").drop("_key")
+    return joined_on_key(df, keys, per_key, "inner")
+
+
+def joined_on_key(df: DataFrame, keys: Sequence[str], per_key: DataFrame, how: str) -> DataFrame:
+    """Join ``per_key`` (one row per struct ``_key``) to the rows of ``df``, NULL keys included, with an exchange on each side."""
+    named = per_key.withColumn("_hash", F.xxhash64("_key")).withColumnRenamed("_key", "_theirs")
+    mine = df.withColumn("_key", F.struct(*keys)).withColumn("_hash", F.xxhash64("_key"))
+    same = (F.col("_mine") == F.col("_hash")) & (F.col("_key") == F.col("_theirs"))
+    return mine.withColumnRenamed("_hash", "_mine").join(named, same, how).drop("_key", "_theirs", "_hash", "_mine")
 
 
 def pivot_sum(df: DataFrame, index: Sequence[str], column: str, values: Sequence, measure: str) -> DataFrame:

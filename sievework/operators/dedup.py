@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sievework.operators.aggregate import joined_on_key
 from sievework.operators.order import SortKey, columns_of
 
 
@@ -80,8 +81,8 @@ def mark_later_duplicates(df: DataFrame, keys: Sequence[str], order: Sequence[st
     pick = F.min if keep == "first" else F.max
     position = F.struct(*order)
     kept = df.groupBy(F.struct(*keys).alias("_key")).agg(pick(position).alias("_kept"))
-    joined = df.withColumn("_key", F.struct(*keys)).join(kept, "_key", "left")
-    return joined.withColumn(name, position != F.col("_kept")).drop("_key", "_kept")
+    joined = joined_on_key(df, keys, kept, "left")
+    return joined.withColumn(name, position != F.col("_kept")).drop("_kept")
 
 
 def coalesce_history(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str]) -> DataFrame:

@@ -105,12 +105,25 @@ def interval_lookup(df: DataFrame, day: str, rates: DataFrame, start: str, end:
                     keys: Sequence[str] = ()) -> DataFrame:
     """Attach the row of ``rates`` whose [start, end] days contain ``day``; none is kept as NULL.
 
-    The validity periods are spread out to days, which turns the range condition
-    into an equality.  Overlapping periods for a key stop the job.
+    A NULL end is open.  A period that ends before it starts stops the job, and so does a day that lies in
+    two periods of a key.  A period is entered under the blocks of 2^k days it touches, where
+    2^k is just below its length: three at most, however long it is.  Every
+    different (key, day) of ``df`` is looked up once per k in use, of which there are 22 at most.
     """
     payload = [c for c in rates.columns if c not in (start, end, *keys)]
-    daily = rates.select(*keys, *payload, F.explode(F.sequence(F.col(start), F.col(end))).alias("_day"))
-    return checked_join(df, daily, [*keys, (day, "_day")], "left", validate="m:1")
+    forever = F.lit("9999-12-31").cast("date")
+    first, last = F.unix_date(F.col(start).cast("date")), F.unix_date(F.coalesce(F.col(end).cast("date"), forever))
+    message = F.concat(F.lit("a period ends before it starts: "), F.col(start).cast("string"))
+    bounds = rates.select(*keys, *payload, first.alias("_first"), F.when(first > last, F.raise_error(message)).otherwise(last).alias("_last"))
+    sized = bounds.withColumn("_level", F.floor(F.log2(F.col("_last") - F.col("_first") + 1)).cast("int"))
+    levels = [r[0] for r in sized.select("_level").distinct().where("_level is not null").collect()]
+    periods = sized.withColumn("_block", F.explode(F.expr("sequence(shiftright(_first, _level), shiftright(_last, _level))")))
+    days = df.select(*keys, F.col(day).alias("_day")).where(F.col("_day").isNotNull()).distinct()
+    probes = (days.withColumn("_level", F.explode(F.array(*[F.lit(k) for k in levels]).cast("array<int>")))
+              .withColumn("_at", F.unix_date(F.col("_day").cast("date"))).withColumn("_block", F.expr("shiftright(_at, _level)")))
+    hits = (probes.join(periods, [*keys, "_level", "_block"]).where("_first <= _at and _at <= _last")
+            .select(*keys, "_day", *payload))
+    return checked_join(df, hits, [*keys, (day, "_day")], "left", validate="m:1")
 
 
 def salted_join(left: DataFrame, right: DataFrame, on: Sequence[str], spread: Sequence[str], salts: int,

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sievework.functions.parse import ROSTER_DATE_LAYOUTS, parse_date, parse_integer
 from sievework.functions.text import ROSTER_MISSING, map_values, normalise_columns, zero_pad
-from sievework.operators.dedup import without_accidents
+from sievework.operators.dedup import latest_by
 from sievework.operators.joins import checked_join
 from sievework.operators.order import asc
 
@@ -44,12 +44,13 @@ def clean_roster(raw: DataFrame, departments: DataFrame,
     """One row per staff code with ``reject_reason`` (NULL when usable).
 
     ``raw`` has the columns named in COLUMNS (renamed); ``departments`` has dept_cd,
-    dept_name and division.  Rows without a code count as one key, so only their
-    newest stays.
+    dept_name and division.  Rows without a code belong to no key: each different one
+    of them stays, and is rejected.
     """
-    typed = typed_roster(raw)
+    typed = typed_roster(raw).distinct()
     others = [asc(c) for c in ("name", "dept", "base_pay", "weekly_hours", "mail", "hired_on")]
-    current = without_accidents(typed, ["code"], "updated_on", others)
+    current = (latest_by(typed.filter(F.col("code").isNotNull()), ["code"], "updated_on", others)
+               .unionByName(typed.filter(F.col("code").isNull())))
     coded = current.withColumn("dept_cd", map_values(F.col("dept"), aliases, unmapped="keep"))
     joined = checked_join(coded, departments.select("dept_cd", "dept_name", "division"), ["dept_cd"],
                           validate="m:1")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -51,17 +50,13 @@ def build_session(app_name: str, master: str | None = None, **settings: str) ->
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a temporary folder; on a cluster an
-    unset folder is an error, because executors would not see each other's files.
+    Where it is unset, a folder in the session's warehouse is used, which tables already
+    need on storage that executors share.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    made = tempfile.mkdtemp(prefix="sievework-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -69,17 +64,6 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/sievework/{label}-{uuid.uuid4().hex}"
 
 
-def spread_out(df):
-    """Give a small input, stored in fewer pieces than there are cores, to all cores.
-
-    For CPU-bound work on few rows.  An input that is already split into at least as
-    many pieces as there are cores is returned as it is, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    # By hash of the row: spreading round-robin would have to sort the rows first.
-    return df.repartition(cores, *df.columns) if df.rdd.getNumPartitions() < cores else df
-
-
 def through_storage(df, label: str):
     """Write ``df`` once to the shared folder and read it back.
 

@@ -1,9 +1,9 @@
 """Writing so that a second run leaves the same table as the first.
 
-Tables are plain partitioned Parquet directories.  A new version of a partition
-is first written completely to the shared scratch folder and only then swapped
-in, so a failing computation never touches the published table, and a table may
-be rebuilt from itself.
+Tables are plain partitioned Parquet directories.  Spark writes the new partitions
+beside the table and moves them in when all tasks are done, so a failing computation
+never touches the published table, and a table may be rebuilt from itself.  Rows go
+through the shared scratch folder first only where they are needed twice.
 """
 
 from __future__ import annotations
@@ -57,11 +57,23 @@ def latest_view(spark: SparkSession, path: str, keys: Sequence[str], stamp: str,
     return latest_by(spark.read.parquet(path), keys, stamp, tie_break)
 
 
-def _partition_dir(path: str, values: Mapping[str, str]) -> str:
-    return "/".join([path.rstrip("/"), *[f"{k}={v}" for k, v in values.items()]])
+# The characters that Spark writes as %XX in the folder of a partition, and its folder for NULL.
+_ESCAPED = frozenset([*map(chr, range(1, 32)), *'"#%\'*/:=?\\\x7f{[]^'])
+_NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
 
-def clear_partition(spark: SparkSession, path: str, values: Mapping[str, str], schema: T.StructType) -> None:
+def _folder_text(value) -> str:
+    if value is None or str(value) == "":
+        return _NULL_FOLDER
+    return "".join(f"%{ord(c):02X}" if c in _ESCAPED else c for c in str(value))
+
+
+def _partition_dir(path: str, values: Mapping[str, object]) -> str:
+    """The folder that Spark's writer gives a partition."""
+    return "/".join([path.rstrip("/"), *[f"{_folder_text(k)}={_folder_text(v)}" for k, v in values.items()]])
+
+
+def clear_partition(spark: SparkSession, path: str, values: Mapping[str, object], schema: T.StructType) -> None:
     """Leave a partition without rows."""
     data = T.StructType([f for f in schema.fields if f.name not in values])
     spark.createDataFrame([], data).write.mode("overwrite").parquet(_partition_dir(path, values))
@@ -91,30 +103,37 @@ def replace_partitions(df: DataFrame, path: str, by: Sequence[str], agreed: T.St
         df = enforce_contract(df.select(*agreed.fieldNames()), agreed)
     # Rebalancing brings rows of a partition together, so that not every task writes a
     # file into every partition, and splits partitions that are too large for one task.
-    staged = through_storage(df.hint("rebalance", *[F.col(c) for c in by]), "partitions")
-    (staged.write.mode("overwrite").partitionBy(*by)
+    rows = df.hint("rebalance", *[F.col(c) for c in by])
+    if rerun is not None:
+        rows = through_storage(rows, "partitions")
+        rerun = through_storage(rerun.select(*by).distinct(), "rerun")  # it may be derived from the table
+    (rows.write.mode("overwrite").partitionBy(*by)
      .option("partitionOverwriteMode", "dynamic").parquet(path))
     if rerun is not None:
-        filled = staged.select(*by).distinct()
-        for row in rerun.select(*by).distinct().join(filled, list(by), "left_anti").collect():
-            clear_partition(spark, path, row.asDict(), staged.schema)
+        for row in null_safe(rerun, rows.select(*by).distinct(), by, "left_anti").collect():
+            clear_partition(spark, path, row.asDict(), rows.schema)
+
+
+def null_safe(left: DataFrame, right: DataFrame, columns: Sequence[str], how: str) -> DataFrame:
+    """``left_semi`` or ``left_anti`` join in which NULL equals NULL."""
+    named = right.select(*[F.col(c).alias(f"_right_{c}") for c in columns])
+    same = [F.col(c).eqNullSafe(F.col(f"_right_{c}")) for c in columns]
+    return left.join(named, same, how)
 
 
 def upsert(source: DataFrame, path: str, keys: Sequence[str], by: Sequence[str]) -> None:
-    """Update matching keys, insert the others.  Keys absent from ``source`` stay.
+    """Update matching keys, insert the others.  Keys absent from ``source`` stay; NULL is a value like others.
 
     A source with a repeated key stops the job.  Only partitions that hold or receive
     a key of the source are rewritten, also the one a key moves away from.
     """
     spark = source.sparkSession
     incoming = through_storage(one_row_per_key(source, keys, "upsert source").select(*source.columns), "upsert")
-    target = read_table(spark, path, source.schema)
-    current = target.select(*source.columns)
-    touched = (current.join(incoming.select(*keys), list(keys), "left_semi").select(*by)
+    current = read_table(spark, path, source.schema).select(*source.columns)
+    touched = (null_safe(current, incoming, keys, "left_semi").select(*by)
                .unionByName(incoming.select(*by)).distinct())
     touched = through_storage(touched, "touched")
-    kept = (current.join(touched, list(by), "left_semi")
-            .join(incoming.select(*keys), list(keys), "left_anti"))
+    kept = null_safe(null_safe(current, touched, by, "left_semi"), incoming, keys, "left_anti")
     replace_partitions(kept.unionByName(incoming), path, by, rerun=touched)
 
 

@@ -9,7 +9,7 @@ parsed.
 from __future__ import annotations
 
 import csv
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -40,26 +40,60 @@ def _is_cp932(values: pa.Array) -> pa.Array:
 
 
 def encoding_evidence(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """One row per file: are all bytes valid UTF-8, are the others valid cp932, first line.
+    """One row per file: are all bytes valid UTF-8, are the others valid cp932.
 
     The text source hands on the raw bytes of each line, and neither encoding uses
     the line feed byte inside a character, so testing lines tests the file.  The
-    scan splits large files; what is shuffled is one partial row per file and task.
+    scan splits large files; only flags are aggregated, so nothing is sorted, and what is
+    shuffled is one partial row per file and task.
     """
-    lines = spark.read.text(paths).select(
-        F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("position"),
-        F.col("value"))
-    utf8 = F.is_valid_utf8(F.col("value"))
-    other = F.when(~utf8, F.col("value").cast("binary"))
-    tested = lines.select("path", "position", "block", F.col("value").cast("binary").alias("raw"),
-                          utf8.alias("utf8"), _is_cp932(other).alias("cp932"))
+    value = F.col("value")
+    utf8 = F.is_valid_utf8(value)
+    tested = spark.read.text(paths).select(F.col("_metadata.file_path").alias("path"), utf8.alias("utf8"),
+                                           _is_cp932(F.when(~utf8, value.cast("binary"))).alias("cp932"))
     return tested.groupBy("path").agg(
         F.bool_and("utf8").alias("utf8"),
         F.coalesce(F.bool_and("cp932"), F.lit(True)).alias("cp932"),
-        F.count_if(~F.col("utf8") & ~F.col("cp932")).alias("unreadable_lines"),
-        F.min_by("raw", F.when(F.col("block") == 0, F.col("position"))).alias("first_line"))
+        F.count_if(~F.col("utf8") & ~F.col("cp932")).alias("unreadable_lines"))
+
+
+def first_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """(path, first_line): the bytes of the first line of every file.
+
+    A line is the first of its file if its task began at the file's start and no line came
+    before it; a task reads few files, and only its own first lines leave it.
+    """
+    lines = spark.read.text(paths).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), F.col("value"))
+
+    def firsts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[str] = set()
+        for batch in batches:
+            keep = []
+            for k, path in enumerate(batch.column(0).to_pylist()):
+                if path not in seen:
+                    seen.add(path)
+                    keep.append(k)
+            if keep:
+                yield pa.RecordBatch.from_arrays([c.take(pa.array(keep)) for c in batch.columns], names=["path", "first_line"])
+
+    return (lines.filter("block = 0").select("path", F.col("value").cast("binary").alias("raw"))
+            .mapInArrow(firsts, "path string, first_line binary"))
+
+
+def _header(line: bytes, codec: str, separator: str) -> tuple[str, ...]:
+    return tuple(next(csv.reader([line.decode(codec).rstrip("\r")], delimiter=separator)))
+
+
+def headers(spark: SparkSession, paths: str | Sequence[str], encoding: str, separator: str = ",") -> dict[tuple[str, ...], list[str]]:
+    """The files behind each different header; as long as the file listing."""
+    codec = "utf-8-sig" if encoding.upper() == "UTF-8" else "cp932" if encoding.lower() == "windows-31j" else encoding
+    found: dict[tuple[str, ...], list[str]] = {}
+    for row in first_lines(spark, paths).orderBy("path").collect():
+        found.setdefault(_header(bytes(row.first_line), codec, separator), []).append(row.path)
+    if not found:
+        raise ValueError(f"no files at {paths}")
+    return found
 
 
 def profile_files(spark: SparkSession, paths: str | Sequence[str], separator: str = ",") -> list[FileProfile]:
@@ -68,7 +102,7 @@ def profile_files(spark: SparkSession, paths: str | Sequence[str], separator: st
     The result is as long as the file listing, which the driver holds anyway.
     """
     found = []
-    for row in encoding_evidence(spark, paths).orderBy("path").collect():
+    for row in encoding_evidence(spark, paths).join(first_lines(spark, paths), "path", "left").orderBy("path").collect():
         if row.utf8:
             encoding, codec = "UTF-8", "utf-8-sig"
         elif row.cp932:
@@ -76,9 +110,7 @@ def profile_files(spark: SparkSession, paths: str | Sequence[str], separator: st
         else:
             raise ValueError(f"cannot tell the encoding of {row.path}: {row.unreadable_lines} lines "
                              "are neither UTF-8 nor cp932")
-        first = bytes(row.first_line).decode(codec).rstrip("\r")
-        header = tuple(next(csv.reader([first], delimiter=separator)))
-        found.append(FileProfile(row.path, encoding, header))
+        found.append(FileProfile(row.path, encoding, _header(bytes(row.first_line), codec, separator)))
     if not found:
         raise ValueError(f"no files at {paths}")
     return found

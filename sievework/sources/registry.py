@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievework.sources.delimited import SOURCE_COLUMN, read_as_text
+from sievework.sources.encoding import headers
 
 
 @dataclass(frozen=True)
@@ -24,8 +25,14 @@ class SourceSpec:
     period: str | None = None
 
     def read(self, spark: SparkSession) -> DataFrame:
-        raw = read_as_text(spark, self.path, self.columns, encoding=self.encoding)
-        return self.shape(raw)
+        """The files read by the names in their own headers; a file without an expected column stops the job."""
+        parts = []
+        for header, files in headers(spark, self.path, self.encoding).items():
+            absent = [c for c in self.columns if c not in header]
+            if absent:
+                raise ValueError(f"{self.path}: expected columns are absent: {absent}")
+            parts.append(read_as_text(spark, files, header, encoding=self.encoding).select(*self.columns, SOURCE_COLUMN))
+        return self.shape(union_by_name(parts))
 
     def shape(self, raw: DataFrame) -> DataFrame:
         """Common names and constants; columns that are not renamed are left behind."""

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from sievework.functions.text import zero_pad
 from sievework.plans.sales import Masters
-from sievework.session import spread_out
 from sievework.workload.catalog import Tables
 
 
@@ -73,7 +72,7 @@ def order_feed(t: Tables) -> DataFrame:
     A correction raises the amount by 100.  Corrections of low-priority orders carry
     no quantity: those orders are invalid and have to disappear.
     """
-    orders = order_systems(spread_out(t.orders))
+    orders = order_systems(t.orders.repartition("o_orderkey"))
     amount = F.floor("o_totalprice").cast("bigint")
     plain = F.when(F.col("o_custkey") % 10 == 9, _by("system", {"a": F.lit("NULL"), "b": F.lit("N/A"), "c": F.lit("-")})) \
         .otherwise((F.col("o_custkey") % 10).cast("string"))
@@ -113,7 +112,7 @@ def sales_feed(t: Tables) -> DataFrame:
     long_name = F.concat(F.lit("Supplier#"), zero_pad(supplier, 9))
     part = F.col("l_partkey").cast("string")
     test = (F.col("l_tax") == 0.04) & (F.col("l_discount") == 0.05)
-    return spread_out(t.lineitem).select(
+    return t.lineitem.repartition("l_orderkey", "l_linenumber").select(
         _by("l_returnflag", {"A": F.date_format("l_shipdate", "y年M月d日"), "N": F.date_format("l_shipdate", "y/M/d"),
                              "R": F.date_format("l_shipdate", "yyyy-MM-dd")}).alias("sale_date"),
         _by("l_returnflag", {"A": F.concat(widen(long_name), F.lit("　")), "N": F.concat(F.lit(" "), long_name),
@@ -198,7 +197,7 @@ def roster_feed(t: Tables) -> DataFrame:
             F.upper(F.concat(F.col("c_name"), F.lit("@example.com"))).alias("mail"),
             F.lit(stamp).alias("updated_on"))
 
-    staff = spread_out(t.customer)
+    staff = t.customer
     everyone = rows(staff, 0, "2024-04-01")
     twice = rows(staff.filter(segment == "BUILDING"), 0, "2024-04-01")
     corrected = rows(staff.filter(segment == "FURNITURE"), 1000, "2024-04-15")
@@ -216,11 +215,11 @@ ROSTER_SQL = """
 coded AS (
   SELECT *, CASE WHEN c_nationkey = 24 THEN NULL WHEN length(CAST(c_custkey AS VARCHAR)) < 4
                  THEN lpad(CAST(c_custkey AS VARCHAR), 4, '0') ELSE CAST(c_custkey AS VARCHAR) END AS code,
-         CASE c_mktsegment WHEN 'FURNITURE' THEN 1 ELSE 0 END AS corrected
-  FROM customer),
+         versions.corrected
+  FROM customer JOIN (SELECT 0 AS corrected UNION ALL SELECT 1) versions ON corrected = 0 OR c_mktsegment = 'FURNITURE'),
 kept AS (
   SELECT * FROM coded
-  QUALIFY row_number() OVER (PARTITION BY code ORDER BY corrected DESC, c_name) = 1),
+  QUALIFY code IS NULL OR row_number() OVER (PARTITION BY code ORDER BY corrected DESC, c_name) = 1),
 staff AS (
   SELECT code, c_name AS name,
          CASE WHEN c_mktsegment = 'AUTOMOBILE' AND c_acctbal < 0 THEN NULL
@@ -248,7 +247,7 @@ def log_feed(t: Tables) -> DataFrame:
     utc = F.col("event_type").isin("view", "click")
     stamp = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
     local = F.date_format(F.col("ts") + F.expr("interval 9 hours"), stamp)
-    return spread_out(t.events).select(
+    return t.events.repartition("event_id").select(
         F.when(utc, F.concat(F.date_format("ts", stamp), F.lit("Z"))).otherwise(F.concat(local, F.lit("+09:00"))).alias("ts"),
         _by("event_type", {k: F.lit(v) for k, v in PATHS.items()}).alias("path"),
         _by("event_type", {"view": F.lit("200"), "click": F.lit("302"), "signup": F.lit("201"),

@@ -91,7 +91,7 @@ def _deliveries(t):
 
 def _evidence(t):
     paths = list(_deliveries(t).values())
-    found = encoding.encoding_evidence(t.spark, paths)
+    found = encoding.encoding_evidence(t.spark, paths).join(encoding.first_lines(t.spark, paths), "path")
     return found.select(F.regexp_extract("path", "system=(.)", 1).alias("system"), "utf8", "cp932",
                         F.split(F.decode("first_line", "UTF-8"), ",")[0].alias("first_column")).distinct()
 
@@ -230,6 +230,40 @@ query("publish_upsert", _upserted,
          ELSE c_mktsegment END AS segment FROM customer""")
 
 
+def _upserted_null(t):
+    """Keys and partition values that are NULL are values like others, also when a row moves away from them."""
+    path = f"{t.scratch}/customers"
+    segment = F.when(C("c_mktsegment") != "FURNITURE", C("c_mktsegment"))
+    base = t.customer.select(F.when(C("c_custkey") > 0, C("c_custkey")).alias("key"), "c_acctbal", segment.alias("segment"))
+    publish.replace_partitions(base, path, ["segment"])
+    some = base.filter((C("key") % 2 == 0) & C("segment").isNull()).withColumn("c_acctbal", F.lit(0.0))
+    moved = base.filter((C("key") % 3 == 0) & (C("segment") == "BUILDING")).withColumn("segment", F.lit(None).cast("string"))
+    publish.upsert(some.unionByName(moved), path, ["key"], ["segment"])
+    return publish.read_table(t.spark, path, base.schema).select("key", cents("c_acctbal").alias("cents"), "segment")
+
+
+query("upsert_null_partition", _upserted_null,
+      f"""SELECT key, CASE WHEN c_mktsegment = 'FURNITURE' AND key % 2 = 0 THEN 0 ELSE {CENTS('c_acctbal')} END AS cents,
+         CASE WHEN c_mktsegment = 'FURNITURE' OR c_mktsegment = 'BUILDING' AND key % 3 = 0 THEN NULL ELSE c_mktsegment END AS segment
+         FROM (SELECT *, CASE WHEN c_custkey > 0 THEN c_custkey END AS key FROM customer)""")
+
+
+def _replaced_escaped(t):
+    """Partition values with characters that folders cannot have, emptied and refilled."""
+    path = f"{t.scratch}/orders"
+    label = F.concat(C("o_orderpriority"), F.lit(": 100% = [a/b]"))
+    rows = t.orders.select("o_orderkey", F.when(C("o_orderpriority") != "2-HIGH", label).alias("label"))
+    publish.replace_partitions(rows, path, ["label"])
+    publish.replace_partitions(rows.filter(C("label").startswith("1")), path, ["label"],
+                               rerun=rows.filter(C("label").isNull() | (C("label") < "4")).select("label"))
+    return publish.read_table(t.spark, path, rows.schema).groupBy("label").agg(n_rows())
+
+
+query("replace_escaped_partition", _replaced_escaped,
+      """SELECT o_orderpriority || ': 100% = [a/b]' AS label, count(*) AS n FROM orders
+         WHERE o_orderpriority < '2' OR o_orderpriority >= '4' GROUP BY 1""")
+
+
 def _exported(t):
     path = f"{t.scratch}/export"
     publish.export_single(order_plan.clean_orders(feeds.order_feed(t)), path, ["order_id"], order_plan.ORDER_CONTRACT)
@@ -395,6 +429,21 @@ def _increment(t):
 
 _BY_DAY = f"SELECT {DAY('ts')} AS day, event_type, count(*) AS n, {SUM_CENTS('value')} AS cents FROM events GROUP BY 1, 2"
 query("increment_with_lateness", _increment, _BY_DAY)
+
+
+def _increment_undated(t):
+    """Rows without an event time are published under the day NULL, and once."""
+    marks, path = f"{t.scratch}/marks", f"{t.scratch}/daily"
+    events = t.events.withColumn("ts", F.when(C("event_id") % 7 != 0, C("ts")))
+    args = ("ts", timedelta(days=20), marks, "day", _hourly, path)
+    incremental.run_increment(events.filter((C("event_id") % 2 == 0)), *args)
+    incremental.run_increment(events, "ts", timedelta(days=400), *args[2:])
+    return t.spark.read.parquet(path).select(iso("day").alias("day"), "event_type", "n", "cents")
+
+
+query("increment_undated_rows", _increment_undated,
+      f"""SELECT CASE WHEN event_id % 7 <> 0 THEN {DAY('ts')} END AS day, event_type, count(*) AS n, {SUM_CENTS('value')} AS cents
+         FROM events GROUP BY 1, 2""")
 query("rows_since_watermark",
       lambda t: incremental.rows_since(t.events, "ts", t.events.agg(F.max("ts").alias("m")).first().m, timedelta(days=3)).select("event_id"),
       "SELECT event_id FROM events WHERE ts > (SELECT max(ts) FROM events) - INTERVAL 3 DAY")

@@ -59,6 +59,21 @@ query("join_validity_period",
       """SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day,
          CASE WHEN o_orderdate < DATE '1998-07-01' THEN CAST(0.05 AS DOUBLE) ELSE CAST(0.08 AS DOUBLE) END
          + (o_custkey % 5) * CAST(0.01 AS DOUBLE) AS rate FROM orders""")
+
+
+def _status_as_of_day(t):
+    """Every order with the version of its customer's status that is valid on its day; the newest version is open."""
+    day = C("o_orderdate").cast("date").alias("day")
+    last = t.orders.groupBy("o_custkey", day).agg(F.max_by("o_orderstatus", "o_orderkey").alias("status"))
+    versions = history.version_history(last, ["o_custkey"], "day", ["status"])
+    periods = versions.select("o_custkey", "status", "valid_from", F.date_sub("valid_to", 1).alias("last_day"))
+    orders = t.orders.select("o_orderkey", "o_custkey", day)
+    return joins.interval_lookup(orders, "day", periods, "valid_from", "last_day", ["o_custkey"]).select("o_orderkey", "status")
+
+
+query("join_open_period", _status_as_of_day,
+      """SELECT o_orderkey, last_value(o_orderstatus) OVER (PARTITION BY o_custkey, CAST(o_orderdate AS DATE) ORDER BY o_orderkey
+         ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS status FROM orders""")
 query("join_condition_in_on",
       lambda t: t.orders.join(t.customer.filter(C("c_mktsegment") == "BUILDING"), C("o_custkey") == C("c_custkey"), "left")
       .select("o_orderkey", "c_name"),

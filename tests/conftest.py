@@ -10,8 +10,8 @@ from sievework.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = build_session("tests", "local[8]", spark__ui__enabled="false", spark__sql__shuffle__partitions="8",
+def spark(tmp_path_factory):
+    session = build_session("tests", "local[8]", spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")), spark__ui__enabled="false", spark__sql__shuffle__partitions="8",
                             spark__driver__memory="8g")
     session.sparkContext.setLogLevel("OFF")
     yield session
