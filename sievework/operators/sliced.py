@@ -1,131 +1,55 @@
 """Window results over groups of any size.
 
-A plain window function puts a whole group into one task.  Here every group is
-cut into slices of the sort order first: the window runs inside a slice, a small
-summary per slice is carried from slice to slice, and both are joined.  Slices
-are made from quantiles of the leading sort column.  A value so frequent that it
-fills a slice of its own is cut further by the second sort column.
-
-The cut points only decide how the work is spread; results do not depend on them.
-
-The input is read several times (cut points, summary, rows), each time only in the
-columns needed.  Hand in a stored table; put ``through_storage`` in front of
-anything costly.
+A plain window function puts a whole group into one task.  Here all rows are range-partitioned
+once by key, all sort columns and a hash of the row, and stored with the number of
+their partition, the slice.  The window runs inside a (key, slice); one row per (key, slice)
+carries what is needed from slice to slice.  A slice ends where Spark's range partitioning puts its
+bounds, whatever the values look like, so neither a crowded value nor a long common
+prefix makes a large slice, and results do not depend on the bounds.
+
+Range partitioning reads its input twice, once for a sample of the sort columns.  Put
+``through_storage`` in front of anything costly.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from sievework.operators.aggregate import joined_on_key
 from sievework.operators.order import SortKey, columns_of
+from sievework.session import through_storage
+
+_HELPERS = ("_group", "_slice")
+_BEFORE = (Window.unboundedPreceding, -1)
+
 
-_FEWEST, _MOST = 64, 10_000
-_EXACT_IN_DOUBLE = 1 << 53
-
-
-def default_slices(spark: SparkSession) -> int:
-    """Twice the shuffle partitions the session is set up for, within fixed limits."""
-    return min(_MOST, max(_FEWEST, 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
-
-
-def _measure(df: DataFrame, name: str) -> tuple[Column, bool]:
-    """A double that never falls as the column rises, and whether equal doubles may mean equal values."""
-    kind, c = df.schema[name].dataType, F.col(name)
-    exact = True
-    if isinstance(kind, T.DecimalType):
-        exact = kind.precision <= 15
-    elif isinstance(kind, T.DateType):
-        c = F.unix_date(c)
-    elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        c = F.unix_micros(c.cast("timestamp"))
-    elif isinstance(kind, T.StringType):
-        # The first six bytes as a number sort like the text itself.
-        prefix = F.rpad(F.left(F.hex(F.encode(c, "UTF-8")), F.lit(12)), 12, "0")
-        c, exact = F.conv(prefix, 16, 10), False
-    elif not isinstance(kind, T.NumericType):
-        raise TypeError(f"cannot slice by {name}: {kind.simpleString()}")
-    # Adding zero makes -0.0 and 0.0 the same number, as they are in a sort.
-    return c.cast("double") + F.lit(0.0), exact
-
-
-@dataclass(frozen=True)
-class _Cuts:
-    lead: tuple
-    heavy: tuple
-    heavy_null: bool
-    second: tuple
-
-
-def _find_cuts(df: DataFrame, order: Sequence[SortKey], slices: int) -> _Cuts:
-    """Cut points from one aggregate row: at most ``slices`` numbers per sort column."""
-    fractions = [i / slices for i in range(1, slices)]
-    accuracy = max(1000, 5 * slices)
-    number, exact = _measure(df, order[0].name)
-    row = df.agg(F.percentile_approx(number, fractions, accuracy).alias("cuts"),
-                 F.max(F.abs(number)).alias("largest"),
-                 F.count(F.lit(1)).alias("rows"), F.count(number).alias("known")).first()
-    found = [x for x in row.cuts or [] if x == x]
-    exact = exact and (row.largest is None or row.largest < _EXACT_IN_DOUBLE
-                       or isinstance(df.schema[order[0].name].dataType, (T.DoubleType, T.FloatType)))
-    heavy = sorted({a for a, b in zip(found, found[1:]) if a == b}) if exact else []
-    heavy_null = (row.rows - row.known) * slices > row.rows
-    second: list = []
-    if (heavy or heavy_null) and len(order) > 1:
-        follow, _ = _measure(df, order[1].name)
-        crowded = df.filter(_is_heavy(number, heavy, heavy_null))
-        second = crowded.agg(F.percentile_approx(follow, fractions, accuracy).alias("cuts")).first().cuts or []
-    return _Cuts(tuple(sorted(set(found))), tuple(heavy), heavy_null,
-                 tuple(sorted({x for x in second if x == x})))
-
-
-def _is_heavy(number: Column, heavy: Sequence, heavy_null: bool) -> Column:
-    hit = F.coalesce(number.isin(*heavy), F.lit(False)) if heavy else F.lit(False)
-    return hit | number.isNull() if heavy_null else hit
-
-
-def _with_bucket(df: DataFrame, number: Column, cuts: Sequence[float], name: str) -> DataFrame:
-    """Number of the interval [cut, next cut) a value lies in, by binary search."""
-    inner = [c for c in cuts if abs(c) != float("inf")]
-    if not inner:
-        return df.withColumn(name, F.lit(0))
-    splits = [-float("inf"), *inner, float("inf")]
-    source = f"{name}_number"
-    placed = Bucketizer(splits=splits, inputCol=source, outputCol=name, handleInvalid="keep").transform(
-        df.withColumn(source, F.coalesce(number, F.lit(0.0))))
-    return placed.withColumn(name, F.col(name).cast("int")).drop(source)
-
-
-def _directed(key: SortKey, slot: Column) -> Column:
-    """Slot numbers that rise in sort order, missing values at the end the key asks for."""
-    outside = F.lit(1 << 20) if key.nulls_last else F.lit(-(1 << 20))
-    return F.when(F.col(key.name).isNull(), outside).otherwise(-slot if key.descending else slot)
-
-
-def _with_slices(df: DataFrame, keys: Sequence[str], order: Sequence[SortKey], slices: int | None) -> DataFrame:
-    """Add the group (_group) and the slice (_lead, _sub), numbered in sort order."""
-    cuts = _find_cuts(df, order, slices or default_slices(df.sparkSession))
-    number, _ = _measure(df, order[0].name)
-    out = _with_bucket(df, number, cuts.lead, "_bucket")
-    # A heavy value is a cut point, hence the smallest value of its interval.
-    heavy = F.coalesce(number.isin(*cuts.heavy), F.lit(False)) if cuts.heavy else F.lit(False)
-    lead = _directed(order[0], 2 * F.col("_bucket") + F.when(heavy, 0).otherwise(1))
-    sub = F.lit(0)
-    if cuts.second:
-        follow, _ = _measure(df, order[1].name)
-        out = _with_bucket(out, follow, cuts.second, "_inner")
-        sub = F.when(_is_heavy(number, cuts.heavy, cuts.heavy_null), _directed(order[1], F.col("_inner"))).otherwise(0)
+def _slices(df: DataFrame, keys: Sequence[str], order: Sequence[SortKey], slices: int | None = None) -> DataFrame:
+    """``df`` stored with its group (_group) and slice (_slice, rising in sort order)."""
     group = F.struct(*keys) if keys else F.struct(F.lit(0).alias("all"))
-    return out.withColumns({"_group": group, "_lead": lead, "_sub": sub}).drop("_bucket", "_inner")
+    by = [F.col("_group"), *columns_of(order), F.xxhash64(*df.columns)]
+    named = df.withColumn("_group", group)
+    placed = named.repartitionByRange(slices, *by) if slices else named.repartitionByRange(*by)
+    return through_storage(placed.withColumn("_slice", F.spark_partition_id()), "slices")
 
 
-_HELPERS = ("_group", "_lead", "_sub")
-_BEFORE = (Window.unboundedPreceding, -1)
+def _ranked_values(sliced: DataFrame, key: SortKey, slices: int | None) -> DataFrame:
+    """(_key, _before, _nth, _n) per group and value of the sort key: rows before it, its number, rows that have it.
+
+    The rows are counted per value first, so values are what is put in order here, however many rows share one.
+    """
+    counts = sliced.groupBy("_group", key.name).agg(F.count(F.lit(1)).alias("_n"))
+    values = _slices(counts, ["_group"], [key], slices)
+    summary = values.groupBy(*_HELPERS).agg(F.sum("_n").alias("_rows"), F.count(F.lit(1)).alias("_values"))
+    along = Window.partitionBy("_group").orderBy("_slice").rowsBetween(*_BEFORE)
+    summary = summary.select(*_HELPERS, *[F.coalesce(F.sum(c).over(along), F.lit(0)).alias(f"{c}_before") for c in ("_rows", "_values")])
+    here = Window.partitionBy(*_HELPERS).orderBy(key.column())
+    return values.join(summary, list(_HELPERS)).select(
+        F.struct(F.col("_group.*"), F.col(key.name)).alias("_key"),
+        (F.col("_rows_before") + F.sum("_n").over(here.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_n")).alias("_before"),
+        (F.col("_values_before") + F.row_number().over(here)).alias("_nth"), "_n")
 
 
 def with_ranks(df: DataFrame, keys: Sequence[str], order: Sequence[SortKey], *, row_number: str | None = None,
@@ -138,50 +62,46 @@ def with_ranks(df: DataFrame, keys: Sequence[str], order: Sequence[SortKey], *,
     """
     if row_number and len(order) < 2:
         raise ValueError("row numbers need a tie-break after the leading sort key")
-    sliced = _with_slices(df, keys, order, slices)
-    value = order[0].name
-    summary = sliced.groupBy("_group", "_lead", "_sub").agg(F.count(F.lit(1)).alias("_n"))
-    along = Window.partitionBy("_group").orderBy("_lead", "_sub")
-    per_lead = Window.partitionBy("_group", "_lead")
-    summary = (summary
-               .withColumn("_rows_before", F.coalesce(F.sum("_n").over(along.rowsBetween(*_BEFORE)), F.lit(0)))
-               .withColumn("_lead_before", F.min("_rows_before").over(per_lead))
-               .withColumn("_lead_n", F.sum("_n").over(per_lead)))
-    if dense_rank:
-        distinct = (sliced.groupBy("_group", "_lead").agg(F.countDistinct(F.col(value)).alias("_d"))
-                    .withColumn("_d", F.greatest("_d", F.lit(1))))
-        steps = Window.partitionBy("_group").orderBy("_lead").rowsBetween(*_BEFORE)
-        distinct = distinct.select("_group", "_lead",
-                                   F.coalesce(F.sum("_d").over(steps), F.lit(0)).alias("_values_before"))
-        summary = summary.join(distinct, ["_group", "_lead"])
-    joined = sliced.join(summary, list(_HELPERS))
-    w_all = Window.partitionBy(*_HELPERS).orderBy(*columns_of(order))
-    w_value = Window.partitionBy(*_HELPERS).orderBy(order[0].column())
-    made = {}
+    out = sliced = _slices(df, keys, order, slices)
     if row_number:
-        made[row_number] = F.col("_rows_before") + F.row_number().over(w_all)
-    if rank or average_rank:
-        made["_rank"] = F.col("_lead_before") + F.rank().over(w_value)
-    if dense_rank:
-        made[dense_rank] = F.col("_values_before") + F.dense_rank().over(w_value)
-    if average_rank:
-        # Rows of a sub-divided slice all tie; elsewhere the peers sit in one slice.
-        peers = F.count(F.lit(1)).over(w_value.rangeBetween(Window.currentRow, Window.currentRow))
-        made["_peers"] = F.when(F.col("_n") < F.col("_lead_n"), F.col("_lead_n")).otherwise(peers)
-    out = joined.withColumns(made)
-    if average_rank:
-        out = out.withColumn(average_rank, F.col("_rank") + (F.col("_peers") - 1) / F.lit(2.0))
-    if rank:
-        out = out.withColumn(rank, F.col("_rank"))
-    wanted = [c for c in (row_number, rank, dense_rank, average_rank) if c]
-    return out.select(*df.columns, *wanted)
+        summary = sliced.groupBy(*_HELPERS).agg(F.count(F.lit(1)).alias("_n"))
+        along = Window.partitionBy("_group").orderBy("_slice").rowsBetween(*_BEFORE)
+        summary = summary.select(*_HELPERS, F.coalesce(F.sum("_n").over(along), F.lit(0)).alias("_rows_before"))
+        here = Window.partitionBy(*_HELPERS).orderBy(*columns_of(order))
+        out = sliced.join(summary, list(_HELPERS)).withColumn(row_number, F.col("_rows_before") + F.row_number().over(here))
+    if rank or dense_rank or average_rank:
+        # One row per value comes back to all rows that have it; Spark can split a crowded value.
+        out = joined_on_key(out, ["_group", order[0].name], _ranked_values(sliced, order[0], slices), "inner")
+        made = {rank: F.col("_before") + 1, dense_rank: F.col("_nth"),
+                average_rank: F.col("_before") + 1 + (F.col("_n") - 1) / F.lit(2.0)}
+        out = out.withColumns({name: c for name, c in made.items() if name})
+    return out.select(*df.columns, *[c for c in (row_number, rank, dense_rank, average_rank) if c])
+
+
+def with_rolling_sum(df: DataFrame, keys: Sequence[str], order: Sequence[SortKey], value: str, name: str, rows: int,
+                     slices: int | None = None) -> DataFrame:
+    """Sum of an exact number over the last ``rows`` rows of the key, this one included; NULL if all of them are NULL.
+
+    The difference of two running totals that lie ``rows`` rows apart, found by row number.
+    """
+    marked = with_ranks(df.withColumn("_known", F.col(value).isNotNull().cast("long")), keys, order, row_number="_row", slices=slices)
+    totals = with_running_total(marked.withColumn("_value", F.coalesce(F.col(value), F.lit(0).cast(df.schema[value].dataType))),
+                                keys, order, "_value", "_sum", slices)
+    totals = with_running_total(totals, keys, order, "_known", "_count", slices)
+    key = F.struct(*keys) if keys else F.struct(F.lit(0).alias("all"))
+    earlier = totals.select(F.xxhash64(key).alias("_hash"), key.alias("_theirs"), (F.col("_row") + rows).alias("_row_then"),
+                            F.col("_sum").alias("_sum_then"), F.col("_count").alias("_count_then"))
+    joined = totals.withColumn("_mine", key).join(
+        earlier, (F.xxhash64("_mine") == F.col("_hash")) & (F.col("_mine") == F.col("_theirs")) & (F.col("_row") == F.col("_row_then")), "left")
+    known = F.col("_count") - F.coalesce("_count_then", F.lit(0))
+    return joined.withColumn(name, F.when(known > 0, F.col("_sum") - F.coalesce("_sum_then", F.lit(0)))).select(*df.columns, name)
 
 
 def with_running_total(df: DataFrame, keys: Sequence[str], order: Sequence[SortKey], value: str, name: str,
                        slices: int | None = None) -> DataFrame:
     """Sum of ``value`` over the rows of the key up to and including this one."""
-    sliced = _with_slices(df, keys, order, slices)
-    along = Window.partitionBy("_group").orderBy("_lead", "_sub").rowsBetween(*_BEFORE)
+    sliced = _slices(df, keys, order, slices)
+    along = Window.partitionBy("_group").orderBy("_slice").rowsBetween(*_BEFORE)
     summary = sliced.groupBy(*_HELPERS).agg(F.sum(value).alias("_sum"))
     summary = summary.select(*_HELPERS, F.sum("_sum").over(along).alias("_carried"))
     here = Window.partitionBy(*_HELPERS).orderBy(*columns_of(order)).rowsBetween(Window.unboundedPreceding, 0)
@@ -193,13 +113,13 @@ def with_running_total(df: DataFrame, keys: Sequence[str], order: Sequence[SortK
 def _fill(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str], slices: int | None,
           forward: bool) -> DataFrame:
     sort = [SortKey(c) for c in order]
-    sliced = _with_slices(df, keys, sort, slices)
+    sliced = _slices(df, keys, sort, slices)
     position = F.struct(*order)
     pick = F.max_by if forward else F.min_by
     summary = sliced.groupBy(*_HELPERS).agg(
         *[pick(F.col(c), F.when(F.col(c).isNotNull(), position)).alias(f"_edge_{c}") for c in columns])
     span = (Window.unboundedPreceding, -1) if forward else (1, Window.unboundedFollowing)
-    along = Window.partitionBy("_group").orderBy("_lead", "_sub").rowsBetween(*span)
+    along = Window.partitionBy("_group").orderBy("_slice").rowsBetween(*span)
     take = F.last if forward else F.first
     summary = summary.select(*_HELPERS, *[take(f"_edge_{c}", True).over(along).alias(f"_from_{c}") for c in columns])
     local_span = (Window.unboundedPreceding, 0) if forward else (0, Window.unboundedFollowing)
@@ -225,10 +145,10 @@ def with_neighbour(df: DataFrame, keys: Sequence[str], order: Sequence[str], col
                    following: bool = False, slices: int | None = None) -> DataFrame:
     """The column's value in the row before (or after) this one; ``order`` is ascending, unique per key."""
     sort = [SortKey(c) for c in order]
-    sliced = _with_slices(df, keys, sort, slices)
+    sliced = _slices(df, keys, sort, slices)
     value = F.struct(F.col(column).alias("v"))
     edge = (F.min_by if following else F.max_by)(value, F.struct(*order))
-    along = Window.partitionBy("_group").orderBy("_lead", "_sub")
+    along = Window.partitionBy("_group").orderBy("_slice")
     shift = F.lead if following else F.lag
     summary = (sliced.groupBy(*_HELPERS).agg(edge.alias("_edge"))
                .select(*_HELPERS, shift("_edge").over(along).alias("_across")))
@@ -241,15 +161,13 @@ def with_neighbour(df: DataFrame, keys: Sequence[str], order: Sequence[str], col
 def exact_quantiles(df: DataFrame, column: str, fractions: Sequence[float], slices: int | None = None) -> DataFrame:
     """Exact quantiles with linear interpolation: one row (fraction, value) each.
 
-    Equal values are counted first.  Slice totals (a bounded handful of rows) tell
+    Equal values are counted first.  Slice totals (one row per partition) tell
     in which slices the wanted positions lie; only those slices are sorted.
     """
     counts = (df.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("_v"))
               .agg(F.count(F.lit(1)).alias("_n")))
-    cuts = _find_cuts(df.select(F.col(column).alias("_v")), [SortKey("_v")], slices or default_slices(df.sparkSession))
-    number, _ = _measure(counts, "_v")
-    sliced = _with_bucket(counts, number, cuts.lead, "_lead")
-    totals = sorted((r._lead, r.n) for r in sliced.groupBy("_lead").agg(F.sum("_n").alias("n")).collect())
+    sliced = _slices(counts, [], [SortKey("_v")], slices)
+    totals = sorted((r._slice, r.n) for r in sliced.groupBy("_slice").agg(F.sum("_n").alias("n")).collect())
     whole = sum(n for _, n in totals)
     positions = {f: (whole - 1) * f for f in fractions}
     wanted = {int(p) for p in positions.values()} | {min(int(p) + 1, whole - 1) for p in positions.values()}
@@ -264,9 +182,9 @@ def exact_quantiles(df: DataFrame, column: str, fractions: Sequence[float], slic
         return df.sparkSession.createDataFrame([(float(f), None) for f in fractions], schema)
     start = F.lit(0)
     for lead in needed:
-        start = F.when(F.col("_lead") == lead, F.lit(base[lead])).otherwise(start)
-    running = Window.partitionBy("_lead").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    placed = (sliced.filter(F.col("_lead").isin(*needed))
+        start = F.when(F.col("_slice") == lead, F.lit(base[lead])).otherwise(start)
+    running = Window.partitionBy("_slice").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    placed = (sliced.filter(F.col("_slice").isin(*needed))
               .withColumn("_end", start + F.sum("_n").over(running))
               .withColumn("_start", F.col("_end") - F.col("_n")))
 

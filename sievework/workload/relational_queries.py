@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from sievework.functions import parse, text
 from sievework.operators import aggregate, compare, dedup, history, joins, profile
 from sievework.operators.order import asc, desc
-from sievework.operators.sliced import exact_quantiles, with_neighbour, with_ranks, with_running_total
+from sievework.operators.sliced import exact_quantiles, with_neighbour, with_ranks, with_rolling_sum, with_running_total
 from sievework.session import through_storage
 from sievework.workload import feeds
 from sievework.workload.catalog import cents, iso, n_rows, query
@@ -357,6 +357,18 @@ query("running_total",
                                    [asc("o_orderdate"), asc("o_orderkey")], "cents", "running").select("o_orderkey", "running"),
       f"""SELECT o_orderkey, CAST(sum({CENTS('o_totalprice')}) OVER (PARTITION BY o_orderpriority ORDER BY o_orderdate, o_orderkey
          ROWS UNBOUNDED PRECEDING) AS BIGINT) AS running FROM orders""")
+query("rolling_sum_last_rows",
+      lambda t: with_rolling_sum(t.orders.select("o_orderkey", "o_orderpriority", "o_orderdate", cents("o_totalprice").alias("cents")),
+                                 ["o_orderpriority"], [asc("o_orderdate"), asc("o_orderkey")], "cents", "last_seven", 7)
+      .select("o_orderkey", "last_seven"),
+      f"""SELECT o_orderkey, CAST(sum({CENTS('o_totalprice')}) OVER (PARTITION BY o_orderpriority ORDER BY o_orderdate, o_orderkey
+         ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS BIGINT) AS last_seven FROM orders""")
+query("ranks_of_crowded_text",
+      lambda t: with_ranks(t.orders.select("o_orderkey", "o_orderstatus", "o_orderpriority", F.concat(F.lit("Customer#00000"), C("o_custkey").cast("string")).alias("name")),
+                           [], [asc("o_orderstatus"), asc("o_orderpriority"), desc("name"), asc("o_orderkey")], row_number="rn", rank="rk",
+                           dense_rank="dr").select("o_orderkey", "rn", "rk", "dr"),
+      """SELECT o_orderkey, row_number() OVER (ORDER BY o_orderstatus, o_orderpriority, 'Customer#00000' || o_custkey DESC, o_orderkey) AS rn,
+         rank() OVER (ORDER BY o_orderstatus) AS rk, dense_rank() OVER (ORDER BY o_orderstatus) AS dr FROM orders""")
 query("previous_row",
       lambda t: with_neighbour(t.orders, ["o_orderpriority"], ["o_orderdate", "o_orderkey"], "o_custkey", "previous")
       .select("o_orderkey", "previous"),

@@ -57,9 +57,16 @@ def test_carried_values_equal_plain_windows(skewed):
 
 def test_no_slice_holds_the_hot_group(skewed):
     """The point of slicing: the largest unit of window work is far below the hot key's 4,800 rows."""
-    for order in ([asc("v"), asc("id")], [asc("t"), asc("id")]):
-        cut = sliced._with_slices(skewed, ["k"], order, 16)
-        assert cut.groupBy("_group", "_lead", "_sub").count().agg(F.max("count")).first()[0] < 900
+    crowded = skewed.withColumns({"a": C("id") % 3, "b": C("id") % 2, "c": F.lit(1), "name": F.concat(F.lit("Customer#0000"), C("id").cast("string"))})
+    for order in ([asc("v"), asc("id")], [asc("t"), asc("id")], [asc("v")], [asc("a"), asc("b"), asc("c"), asc("id")], [desc("name")], [asc("c")]):
+        cut = sliced._slices(crowded, ["k"], order, 16)
+        assert cut.groupBy("_group", "_slice").count().agg(F.max("count")).first()[0] < 900
+
+
+def test_rolling_sum_equals_a_plain_window(skewed):
+    frame = W.partitionBy("k").orderBy("t", "id").rowsBetween(-4, 0)
+    got = sliced.with_rolling_sum(skewed, ["k"], [asc("t"), asc("id")], "v", "x", 5, 16)
+    assert compare.same_rows(got, skewed.withColumn("x", F.sum("v").over(frame)))
 
 
 @pytest.mark.parametrize("column", ["v", "t"])
