@@ -35,8 +35,8 @@ FIRST_BAND = 64
 FILL = 1.9
 #: Signatures shared by more components than this, or by more sets than its square, are ordered last.
 FREQUENT = 16
-#: Rounds of comparisons with one centre per group; they end earlier if all pairs left are at most so many per row.
-STAR_ROUNDS, PAIRS_PER_ROW = 6, 4
+#: Most rounds of comparisons with one centre per group.
+STAR_ROUNDS = 6
 BINS = 64
 
 _RNG = np.random.default_rng(20240229)
@@ -245,7 +245,7 @@ class _Join:
         groups = light.groupBy("n", "fp1", "fp2").agg(F.min("node").alias("b"), F.count(F.lit(1)).alias("c")).where("c > 1")
         self.copies = self.scratch.store(light.join(groups, ["n", "fp1", "fp2"]).where("node <> b")
                                          .select(F.col("node").alias("a"), "b"), "equal-sets")
-        self.links, self.tested, self.roots = self.copies, None, None
+        self.links, self.tested, self.roots, self.n_rows = self.copies, None, None, self.facts.count()
 
     def prefix_rows(self) -> DataFrame:
         return self.facts.select("node", F.explode("sigs").alias("sig"))
@@ -306,26 +306,36 @@ class _Join:
         self.roots = self.scratch.store(connected_components(self.links), "roots", replace=True)
 
     def stars(self, rows: DataFrame) -> DataFrame:
-        """Compare every member of a signature's group with one centre, until comparing all that is left costs little more.
+        """Compare every member of a signature's group with one centre, and go on with groups in which that joined something.
 
-        Returns the unresolved rows.
+        Returns the unresolved rows, once comparing all that is left in such groups takes no more
+        pairs than the table has rows.
         """
         left = self.unresolved(rows)
+        groups = self.scratch.store(self._groups(left), "groups")
         for k in range(STAR_ROUNDS):
-            per_comp = left.groupBy("sig", "comp").agg(F.count(F.lit(1)).alias("n"))
-            sums = per_comp.groupBy("sig").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("q"))
-            work = sums.agg(F.sum("n").alias("rows"), F.sum((F.col("n") * F.col("n") - F.col("q")) / 2).alias("pairs")).first()
-            if work["rows"] is None or k and work["pairs"] <= PAIRS_PER_ROW * work["rows"]:
+            work = groups.agg(F.sum((F.col("n") * F.col("n") - F.col("q")) / 2).alias("pairs")).first()
+            if work["pairs"] is None or work["pairs"] <= self.n_rows:
                 break
             order = F.struct(F.xxhash64("node", F.lit(k)).alias("h"), F.col("node"), F.col("comp"))
-            centre = left.groupBy("sig").agg(F.min(order).alias("centre"))
-            pairs = (left.join(centre, "sig").where("comp <> centre.comp")
+            open_rows = left.join(groups.select("sig"), "sig", "left_semi")
+            centre = open_rows.groupBy("sig").agg(F.min(order).alias("centre"))
+            pairs = (open_rows.join(centre, "sig").where("comp <> centre.comp")
                      .select(F.col("node").alias("a"), F.col("centre.node").alias("b")))
             if not self.compare(pairs):
                 break
             left = self.unresolved(left)
+            now = self._groups(left).join(groups.select("sig", F.col("c").alias("before")), "sig").where("c < before").drop("before")
+            groups = self.scratch.store(now, "groups", replace=True)
+        self.scratch.drop("groups")
         return left
 
+    @staticmethod
+    def _groups(rows: DataFrame) -> DataFrame:
+        """Per signature: rows, sum of the squared sizes of its components, number of components."""
+        sizes = rows.groupBy("sig", "comp").agg(F.count(F.lit(1)).alias("n"))
+        return sizes.groupBy("sig").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("q"), F.count(F.lit(1)).alias("c"))
+
     def shared(self, rows: DataFrame) -> DataFrame:
         """Rows (node, sig) whose signature at least two rows have."""
         counts = rows.groupBy("sig").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("sig")
@@ -347,9 +357,7 @@ class _Join:
 
     def _frequent(self, rows: DataFrame) -> DataFrame:
         """Signatures of more than 16 components, or of more than 256 sets in several; ``rows`` has sig and comp."""
-        counts = (rows.groupBy("sig", "comp").agg(F.count(F.lit(1)).alias("n"))
-                  .groupBy("sig").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("n")))
-        return self.scratch.store(counts.where((F.col("c") > FREQUENT) | (F.col("c") > 1) & (F.col("n") > FREQUENT ** 2)).select("sig"), "frequent")
+        return self.scratch.store(self._groups(rows).where((F.col("c") > FREQUENT) | (F.col("c") > 1) & (F.col("n") > FREQUENT ** 2)).select("sig"), "frequent")
 
     def _reordered(self, left: DataFrame, frequent: DataFrame) -> DataFrame:
         """Unresolved rows after the frequent signatures have moved to the end of the order.
