@@ -27,8 +27,9 @@ from sievework.session import scratch_path, through_storage
 
 #: Words of the lexicon; it stays below a few MB whatever the corpus.
 LEXICON_WORDS = 65_536
-#: Pre-tokens whose ids a worker remembers besides the lexicon.
-MEMO_PIECES = 100_000
+#: Units and pre-tokens whose ids a worker remembers besides the lexicon.
+MEMO_UNITS = 80_000
+MEMO_PIECES = 50_000
 #: Longer pre-tokens are merged with a heap.
 HEAP_FROM = 64
 
@@ -308,7 +309,7 @@ def _worker(tokenizer_path: str, lexicon: str) -> tuple[ByteBpe, UnitEncoder]:
             return [known.ids_at(p) if p >= 0 else np.array(model.encode(u), dtype=np.uint32) for u, p in zip(units, places)]
 
         _WORKERS.clear()
-        _WORKERS[tokenizer_path, lexicon] = model, UnitEncoder(encode)
+        _WORKERS[tokenizer_path, lexicon] = model, UnitEncoder(encode, MEMO_UNITS)
     return _WORKERS[tokenizer_path, lexicon]
 
 
