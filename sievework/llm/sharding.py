@@ -2,17 +2,29 @@
 
 Law ``rows``: at the end the shards' row counts differ by one at most.  All steps are
 DataFrame joins and aggregations on (id, size, hash) rows; texts are read once.
+
+The labels are wishes.  Groups of equal texts are then placed as wholes: the large ones (at most
+``shards * LARGE``) are packed one by one, the small ones follow in the order of their labels, and
+unlinked rows make way: they fill what the groups leave free.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sievework.llm.columns import numbered
 from sievework.session import through_storage
 
 ROUNDS = 4
+#: A group of over 1 / LARGE of a shard is packed by itself.
+LARGE = 64
+#: Places in the order of rows: large groups that share a shard with others have its number; behind them come the
+#: large groups that are cut, one place each, then small groups, then unlinked rows.
+_SMALL, _SINGLE = 1 << 30, (1 << 30) + 1
 
 
 def _bucket(c: Column, n: int) -> Column:
@@ -86,14 +98,70 @@ def propagate(nodes: DataFrame, links: DataFrame, shards: int, rounds: int = ROU
     return through_storage(labels, "labels-final")
 
 
+def _packed(sizes: list[int], wishes: list[int | None], room: list[int]) -> list[list[tuple[int, int]]]:
+    """(shard, rows) pieces of every group, the sizes descending; one piece wherever one shard has room for all of it.
+
+    A group that no shard can take fills the shards with most room, so that it ends in as few as possible.
+    """
+    room, out = list(room), []
+    for n, wish in zip(sizes, wishes):
+        pieces, left = [], n
+        while left:
+            fits = [i for i, r in enumerate(room) if r >= left and i not in [x for x, _ in pieces]]
+            if fits:
+                to = wish if wish in fits and not pieces else min(fits, key=lambda i: (room[i], i))
+            else:
+                to = max(range(len(room)), key=lambda i: (room[i], -i))
+            take = min(left, room[to])
+            pieces.append((to, take))
+            room[to], left = room[to] - take, left - take
+        out.append(pieces)
+    return out
+
+
+def _pack(sizes: list[int], wishes: list[int], room: list[int]) -> list[list[tuple[int, int]]]:
+    """The packing with the wished shards, or the tightest one if that cuts fewer groups."""
+    both = [_packed(sizes, w, room) for w in (wishes, [None] * len(sizes))]
+    return min(both, key=lambda pieces: sum(map(len, pieces)))
+
+
+def _lookup(rank: Column, intervals: list[tuple[int, int, int]]) -> Column:
+    """Struct (shard, slot) of a rank by (first rank, shard, first slot) intervals: a tree of comparisons."""
+    if len(intervals) == 1:
+        first, shard, slot = intervals[0]
+        return F.struct(F.lit(shard).cast("int").alias("shard"), (rank - F.lit(first) + F.lit(slot)).cast("long").alias("slot"))
+    half = len(intervals) // 2
+    return F.when(rank < F.lit(intervals[half][0]), _lookup(rank, intervals[:half])).otherwise(_lookup(rank, intervals[half:]))
+
+
+def _ends(room: list[int], rows: int, singles: int, first: int, groups: DataFrame) -> list[int]:
+    """How many of the ``rows`` of small groups lie in the shards up to each one; a cut moves behind the group it would part.
+
+    ``groups`` has lo (first rank) and n.  Every shard holds back its share of room for unlinked
+    rows, so that there is room for the rest of a group.
+    """
+    spare, nominal = singles // len(room), []
+    for r in room:
+        nominal.append(min(rows, (nominal[-1] if nominal else 0) + r - min(r, spare)))
+    cuts = sorted({x for x in nominal if 0 < x < rows})
+    parted = groups.where(reduce(lambda a, b: a | b, [(F.col("lo") < first + c) & (F.col("lo") + F.col("n") > first + c) for c in cuts],
+                                 F.lit(False))).collect() if cuts else []  # one group per cut at most
+    ends, start = [], 0
+    for r, x in zip(room, nominal):
+        behind = next((g["lo"] + g["n"] - first for g in parted if g["lo"] < first + x < g["lo"] + g["n"]), x)
+        start = max(start, min(behind, start + r))
+        ends.append(start)
+    return ends
+
+
 def shard_rows(docs: DataFrame, shards: int = 16, rounds: int = ROUNDS) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard for every row of ``docs``.
 
     Needs doc_id and text.  NULL text counts as empty; NULL or repeated ids and repeated rows
     keep one row each; extra columns are not read; an empty table gives an empty result.
-    After the propagation all rows are numbered in the order of their label and text, and
-    the numbers are cut into ``shards`` runs whose lengths differ by one at most: a group of
-    equal texts is cut only where it crosses one of these ``shards - 1`` cuts.
+    A group of equal texts is cut where no shard has room for all of it beside the larger ones,
+    and then into as few shards as have the room.  A small group (up to 1 / ``LARGE`` of a shard) is
+    cut only at one of ``shards - 1`` borders, and only where unlinked rows are too few to make way.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     facts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"),
@@ -101,12 +169,45 @@ def shard_rows(docs: DataFrame, shards: int = 16, rounds: int = ROUNDS) -> DataF
                         F.hash(text).alias("h2"))
     facts = through_storage(facts.select("doc_id", "size", "text_crc32", F.struct("size", "text_crc32", "h1", "h2").alias("fingerprint"),
                                          F.monotonically_increasing_id().alias("node")), "shard-facts")
-    linked = text_links(facts)
-    placed = facts.join(propagate(facts, linked, shards, rounds), "node")
-    ranked = numbered(placed, ["label", "fingerprint", "doc_id", "node"], "rank", "shard-order")
+    labels = propagate(facts, text_links(facts), shards, rounds)
     n = facts.count()
-    shard = F.expr(f"cast((rank * {shards}L) div {max(n, 1)}L as int)")
-    first = F.expr(f"(shard * {n}L + {shards - 1}L) div {shards}L")  # first number of the shard, rounded up
-    return (ranked.withColumn("shard", shard)
-            .select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard",
-                    (F.col("rank") - first).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard")))
+    room = [-(-(s + 1) * n // shards) + (-s * n // shards) for s in range(shards)]  # row counts of the shards
+
+    by_label = (facts.join(labels, "node").groupBy("fingerprint", "label").agg(F.count(F.lit(1)).alias("k"))
+                .groupBy("fingerprint").agg(F.sum("k").alias("n"), F.max(F.struct("k", (-F.col("label")).alias("l"))).alias("best")))
+    groups = through_storage(by_label.where("n > 1").select("fingerprint", "n", (-F.col("best.l")).alias("wish")), "shard-groups")
+    large = (groups.where(F.col("n") * (shards * LARGE) > n).orderBy(F.desc("n"), "fingerprint").collect())  # at most shards * LARGE rows
+    pieces = _pack([g["n"] for g in large], [g["wish"] for g in large], room)
+    places, cut = [], []
+    for g, parts in zip(large, pieces):
+        places.append((g["fingerprint"], parts[0][0] if len(parts) == 1 else shards + len(cut)))
+        cut += [parts] if len(parts) > 1 else []
+    intervals, rank, used = [], 0, [0] * shards
+
+    def give(shard: int, rows: int) -> None:
+        nonlocal rank
+        if rows:
+            intervals.append((rank, shard, used[shard]))
+            rank, used[shard] = rank + rows, used[shard] + rows
+
+    for s in range(shards):
+        give(s, sum(parts[0][1] for parts in pieces if len(parts) == 1 and parts[0][0] == s))
+    for parts in cut:
+        for s, rows in parts:
+            give(s, rows)
+    known = docs.sparkSession.createDataFrame(places, facts.select("fingerprint").schema.add("place", T.IntegerType()))
+    placed = facts.join(groups.join(known, "fingerprint", "left"), "fingerprint", "left").select(
+        "doc_id", "size", "text_crc32", "fingerprint", "node", F.col("n").isNotNull().alias("linked"), "wish",
+        F.coalesce("place", F.when(F.col("n").isNotNull(), F.lit(_SMALL)).otherwise(F.lit(_SINGLE))).alias("place"))
+    ranked = numbered(placed, ["place", "wish", "fingerprint", "doc_id", "node"], "rank", "shard-order")
+    small = ranked.where(F.col("place") == _SMALL).groupBy("fingerprint").agg(F.min("rank").alias("lo"), F.count(F.lit(1)).alias("n"))
+    sums = groups.join(known, "fingerprint", "left").where("place is null").agg(F.sum("n").alias("n")).first()
+    rows, free = sums["n"] or 0, [r - u for r, u in zip(room, used)]
+    ends = _ends(free, rows, n - rank - rows, rank, small)
+    for s, (a, b) in enumerate(zip([0, *ends], ends)):
+        give(s, b - a)
+    for s in range(shards):
+        give(s, room[s] - used[s])
+    return (ranked.withColumn("at", _lookup(F.col("rank"), intervals or [(0, 0, 0)]))
+            .select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), F.col("at.shard").alias("shard"),
+                    F.col("at.slot").alias("slot"), F.lit(None).cast("int").alias("grown_shard")))

@@ -191,6 +191,21 @@ def test_equal_texts_share_a_shard(spark):
     assert sum(len(s) > 1 for s in where.values()) <= 25  # 15 cuts, and moves for which there was no room
 
 
+def test_groups_that_fit_a_shard_stay_whole(spark):
+    """Groups of 33 %, 10 %, 5 %, 1 % and few rows among unlinked ones; a shard has 6.25 % of the rows."""
+    sizes = [2640, 800, 400, 400, 80, 80, 80] + [3] * 200
+    texts = [f"group {g}" for g, n in enumerate(sizes) for _ in range(n)]
+    texts += [f"single {k}" for k in range(8000 - len(texts))]
+    random.Random(5).shuffle(texts)
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got, where = sharding.shard_rows(frame).collect(), {}
+    assert sorted(r.doc_id for r in got) == list(range(8000)) and set(Counter(r.shard for r in got).values()) == {500}
+    assert len({(r.shard, r.slot) for r in got}) == 8000 and max(r.slot for r in got) == 499
+    for r in got:
+        where.setdefault(texts[r.doc_id], set()).add(r.shard)
+    assert {t: len(s) for t, s in where.items() if len(s) > 1} == {"group 0": 6, "group 1": 2}
+
+
 def test_quality(edge, none):
     got = quality.judge(edge, ["doc_id"]).select("d.doc_id", *[f"m.{c}" for c in quality.MEASURES], "base_failed", "kept").collect()
     want = Counter()
