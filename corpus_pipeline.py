@@ -17,6 +17,10 @@ from sievework.session import configure, scratch_path
 from sievework.workload.catalog import Tables, query
 
 
+#: Passages of over 50 words that repeat go, however few bytes they have.
+PASSAGE_WORDS = 51
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the fences of their language and source."""
     configure(spark)
@@ -30,9 +34,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the bytes of passages of 400 bytes or more that occur elsewhere; documents with no word left go."""
+    """Texts without passages of over 50 words, or of 400 bytes or more, that occur elsewhere; documents with no word left go."""
     configure(spark)
-    cut = repeats.without_repeats(docs, docs.columns, with_text=True)
+    cut = repeats.without_repeats(docs, docs.columns, with_text=True, n_words=PASSAGE_WORDS)
     left = cut.where("n_removed = 0 or kept_text rlike '[^\\\\x20\\\\x09-\\\\x0D]'")
     changed = {"text": F.col("kept_text"), "n_chars": F.when(F.col("n_removed") > 0, F.length("kept_text")).otherwise(F.col("d.n_chars")).cast("long")}
     return left.select(*[changed.get(c, F.col(f"d.`{c}`")).alias(c) for c in docs.columns])

@@ -1,12 +1,12 @@
 """Removal of byte passages that occur more than once in the corpus, found by suffix arrays.
 
-A string of ``LENGTH`` bytes chooses one of its 64-byte grams, that with the smallest hash, as its
+A string of ``length`` bytes (400 if nothing else is said) chooses one of its 64-byte grams, that with the smallest hash, as its
 anchor; equal strings choose the same gram at the same place.  So every start of such a string
 belongs to one anchor, and equal strings meet in the group of their anchor's hash, wherever they are.
 The starts of an anchor are cut by their distance from it; all starts of one cut share a core
-of at least 310 bytes, and only equal cores have to be compared.  A group of equal cores becomes one text, its
-suffix array is built in linear time, and neighbours with a common prefix of ``LENGTH`` bytes
-are repeats.
+of at least 310 bytes (all three sizes follow from the length), and only equal cores have to be compared.  A group of equal cores becomes one text, its
+suffix array is built in linear time, and neighbours with a common prefix of ``length`` bytes
+are repeats.  Passages counted in words are found the same way in the codes of the words, eight bytes each.
 
 Equal segments are counted before anything else, so a group of many copies is one segment in
 the suffix array.  A core with more segments than ``SEGMENTS`` is compared by counting the
@@ -15,6 +15,7 @@ hashes of its single strings, which Spark combines before the shuffle.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,10 +27,9 @@ from sievework.llm.jaccard import _BYTE, _STEP, _STEP_BACK, mixed
 from sievework.llm.suffixes import repeated_starts
 from sievework.session import through_storage
 
-LENGTH, GRAM = 400, 64
-WINDOW = LENGTH - GRAM + 1
-#: Starts of an anchor are cut into classes of so many distances.
-CUT = 90
+LENGTH = 400
+#: Bytes of the code of a word.
+CODE = 8
 #: Most segments of one suffix array (about 1 MB); cores with more are counted string by string.
 SEGMENTS = 2000
 #: Bytes of text worked on at a time.
@@ -37,12 +37,22 @@ CHUNK = 1 << 21
 _POSITION = np.uint64(CHUNK * 4 - 1)
 
 
-def chunks(texts: list[bytes], size: int = CHUNK) -> Iterator[tuple[list[bytes], list[int], list[int]]]:
+def gram_of(length: int) -> int:
+    """Bytes of an anchor's gram: 64 for 400 bytes and above, less for shorter strings."""
+    return max(1, min(64, length * 4 // 25))
+
+
+def cut_of(length: int) -> int:
+    """Starts of an anchor are cut into classes of so many distances: 90 for 400 bytes."""
+    return max(1, length * 9 // 40)
+
+
+def chunks(texts: list[bytes], size: int = CHUNK, length: int = LENGTH) -> Iterator[tuple[list[bytes], list[int], list[int]]]:
     """(pieces, rows, offsets): all texts in runs of about ``size`` bytes; a long text is cut so that each start is in one piece."""
     pieces, rows, offsets, held = [], [], [], 0
     for row, text in enumerate(texts):
-        for a in range(0, max(1, len(text) - LENGTH + 1), size):
-            piece = text[a:a + size + LENGTH - 1]
+        for a in range(0, max(1, len(text) - length + 1), size):
+            piece = text[a:a + size + length - 1]
             if held and held + len(piece) > size:
                 yield pieces, rows, offsets
                 pieces, rows, offsets, held = [], [], [], 0
@@ -72,43 +82,45 @@ class _Hashed:
         return mixed((self.sums[end] - self.sums[start]) * self.back[start] + (end - start).astype(np.uint64))
 
 
-def anchors(pieces: list[bytes]) -> tuple[_Hashed, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def anchors(pieces: list[bytes], length: int = LENGTH) -> tuple[_Hashed, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(hashes, piece, anchor, first start, last start, hash of the gram) of each anchor; places are within the run."""
+    gram = gram_of(length)
+    window = length - gram + 1
     hashed = _Hashed(pieces)
     n = len(hashed.data)
     none = np.empty(0, np.int64)
-    if n < LENGTH:
+    if n < length:
         return hashed, none, none, none, none, none.view(np.uint64)
-    length = np.fromiter(map(len, pieces), np.int64, count=len(pieces))
-    end = np.cumsum(length)
-    at = np.arange(n - GRAM + 1)
-    key = (hashed.of(at, at + GRAM) & ~_POSITION) | at.astype(np.uint64)
+    sizes = np.fromiter(map(len, pieces), np.int64, count=len(pieces))
+    end = np.cumsum(sizes)
+    at = np.arange(n - gram + 1)
+    key = (hashed.of(at, at + gram) & ~_POSITION) | at.astype(np.uint64)
     m = len(key)
-    blocks = np.concatenate([key, np.full(-m % WINDOW, 2**64 - 1, np.uint64)]).reshape(-1, WINDOW)
+    blocks = np.concatenate([key, np.full(-m % window, 2**64 - 1, np.uint64)]).reshape(-1, window)
     ahead = np.minimum.accumulate(blocks, axis=1).ravel()
     behind = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
-    least = np.minimum(behind[:m - WINDOW + 1], ahead[WINDOW - 1:m]) & _POSITION
-    piece = np.repeat(np.arange(len(pieces)), length)[:len(least)]
-    start = np.flatnonzero(np.arange(len(least)) + LENGTH <= end[piece])
+    least = np.minimum(behind[:m - window + 1], ahead[window - 1:m]) & _POSITION
+    piece = np.repeat(np.arange(len(pieces)), sizes)[:len(least)]
+    start = np.flatnonzero(np.arange(len(least)) + length <= end[piece])
     anchor = least[start].astype(np.int64)
     first = np.flatnonzero(np.diff(anchor, prepend=-1) != 0)
     lo, hi = start[first], start[np.append(first[1:], len(start))[:len(first)] - 1]
     anchor = anchor[first]
-    return hashed, piece[lo], anchor, lo, hi, hashed.of(anchor, anchor + GRAM)
+    return hashed, piece[lo], anchor, lo, hi, hashed.of(anchor, anchor + gram)
 
 
-def _segments(docs: DataFrame) -> DataFrame:
+def _segments(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """One row per anchor of every text: gram, content (of all its strings), node, node2, lo, hi, anchor."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             node, node2 = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             for k in range(0, batch.num_rows, 500):
                 texts = [x or b"" for x in batch.column(2).slice(k, 500).cast(pa.large_binary()).to_pylist()]
-                for pieces, rows, offsets in chunks(texts):
-                    h, piece, anchor, lo, hi, gram = anchors(pieces)
-                    length = np.fromiter(map(len, pieces), np.int64, count=len(pieces))
-                    shift = (np.array(offsets) - (np.cumsum(length) - length))[piece]
-                    content = mixed(h.of(lo, hi + LENGTH) + mixed((anchor - lo).astype(np.uint64)))
+                for pieces, rows, offsets in chunks(texts, length=length):
+                    h, piece, anchor, lo, hi, gram = anchors(pieces, length)
+                    sizes = np.fromiter(map(len, pieces), np.int64, count=len(pieces))
+                    shift = (np.array(offsets) - (np.cumsum(sizes) - sizes))[piece]
+                    content = mixed(h.of(lo, hi + length) + mixed((anchor - lo).astype(np.uint64)))
                     row = np.array(rows)[piece] + k
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(gram.view(np.int64)), pa.array(content.view(np.int64)), pa.array(node[row]), pa.array(node2[row]),
@@ -123,8 +135,10 @@ _PARTS = pa.schema([("core", pa.int64()), ("part", pa.int64()), ("gram", pa.int6
                     ("starts", pa.int32()), ("data", pa.binary())])
 
 
-def _parts(wanted: DataFrame) -> DataFrame:
+def _parts(wanted: DataFrame, length: int = LENGTH) -> DataFrame:
     """Segments (a list ``segs`` per text) cut by the distance of their starts from the anchor, with their bytes."""
+    cut = cut_of(length)
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             segs = batch.column(1)
@@ -133,12 +147,12 @@ def _parts(wanted: DataFrame) -> DataFrame:
                 out = []
                 for s in segs[row].as_py():
                     lo, hi, anchor = s["lo"], s["hi"], s["anchor"]
-                    for c in range((anchor - hi) // CUT, (anchor - lo) // CUT + 1):
-                        a, b = max(lo, anchor - c * CUT - CUT + 1), min(hi, anchor - c * CUT)  # starts [a, b]
+                    for c in range((anchor - hi) // cut, (anchor - lo) // cut + 1):
+                        a, b = max(lo, anchor - c * cut - cut + 1), min(hi, anchor - c * cut)  # starts [a, b]
                         # Bytes that every start of this class has: from its last start to the end of its first.
-                        core = text[anchor - c * CUT:anchor - c * CUT - CUT + 1 + LENGTH]
-                        out.append({"core": _hash(core, c), "part": _hash(text[a:b + LENGTH], anchor - a), "gram": s["gram"],
-                                    "content": s["content"], "offset": a - lo, "starts": b - a + 1, "data": text[a:b + LENGTH]})
+                        core = text[anchor - c * cut:anchor - c * cut - cut + 1 + length]
+                        out.append({"core": _hash(core, c), "part": _hash(text[a:b + length], anchor - a), "gram": s["gram"],
+                                    "content": s["content"], "offset": a - lo, "starts": b - a + 1, "data": text[a:b + length]})
                 yield pa.RecordBatch.from_pylist(out, schema=_PARTS)
 
     return wanted.select("text", "segs").mapInArrow(
@@ -150,7 +164,7 @@ def _hash(data: bytes, seed: int) -> int:
     return xxhash.xxh3_64_intdigest(data, seed=seed) - (1 << 63)
 
 
-def _by_suffix_array(parts: DataFrame) -> DataFrame:
+def _by_suffix_array(parts: DataFrame, length: int = LENGTH) -> DataFrame:
     """(core, part, a, b): starts [a, b) of a part that begin a repeated string; whole cores in one partition, sorted."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
@@ -158,7 +172,7 @@ def _by_suffix_array(parts: DataFrame) -> DataFrame:
                 yield from zip(*[c.to_pylist() for c in batch.columns])
 
         def solved(core: int, held: list[tuple]) -> list[dict]:
-            found = repeated_starts([x[3] for x in held], [x[2] for x in held], LENGTH)
+            found = repeated_starts([x[3] for x in held], [x[2] for x in held], length)
             out = []
             for x, marks in zip(held, found):
                 edge = np.flatnonzero(np.diff(np.array([False, *marks, False]).astype(np.int8)))
@@ -184,12 +198,12 @@ def _by_suffix_array(parts: DataFrame) -> DataFrame:
             .mapInArrow(work, "core long, part long, a int, b int"))
 
 
-def _by_counting(parts: DataFrame) -> DataFrame:
+def _by_counting(parts: DataFrame, length: int = LENGTH) -> DataFrame:
     """The same for cores with many parts: single strings are hashed and counted."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for core, part, starts, data in zip(*[c.to_pylist() for c in batch.columns]):
-                hashes = [_hash(data[k:k + LENGTH], 7) for k in range(starts)]
+                hashes = [_hash(data[k:k + length], 7) for k in range(starts)]
                 yield pa.RecordBatch.from_arrays([pa.array([core] * starts, pa.int64()), pa.array([part] * starts, pa.int64()),
                                                   pa.array(range(starts), pa.int32()), pa.array(hashes, pa.int64())],
                                                  names=["core", "part", "a", "string"])
@@ -199,21 +213,21 @@ def _by_counting(parts: DataFrame) -> DataFrame:
     return strings.join(repeated, ["core", "string"], "left_semi").select("core", "part", "a", (F.col("a") + 1).alias("b"))
 
 
-def repeat_spans(docs: DataFrame) -> DataFrame:
-    """(node, node2, start, end): bytes covered by repeated strings, per text; spans may overlap.  ``docs`` has node, node2, text."""
-    segments = through_storage(_segments(docs), "segments")
+def repeat_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+    """(node, node2, start, end): bytes covered by repeated strings, per text; spans may overlap.  ``docs`` has node, node2, text (or binary)."""
+    segments = through_storage(_segments(docs, length), "segments")
     grams = segments.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram")
     shared = through_storage(segments.join(grams, "gram", "left_semi"), "shared-segments")
     one = F.min(F.struct("node", "node2", "lo", "hi", "anchor")).alias("one")
     kinds = through_storage(shared.groupBy("gram", "content").agg(F.count(F.lit(1)).alias("n"), one), "kinds-of-segments")
     # Segments that occur twice are repeats as a whole.
     whole = shared.join(kinds.where("n > 1").select("gram", "content"), ["gram", "content"], "left_semi")
-    whole = whole.select("node", "node2", F.col("lo").alias("start"), (F.col("hi") + LENGTH).alias("end"))
+    whole = whole.select("node", "node2", F.col("lo").alias("start"), (F.col("hi") + length).alias("end"))
     several = kinds.groupBy("gram").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("gram")
     open_kinds = kinds.join(several, "gram", "left_semi")
     per_text = open_kinds.groupBy("one.node", "one.node2").agg(
         F.collect_list(F.struct("gram", "content", "one.lo", "one.hi", "one.anchor")).alias("segs"))  # segments of one text
-    parts = through_storage(_parts(docs.join(per_text, ["node", "node2"])), "segment-parts")
+    parts = through_storage(_parts(docs.join(per_text, ["node", "node2"]), length), "segment-parts")
     counted = through_storage(parts.groupBy("core", "part").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("gram", "content", "offset")).alias("one"), F.max("starts").alias("starts")), "kinds-of-parts")
     twice = counted.where("n > 1").select("core", "part", F.lit(0).alias("a"), F.col("starts").alias("b"))
@@ -222,23 +236,48 @@ def repeat_spans(docs: DataFrame) -> DataFrame:
                                                  F.col("one.offset").alias("offset"), "k"))
     compared = through_storage(parts.join(chosen, ["core", "part", "gram", "content", "offset"])
                                .dropDuplicates(["core", "part"]).select("core", "part", "starts", "data", "k"), "compared-parts")
-    marks = (_by_suffix_array(compared.where(F.col("k") <= SEGMENTS)).unionByName(twice)
-             .unionByName(_by_counting(compared.where(F.col("k") > SEGMENTS))))
+    marks = (_by_suffix_array(compared.where(F.col("k") <= SEGMENTS), length).unionByName(twice)
+             .unionByName(_by_counting(compared.where(F.col("k") > SEGMENTS), length)))
     placed = (parts.select("core", "part", "gram", "content", "offset").join(marks, ["core", "part"])
               .select("gram", "content", (F.col("offset") + F.col("a")).alias("a"), (F.col("offset") + F.col("b")).alias("b")).distinct())
     placed = through_storage(placed, "repeats-of-segments")
     some = shared.join(placed, ["gram", "content"]).select("node", "node2", (F.col("lo") + F.col("a")).alias("start"),
-                                                           (F.col("lo") + F.col("b") - 1 + LENGTH).alias("end"))
+                                                           (F.col("lo") + F.col("b") - 1 + length).alias("end"))
     return through_storage(whole.unionByName(some).distinct(), "repeat-spans")
 
 
+def _coded(docs: DataFrame) -> DataFrame:
+    """node, node2 and, as text, the 64-bit hashes of the words one behind the other."""
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+        for batch in batches:
+            for k in range(0, batch.num_rows, 500):
+                part = batch.slice(k, 500)
+                codes = [b"".join(xxhash.xxh3_64_digest(w) for w in (x or b"").split()) for x in part.column(2).cast(pa.large_binary()).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(codes, pa.binary())], names=["node", "node2", "text"])
+
+    return docs.select("node", "node2", "text").mapInArrow(work, "node long, node2 int, text binary")
+
+
+def word_spans(docs: DataFrame, n_words: int) -> DataFrame:
+    """(node, node2, start, end): numbers of the words covered by passages of ``n_words`` words that occur more than once."""
+    length = n_words * CODE
+    found = repeat_spans(through_storage(_coded(docs), "word-codes"), length)
+    # Only strings that begin with a whole code are passages.
+    first, last = F.ceil(F.col("start") / CODE), F.floor((F.col("end") - length) / CODE)
+    return (found.select("node", "node2", first.cast("int").alias("start"), (last + n_words).cast("int").alias("end"))
+            .where(F.col("end") - F.col("start") >= n_words))
+
+
 _CUT_ARROW = pa.schema([("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.binary()), ("kept_text", pa.string())])
 
 
-def without_repeats(docs: DataFrame, keep: list[str], with_text: bool = False) -> DataFrame:
+def without_repeats(docs: DataFrame, keep: list[str], with_text: bool = False, length: int = LENGTH, n_words: int | None = None) -> DataFrame:
     """``keep`` columns as struct ``d``, n_bytes, n_removed, n_spans and the kept bytes of every row.
 
-    Needs doc_id and text.  NULL text counts as empty and texts below 400 bytes keep all; a
+    Needs doc_id and text.  Strings of ``length`` bytes that repeat go, and with ``n_words`` also passages
+    of so many words, whatever their bytes and the white space between the words.  NULL text counts as empty and
+    texts below these sizes keep all; a
     NULL doc_id is a value like others; repeated rows are copies of each other, so all of
     them lose their repeated bytes; extra columns may have any name; an empty table gives an empty result.
     Strings are judged on the input as it is.  ``with_text`` adds kept_text (NULL where the
@@ -247,8 +286,11 @@ def without_repeats(docs: DataFrame, keep: list[str], with_text: bool = False) -
     text = F.col("text").cast("string")
     tagged = docs.select(F.xxhash64(F.lit(1), F.col("doc_id"), text).alias("node"), F.hash(F.lit(2), F.col("doc_id"), text).alias("node2"),
                          text.alias("text"), F.struct(*[F.col(f"`{c}`") for c in keep]).alias("d"))
-    spans = repeat_spans(tagged.select("node", "node2", "text"))
-    per_text = spans.groupBy("node", "node2").agg(F.collect_list(F.struct("start", "end")).alias("spans"))  # spans of one text
+    texts = tagged.select("node", "node2", "text")
+    spans = repeat_spans(texts, length).withColumn("of_words", F.lit(False))
+    if n_words:
+        spans = spans.unionByName(word_spans(texts, n_words).withColumn("of_words", F.lit(True)))
+    per_text = spans.groupBy("node", "node2").agg(F.collect_list(F.struct("start", "end", "of_words")).alias("spans"))  # spans of one text
     rows = tagged.join(per_text, ["node", "node2"], "left").select("d", "text", "spans")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -257,7 +299,7 @@ def without_repeats(docs: DataFrame, keep: list[str], with_text: bool = False) -
                 batch, out = big.slice(k, 500), []
                 texts = batch.column(1).cast(pa.large_binary()).to_pylist()
                 for data, found in zip(texts, batch.column(2).to_pylist()):
-                    kept, removed, n = _kept(data or b"", found or [])
+                    kept, removed, n = _kept(data or b"", _in_bytes(data or b"", found or []))
                     as_text = kept.decode("utf-8", "ignore") if with_text and data is not None else None
                     out.append({"n_bytes": len(data or b""), "n_removed": removed, "n_spans": n, "kept": None if with_text else kept,
                                 "kept_text": as_text})
@@ -272,6 +314,14 @@ def without_repeats(docs: DataFrame, keep: list[str], with_text: bool = False) -
     return rows.mapInArrow(cut, full)
 
 
+def _in_bytes(data: bytes, spans: list[dict]) -> list[dict]:
+    """The spans with those counted in words as bytes: from the first byte of their first word to the last of their last."""
+    if not any(s["of_words"] for s in spans):
+        return spans
+    places = [m.span() for m in re.finditer(rb"[^\x20\x09-\x0D]+", data)]
+    return [{"start": places[s["start"]][0], "end": places[s["end"] - 1][1]} if s["of_words"] else s for s in spans]
+
+
 def _kept(data: bytes, spans: list[dict]) -> tuple[bytes, int, int]:
     """(bytes outside the spans, number of bytes inside, number of maximal runs)."""
     parts, at, removed, runs, until = [], 0, 0, 0, -1

@@ -73,3 +73,17 @@ def test_stages_of_an_empty_table(spark, tmp_path):
         stage(spark, docs, str(tmp_path)).write.parquet(str(tmp_path / f"stage-{k}"))
         docs = spark.read.parquet(str(tmp_path / f"stage-{k}"))
         assert docs.count() == 0
+
+
+def test_passages_are_counted_in_words(spark, tmp_path):
+    """51 short words repeat with under 400 bytes, and go; 50 words that repeat stay."""
+    rng = random.Random(21)
+    passage, short = sentence(rng, 2000).split(), sentence(rng, 50)
+    passage = " ".join([w for w in passage if len(w) <= 5][:51])
+    assert len(passage.encode()) < 400
+    ends = [sentence(rng, 60) for _ in range(8)]
+    texts = [f"{ends[0]} A {passage} B {ends[1]}", f"{ends[2]} C {passage.replace(' ', '  ', 3)} D {ends[3]}", f"{ends[4]} E {short} F {ends[5]}",
+             f"{ends[6]} G {short} H {ends[7]}"]
+    docs = spark.createDataFrame([(k, t, len(t)) for k, t in enumerate(texts)], "doc_id long, text string, n_chars long")
+    got = {r.doc_id: r.text for r in corpus_pipeline.repeated_passages(spark, docs, str(tmp_path)).collect()}
+    assert got == {0: f"{ends[0]} A  B {ends[1]}", 1: f"{ends[2]} C  D {ends[3]}", 2: texts[2], 3: texts[3]}
