@@ -60,6 +60,18 @@ def sessions(df: DataFrame, ts: str, gap: str, keys: Sequence[str]) -> DataFrame
             .select(F.col("_w.start").alias("session_start"), F.col("_w.end").alias("session_end"), *keys, "n"))
 
 
+def whole_at_the_end(df: DataFrame, checkpoint: str, landed: str, ts: str, summarise: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Windows or sessions of everything that has arrived, also those that the watermark has not closed.
+
+    A stream in append mode delivers what is closed, and the end of the input closes nothing.  Here the rows of
+    ``df`` land first; after the stream has ended the summary is made from all landed rows by a batch aggregation,
+    rows too late for the watermark included.  Rows without an event time belong to no window.
+    """
+    run_available(df, checkpoint, land_batches(landed))
+    rows = read_table(df.sparkSession, landed, T.StructType([*df.schema.fields, T.StructField("batch", T.LongType())]))
+    return summarise(rows.drop("batch").withColumn(ts, F.col(ts).cast("timestamp")))
+
+
 def first_deliveries(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Drop rows delivered again within the watermark's lateness; state is bounded by it."""
     return df.dropDuplicatesWithinWatermark(list(keys))

@@ -513,6 +513,23 @@ query("stream_sessions", _stream_sessions,
          s AS (SELECT *, sum(opens) OVER (PARTITION BY event_type ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid FROM g)
          SELECT min(ts) AS session_start, event_type, count(*) AS n FROM s GROUP BY event_type, sid
          HAVING max(ts) + INTERVAL 30 MINUTE <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""")
+
+
+def _whole(t, summarise):
+    return streams.whole_at_the_end(_event_stream(t), f"{t.scratch}/progress", f"{t.scratch}/landed", "ts", summarise)
+
+
+query("stream_hourly_windows_whole",
+      lambda t: _whole(t, lambda df: streams.window_counts(df, "ts", "1 hour", None, ["event_type"]))
+      .select(C("window_start").cast("timestamp_ntz").alias("window_start"), "event_type", "n"),
+      "SELECT date_trunc('hour', ts) AS window_start, event_type, count(*) AS n FROM events GROUP BY 1, 2")
+query("stream_sessions_whole",
+      lambda t: _whole(t, lambda df: streams.sessions(df, "ts", "30 minutes", ["event_type"]))
+      .select(C("session_start").cast("timestamp_ntz").alias("session_start"), "event_type", "n"),
+      """WITH g AS (SELECT *, CASE WHEN ts <= lag(ts) OVER w + INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS opens FROM events
+                    WINDOW w AS (PARTITION BY event_type ORDER BY ts)),
+         s AS (SELECT *, sum(opens) OVER (PARTITION BY event_type ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid FROM g)
+         SELECT min(ts) AS session_start, event_type, count(*) AS n FROM s GROUP BY event_type, sid""")
 query("sliding_windows",
       lambda t: streams.window_counts(t.events.withColumn("ts", C("ts").cast("timestamp")), "ts", "2 hours", "1 hour", ["event_type"])
       .select(C("window_start").cast("timestamp_ntz").alias("window_start"), "event_type", "n"),

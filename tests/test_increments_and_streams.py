@@ -96,6 +96,24 @@ def test_windows_are_published_once_closed(spark, tmp_path):
     assert [(str(r.window_start), r.n) for r in spark.read.parquet(path).collect()] == [("2024-01-01 00:00:00", 3)]
 
 
+def test_open_windows_and_sessions_are_delivered_at_the_end(spark, tmp_path):
+    source = str(tmp_path / "in")
+    drop_file(spark, source, (1, at(1, 0, 10), "a", 1), (2, at(1, 5), "a", 1))
+    drop_file(spark, source, (3, at(1, 0, 15), "a", 1), (4, at(1, 5, 50), "a", 1))
+
+    def run(name, summarise):
+        stream = streams.open_stream(spark, source, spark.createDataFrame([], SCHEMA).schema, 1)
+        whole = streams.whole_at_the_end(stream, f"{tmp_path}/{name}-cp", f"{tmp_path}/{name}", "ts", summarise)
+        return sorted((str(r[0]), r.n) for r in whole.collect())
+
+    windows = [("2024-01-01 00:00:00", 2), ("2024-01-01 05:00:00", 2)]
+    assert run("w", lambda df: streams.window_counts(df, "ts", "1 hour", None, [])) == windows
+    found = [("2024-01-01 00:10:00", 2), ("2024-01-01 05:00:00", 1), ("2024-01-01 05:50:00", 1)]
+    assert run("s", lambda df: streams.sessions(df, "ts", "30 minutes", [])) == found
+    drop_file(spark, source, (5, at(1, 5, 20), "a", 1))
+    assert run("w", lambda df: streams.window_counts(df, "ts", "1 hour", None, [])) == [windows[0], ("2024-01-01 05:00:00", 3)]
+
+
 @pytest.mark.parametrize("gap,count", [("30 minutes", 3), ("3 hours", 2)])
 def test_sessions_in_batch(spark, gap, count):
     df = spark.createDataFrame([(1, at(1, 0), "a", 1), (2, at(1, 0, 20), "a", 1), (3, at(1, 2), "a", 1), (4, at(1, 0), "b", 1)], SCHEMA)
