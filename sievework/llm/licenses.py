@@ -8,6 +8,7 @@ and a candidate is confirmed by the exact differences of wording between block a
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 
@@ -16,6 +17,30 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Parts that several notices have in common.
+_BSD_HEAD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
+    "conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and "
+    "the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of "
+    "conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. ")
+_BSD_END = (
+    'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT '
+    "LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE "
+    "COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES "
+    "(INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS "
+    "INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR "
+    "OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.")
+
+
+def _gnu_header(kind: str, versions: str) -> str:
+    """The header of the GNU licences: their kind and the versions it allows differ."""
+    return (f"This program is free software: you can redistribute it and/or modify it under the terms of the GNU {kind}General Public License as "
+            f"published by the Free Software Foundation, {versions} This program is distributed in the hope that it will be useful, but "
+            "WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU "
+            f"{kind}General Public License for more details. You should have received a copy of the GNU {kind}General Public License along "
+            "with this program. If not, see <https://www.gnu.org/licenses/>.")
+
+
 # Public licence notices and statements, as they are worded by their publishers.
 TEMPLATES = {
     "Apache-2.0 statement": "Licensed under the Apache License, Version 2.0.",
@@ -36,24 +61,24 @@ TEMPLATES = {
         "PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER "
         "LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR "
         "THE USE OR OTHER DEALINGS IN THE SOFTWARE."),
-    "GPL-3.0 statement": "This work is licensed under the GNU General Public License, version 3.",
-    "GPL-3.0-or-later header": (
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as "
-        "published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This "
-        "program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of "
-        "MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details. You should have "
-        "received a copy of the GNU General Public License along with this program. If not, see <https://www.gnu.org/licenses/>."),
-    "CC-BY-NC-4.0 statement": "Licensed under CC BY-NC 4.0.",
-    "CC-BY-4.0 statement": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     "MPL-2.0 header": (
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed "
         "with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
-    "BSD-2-Clause": (
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
-        "conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and "
-        "the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of "
-        "conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."),
+    "BSD-2-Clause": _BSD_HEAD + _BSD_END,
+    "BSD-3-Clause": _BSD_HEAD + (
+        "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived "
+        "from this software without specific prior written permission. ") + _BSD_END,
 }
+for _name, _kind, _versions in (("GPL", "", ("2", "3")), ("LGPL", "Lesser ", ("2.1", "3")), ("AGPL", "Affero ", ("3",))):
+    for _v in _versions:
+        _id = f"{_name}-{_v if '.' in _v else _v + '.0'}"
+        TEMPLATES[f"{_id} statement"] = f"This work is licensed under the GNU {_kind}General Public License, version {_v}."
+        for _later, _words in (("only", f"version {_v} of the License."), ("or-later", f"either version {_v} of the License, or (at your option) any later version.")):
+            TEMPLATES[f"{_id}-{_later} header"] = _gnu_header(_kind, _words)
+for _terms, _long in (("BY", "Attribution"), ("BY-SA", "Attribution-ShareAlike"), ("BY-ND", "Attribution-NoDerivatives"), ("BY-NC", "Attribution-NonCommercial"),
+                      ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"), ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives")):
+    TEMPLATES[f"CC-{_terms}-4.0 {'' if _terms == 'BY-NC' else 'short '}statement"] = f"Licensed under CC {_terms} 4.0."
+    TEMPLATES[f"CC-{_terms}-4.0 {'long ' if _terms == 'BY-NC' else ''}statement"] = f"This work is licensed under a Creative Commons {_long} 4.0 International License."
 # Stems of which every licence notice has one.
 SIGNAL = r"(?i)licen[sc]|copyright|warrant|permission is|redistribut|all rights reserved|spdx"
 #: A sentence belongs to a licence block if so many of its words occur in templates.
@@ -61,6 +86,10 @@ KNOWN_SHARE = 0.5
 #: The dictionary must save this share of the smaller of block and template, and the wording may differ by this share of the
 #: template's words.
 SAVED_SHARE, DIFFERENT_SHARE = 0.25, 0.2
+#: Words that decide which licence a text is; a template does not stand for a text that differs in one of them.
+_DECIDES = re.compile(r"non-?commercial|share-?alike|no-?deriv|^(cc[-0]?)?(by|nc|sa|nd)(-|$)|^cc0|^(lesser|affero|later|only|neither|endorse|promote"
+                      r"|mit|isc|bsd|apache|gnu|[al]?gpl.*|mozilla|mpl|attribution.*)$|^v?\d+\.\d+$")
+_NUMBER = re.compile(r"v?\d+$")
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _SENTENCE = re.compile(r"[^\n]*?(?:[.;:!?](?=[\x20\t\n])|\n|$)")
 _EDGE = ".,;:!?\"'()<>[]*#"
@@ -123,9 +152,7 @@ class Scanner:
                 continue
             data = text[block[0][0]:block[-1][1]].encode()
             for saved, name in self.ranked(data):
-                row = self._confirmed(block, name)
-                if row:
-                    start, end, missing, added, differences = row
+                for start, end, missing, added, differences in self._confirmed(block, name):
                     found[start, end, name] = {
                         "doc_id": doc_id, "start": start, "end": end, "license": name, "exact": missing + added == 0, "words_missing": missing,
                         "words_added": added, "block_bytes": len(data), "bytes_saved": saved, "differences": differences}
@@ -134,24 +161,54 @@ class Scanner:
                                and (o["end"] - o["start"], r["license"]) > (r["end"] - r["start"], o["license"]) for o in rows)
         return sorted((r for r in rows if not inside(r)), key=lambda r: (r["start"], r["license"]))
 
-    def _confirmed(self, block: list[tuple[int, int, str]], name: str) -> tuple | None:
-        """The stretch of the block that has the template's wording, and how the two differ, word by word."""
+    def _confirmed(self, block: list[tuple[int, int, str]], name: str) -> list[tuple]:
+        """The stretches of the block that have the template's wording, and how the two differ, word by word."""
         wanted, there = self.words[name], [w[2] for w in block]
-        parts = SequenceMatcher(None, wanted, there, autojunk=False).get_matching_blocks()[:-1]
-        if not parts:
-            return None
-        first, last = parts[0].b, parts[-1].b + parts[-1].size
-        missing, added, notes, a, b = 0, 0, [], 0, first
-        for m in [*parts, None]:
-            to_a, to_b = (m.a, m.b) if m else (len(wanted), last)
+        spare = int(DIFFERENT_SHARE * len(wanted)) + 1
+        out, todo = [], [(0, len(there))]
+        while todo:
+            lo, hi = todo.pop()
+            common = Counter(wanted) & Counter(there[lo:hi])
+            if sum(common.values()) < (1 - DIFFERENT_SHARE) * len(wanted):
+                continue
+            longest = SequenceMatcher(None, wanted, there[lo:hi], autojunk=False).find_longest_match()
+            at = lo + longest.b
+            # The template can reach so far to both sides of its longest common run.
+            near = max(lo, at - longest.a - spare), min(hi, at - longest.a + len(wanted) + spare)
+            first, last, missing, added, notes, decided = self._aligned(wanted, there, *near)
+            if missing + added <= DIFFERENT_SHARE * len(wanted) and not decided:
+                out.append((block[first][0], block[last - 1][1], missing, added, " ".join(notes)))
+                todo += [(lo, first), (last, hi)]
+            else:
+                todo += [(lo, at), (at + longest.size, hi)]
+        return out
+
+    def _aligned(self, wanted: list[str], there: list[str], lo: int, hi: int) -> tuple[int, int, int, int, list[str], bool]:
+        """(first, last, missing, added, differences, whether one decides) of the stretch within [lo, hi) that differs least."""
+        parts = [(m.a, lo + m.b, m.size) for m in SequenceMatcher(None, wanted, there[lo:hi], autojunk=False).get_matching_blocks()[:-1]]
+        best, score, start = (0, (0, 0)), 0, 0
+        for k, (_, b, size) in enumerate(parts):
+            # A run joins those before it if it brings more words than it adds strange ones.
+            gap = sum(map(bool, there[parts[k - 1][1] + parts[k - 1][2]:b])) if k else 0
+            score, start = (score - gap + size, start) if k and score > gap else (size, k)
+            best = max(best, (score, (-start, k + 1)))
+        parts = parts[-best[1][0]:best[1][1]]
+        first, last = parts[0][1], parts[-1][1] + parts[-1][2]
+        missing, added, notes, a, b, decided = 0, 0, [], 0, first, False
+        for to_a, to_b, size in [*parts, (len(wanted), last, 0)]:
             gone, extra = wanted[a:to_a], [w for w in there[b:to_b] if w]
+            decided = decided or any(self._decides(ws, i) for ws, x, y in ((wanted, a, to_a), (there, b, to_b)) for i in range(x, y))
             missing, added = missing + len(gone), added + len(extra)
             notes += [f"-{w}" for w in gone] + [f"+{w}" for w in extra]
-            if m:
-                a, b = m.a + m.size, m.b + m.size
-        if missing + added > DIFFERENT_SHARE * len(wanted):
-            return None
-        return block[first][0], block[last - 1][1], missing, added, " ".join(notes)
+            a, b = to_a + size, to_b + size
+        return first, last, missing, added, notes, decided
+
+    @staticmethod
+    def _decides(ws: list[str], i: int) -> bool:
+        """Whether word ``i`` names the kind of the licence, or is a version number."""
+        if ws[i] == "library":  # the older name of the Lesser licence, but also what a notice calls the work
+            return i > 0 and ws[i - 1] == "gnu"
+        return bool(_DECIDES.search(ws[i]) or (_NUMBER.match(ws[i]) and i and ws[i - 1] in ("version", "v", "gpl", "lgpl", "agpl", "license")))
 
 
 def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None) -> DataFrame:

@@ -14,7 +14,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 import brute  # noqa: E402
 
-from sievework.llm import bpe, jaccard, repeats, token_files, units  # noqa: E402
+from sievework.llm import bpe, jaccard, licenses, repeats, token_files, units  # noqa: E402
 from sievework.llm.suffixes import common_prefixes, repeated_starts, suffix_array  # noqa: E402
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -153,3 +153,18 @@ def test_shingle_sets():
     got = [len(s) for s in jaccard.shingle_sets([t.encode() for t in texts])]
     assert got == [len(brute.shingles(t)) for t in texts]
     assert [s.tolist() for s in jaccard.shingle_sets([b"A B"])] == [s.tolist() for s in jaccard.shingle_sets([b"a\n b "])]
+
+
+def licenses_of(text: str) -> list[tuple[str, bool]]:
+    return [(r["license"], r["exact"]) for r in licenses.Scanner(licenses.TEMPLATES).scan(1, text)]
+
+
+def test_words_that_decide_a_licence():
+    t = licenses.TEMPLATES
+    for name, text in t.items():
+        assert licenses_of("Some prose here. " * 5 + text + "\nprose again about x") == [(name, True)]
+    assert licenses_of("This work is licensed under a Creative Commons Attribution-NonCommercial 3.0 Unported License.") == []
+    assert licenses_of("This work is licensed under the GNU General Public License, version 1.") == []
+    assert licenses_of("Released under the License.") == []
+    library = t["LGPL-2.1-or-later header"].replace("This program", "This library").replace("this program", "this library")
+    assert licenses_of(library) == [("LGPL-2.1-or-later header", False)]
