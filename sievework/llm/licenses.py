@@ -68,6 +68,15 @@ TEMPLATES = {
     "BSD-3-Clause": _BSD_HEAD + (
         "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived "
         "from this software without specific prior written permission. ") + _BSD_END,
+    "ISC": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided "
+        "that the above copyright notice and this permission notice appear in all copies. " 'THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR '
+        "DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT "
+        "SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS "
+        "OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH "
+        "THE USE OR PERFORMANCE OF THIS SOFTWARE."),
+    "All rights reserved": "All rights reserved.",
+    "CC0-1.0 statement": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
 }
 for _name, _kind, _versions in (("GPL", "", ("2", "3")), ("LGPL", "Lesser ", ("2.1", "3")), ("AGPL", "Affero ", ("3",))):
     for _v in _versions:
@@ -86,10 +95,13 @@ KNOWN_SHARE = 0.5
 #: The dictionary must save this share of the smaller of block and template, and the wording may differ by this share of the
 #: template's words.
 SAVED_SHARE, DIFFERENT_SHARE = 0.25, 0.2
+#: Templates of so few words are compared whatever the dictionary saves: in a long block that is less than chance.
+SHORT = 16
 #: Words that decide which licence a text is; a template does not stand for a text that differs in one of them.
 _DECIDES = re.compile(r"non-?commercial|share-?alike|no-?deriv|^(cc[-0]?)?(by|nc|sa|nd)(-|$)|^cc0|^(lesser|affero|later|only|neither|endorse|promote"
                       r"|mit|isc|bsd|apache|gnu|[al]?gpl.*|mozilla|mpl|attribution.*)$|^v?\d+\.\d+$")
 _NUMBER = re.compile(r"v?\d+$")
+_SPDX = re.compile(r"SPDX-License-Identifier:[\x20\t]*(\(?[A-Za-z0-9][\w.+()-]*(?:[\x20\t]+(?:OR|AND|WITH)[\x20\t]+[\w.+()-]+)*)")
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _SENTENCE = re.compile(r"[^\n]*?(?:[.;:!?](?=[\x20\t\n])|\n|$)")
 _EDGE = ".,;:!?\"'()<>[]*#"
@@ -125,7 +137,8 @@ class Scanner:
             words = [(m.start(), m.end(), m.group().strip(_EDGE).lower()) for m in _WORD.finditer(text, sentence.start(), sentence.end())]
             if not words:
                 continue
-            if sum(w[2] in self.known or not w[2] for w in words) >= KNOWN_SHARE * len(words):
+            named = re.search(SIGNAL, text[sentence.start():sentence.end()])
+            if named or sum(w[2] in self.known or not w[2] for w in words) >= KNOWN_SHARE * len(words):
                 run += words
                 continue
             yield from self._windows(run)
@@ -142,7 +155,7 @@ class Scanner:
         """(bytes saved, template), most first; of equal savings the smaller name first."""
         size = len(self.plain.compress(block))
         saved = [(size - len(self.with_template[n].compress(block)), n) for n in self.names]
-        return sorted(((s, n) for s, n in saved if s >= SAVED_SHARE * min(size, self.size[n])), key=lambda x: (-x[0], x[1]))
+        return sorted(((s, n) for s, n in saved if s >= SAVED_SHARE * min(size, self.size[n]) or len(self.words[n]) <= SHORT), key=lambda x: (-x[0], x[1]))
 
     def scan(self, doc_id: int | None, text: str) -> list[dict]:
         """Confirmed licences of one text, without those inside a longer one."""
@@ -156,6 +169,11 @@ class Scanner:
                     found[start, end, name] = {
                         "doc_id": doc_id, "start": start, "end": end, "license": name, "exact": missing + added == 0, "words_missing": missing,
                         "words_added": added, "block_bytes": len(data), "bytes_saved": saved, "differences": differences}
+        for m in _SPDX.finditer(text):
+            tag = m.group().rstrip(".")
+            found[m.start(), m.start() + len(tag), "SPDX"] = {
+                "doc_id": doc_id, "start": m.start(), "end": m.start() + len(tag), "license": "SPDX " + m.group(1).rstrip("."), "exact": True,
+                "words_missing": 0, "words_added": 0, "block_bytes": len(tag.encode()), "bytes_saved": 0, "differences": ""}
         rows = list(found.values())
         inside = lambda r: any(o is not r and o["start"] <= r["start"] and r["end"] <= o["end"]
                                and (o["end"] - o["start"], r["license"]) > (r["end"] - r["start"], o["license"]) for o in rows)
@@ -217,7 +235,7 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None) -> D
     Needs doc_id and text.  Whole texts are searched.  NULL, empty and other texts without a licence word
     give no row; a NULL doc_id is kept; repeated rows are reported once each; of equal savings
     the smaller template name comes first, and a licence within the stretch of a longer one is not
-    reported; extra columns are not read; an empty table gives an empty result.
+    reported; SPDX lines are reported with their expression, whatever it names; extra columns are not read; an empty table gives an empty result.
     """
     templates = templates or TEMPLATES
 

@@ -168,3 +168,13 @@ def test_words_that_decide_a_licence():
     assert licenses_of("Released under the License.") == []
     library = t["LGPL-2.1-or-later header"].replace("This program", "This library").replace("this program", "this library")
     assert licenses_of(library) == [("LGPL-2.1-or-later header", False)]
+
+
+def test_every_notice_is_found():
+    t = licenses.TEMPLATES
+    assert licenses_of("Copyright 2020 Very Long Company Holding Name Ltd Paris London, all rights reserved.") == [("All rights reserved", True)]
+    assert licenses_of("// SPDX-License-Identifier: MIT OR Apache-2.0\nint x;") == [("SPDX MIT OR Apache-2.0", True)]
+    assert licenses_of(t["ISC"]) == [("ISC", True)] and licenses_of(t["CC0-1.0 statement"]) == [("CC0-1.0 statement", True)]
+    assert licenses_of(t["MIT"] + "\n" + t["MIT"]) == [("MIT", True)] * 2
+    assert licenses_of("Released under the MIT License. " * 2) == [("MIT statement", True)] * 2
+    assert licenses_of(t["MIT"][:-9] + "WORK. " + t["Apache-2.0 header"]) == [("MIT", False), ("Apache-2.0 header", True)]
