@@ -36,8 +36,8 @@ def contained_items(docs: DataFrame, items: DataFrame, percent: int = PERCENT) -
 
     Needs doc_id, text and item_id, text.  NULL, empty and white-space texts have no shingles
     and match nothing; fewer than five words are one shingle, so such an item only matches a
-    document of just these words.  Repeated rows of a table give one result; items with a
-    NULL id are searched like any other; extra columns are not read; an empty table gives an
+    document of just these words.  Documents are told apart by id and text, so those with a NULL or repeated id are
+    searched one by one; repeated rows of a table give one result; items with a NULL id are searched like any other; extra columns are not read; an empty table gives an
     empty result.  Whole texts are searched.
     """
     sketches = through_storage(item_sketches(items, percent), "item-sketches")
@@ -46,18 +46,20 @@ def contained_items(docs: DataFrame, items: DataFrame, percent: int = PERCENT) -
     limits = sketches.agg(F.max(F.array_max("sketch")).alias("top"), F.min("least").alias("least")).first()
     if limits["top"] is None:
         return docs.sparkSession.createDataFrame([], "doc_id long, item_id long, n_item_shingles int, n_shared int")
-    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sets = narrow.select("doc_id", shingle_set(F.col("text")).alias("doc_set"))
+    number, text = F.col("doc_id").cast("long"), F.col("text").cast("string")
+    narrow = docs.select(F.struct(F.xxhash64(number, text).alias("h1"), F.hash(number, text).alias("h2")).alias("row"),
+                         number.alias("doc_id"), text.alias("text"))
+    sets = narrow.select("row", shingle_set(F.col("text")).alias("doc_set"))
     looked_up = (sets.where(F.size("doc_set") >= limits["least"])
-                 .select("doc_id", F.size("doc_set").alias("n"),
+                 .select("row", F.size("doc_set").alias("n"),
                          F.explode(F.filter("doc_set", lambda h: h <= F.lit(limits["top"]))).alias("h")))
     # Spark broadcasts the sketches if their measured size allows, else both sides are shuffled by hash.
-    pairs = (looked_up.join(probes, "h").where("n >= least").select("doc_id", "item_id").distinct())
+    pairs = (looked_up.join(probes, "h").where("n >= least").select("row", "item_id").distinct())
     pairs = through_storage(pairs, "containment-candidates")
-    texts = narrow.join(pairs.select("doc_id").distinct(), "doc_id", "left_semi")
-    full = texts.select("doc_id", shingle_set(F.col("text")).alias("doc_set"))
+    texts = narrow.join(pairs.select("row").distinct(), "row", "left_semi")
+    full = texts.select("row", "doc_id", shingle_set(F.col("text")).alias("doc_set"))
     shared = F.size(F.array_intersect("item_set", "doc_set"))
-    return (pairs.join(full, "doc_id").join(sketches.select("item_id", "item_set", "least"),
+    return (pairs.join(full, "row").join(sketches.select("item_id", "item_set", "least"),
                                             pairs["item_id"].eqNullSafe(sketches["item_id"]))
             .select("doc_id", pairs["item_id"], F.size("item_set").alias("n_item_shingles"), shared.alias("n_shared"), "least")
             .where("n_shared >= least").drop("least").distinct())

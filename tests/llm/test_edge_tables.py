@@ -247,3 +247,12 @@ def test_jaccard_join_with_frequent_signatures(spark):
     frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.similar_components(frame).collect()}
     assert got == {k: (len(s), r) for k, (s, r) in enumerate(zip(sets, roots))}
+
+
+def test_contained_items_of_documents_without_id(spark):
+    rng = random.Random(31)
+    item, other = sentence(rng, 30), sentence(rng, 30)
+    docs = spark.createDataFrame([(None, f"a {item} b"), (None, other), (5, item), (5, f"c {other} d")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, item), (2, other)], "item_id long, text string")
+    got = bag(contamination.contained_items(docs, items), "doc_id", "item_id")
+    assert got == Counter({(None, 1): 1, (None, 2): 1, (5, 1): 1, (5, 2): 1})
