@@ -83,3 +83,78 @@ SELECT t.conv_id, t.turn, row_number() OVER (PARTITION BY t.conv_id ORDER BY t.t
   kept.n AS n_turns, kept.n_copies,
   '<|im_start|>' || coalesce(t.role, '') || chr(10) || coalesce(t.text, '') || '<|im_end|>' || chr(10) AS segment
 FROM t JOIN kept ON kept.conv_id = t.conv_id"""
+
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _crc32(text: str) -> str:
+    """The unsigned CRC-32 of a text's UTF-8 bytes: a fold over the bytes; the query has the table's list as column ``table256``."""
+    digits = f"hex(encode({text}))"
+    return (f"xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, len({digits}), 2), lambda i: ('0x' || substr({digits}, i, 2))::BIGINT)), "
+            "lambda a, b: xor(a >> 8, table256[(xor(a, b) & 255) + 1])), 4294967295::BIGINT)")
+
+
+_CRC_TABLE = ("crc AS MATERIALIZED (SELECT list(list_reduce(list_prepend(n::BIGINT, range(8)), lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384::BIGINT) "
+              "ELSE a >> 1 END) ORDER BY n) AS table256 FROM range(256) r(n))")
+
+SPELLING = f"""
+WITH RECURSIVE {_CRC_TABLE},
+runs AS (SELECT doc_id, {_LOWER.format("unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+'))")} AS r FROM documents),
+counted AS (SELECT doc_id, r, count(*) AS c FROM runs WHERE length(r) >= 7 GROUP BY doc_id, r),
+hashed AS (SELECT r, c, {_crc32("coalesce(doc_id::VARCHAR, '') || ':' || r")} AS h FROM counted, crc),
+words AS (SELECT word, sum(c)::BIGINT AS n FROM (
+  SELECT CASE WHEN h % 31 = 0 THEN r[1:h % length(r)] || r[h % length(r) + 2:] ELSE r END AS word, c FROM hashed)
+  WHERE length(word) >= 7 GROUP BY word HAVING sum(c) >= 2),
+letters AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words),
+gone AS (SELECT DISTINCT word, n, word[1:i - 1] || word[i + 1:] AS rest FROM letters),
+holes AS (SELECT word, n, i, word[1:i - 1] || word[i + 1:] AS rest FROM letters),
+pairs AS (SELECT a.word, b.word AS near, b.n AS m FROM holes a JOIN holes b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION ALL SELECT g.word, w.word, w.n FROM gone g JOIN words w ON g.rest = w.word
+  UNION ALL SELECT w.word, g.word, g.n FROM gone g JOIN words w ON g.rest = w.word),
+best AS (SELECT word, count(*) AS n_near, max(m) AS m FROM pairs GROUP BY word),
+formed AS (SELECT w.word, w.n, coalesce(b.n_near, 0) AS n_near, CASE WHEN b.m >= 10 * w.n THEN b.m END AS form_n,
+  CASE WHEN b.m >= 10 * w.n THEN (SELECT min(p.near) FROM pairs p WHERE p.word = w.word AND p.m = b.m) END AS form
+  FROM words w LEFT JOIN best b ON b.word = w.word),
+chain(word, last, step) AS (SELECT word, word, 0 FROM formed UNION ALL SELECT c.word, f.form, step + 1 FROM chain c JOIN formed f ON f.word = c.last WHERE f.form IS NOT NULL),
+roots AS (SELECT word, arg_max(last, step) AS root FROM chain GROUP BY word)
+SELECT f.word, f.form, r.root, f.n, f.n_near::BIGINT AS n_near, f.form_n::BIGINT AS form_n FROM formed f JOIN roots r ON r.word = f.word"""
+
+_EDITS = """(VALUES (0, 0, 'D', 4), (1, 1, 'D', 4), (2, 2, 'D', 4), (3, 3, 'D', 4), (0, 1, 'K', 0), (0, 2, 'K', 0), (1, 2, 'K', 0), (2, 3, 'K', 0), (3, 2, 'K', 0),
+  (0, 2, 'R', 3), (1, 2, 'R', 3), (2, 3, 'R', 3), (3, 2, 'R', 3)) e(begun, ended, letter, paid)"""
+_GROWN = """(VALUES (0, 0, 0, ''), (0, 2, 1, 'user:'), (0, 3, 2, 'user:' || chr(10) || 'assistant:'), (1, 1, 0, ''), (1, 2, 1, 'user:'), (1, 3, 2, 'user:' || chr(10) || 'assistant:'),
+  (2, 2, 0, ''), (2, 3, 1, 'assistant:'), (2, 2, 2, 'assistant:' || chr(10) || 'user:'), (3, 3, 0, ''), (3, 2, 1, 'user:'), (3, 3, 2, 'user:' || chr(10) || 'assistant:')) g(begun, ended, k, told)"""
+_JOINED = "CASE WHEN {0} = '' THEN {1} WHEN {1} = '' THEN {0} ELSE {0} || chr(10) || {1} END"
+
+REPAIR = rf"""
+WITH RECURSIVE {_CRC_TABLE},
+hashed AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+  {_crc32("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS h FROM conversations, crc),
+rows AS (SELECT conv_id, turn, CASE WHEN h = 4 THEN 'user' ELSE role END AS role,
+  CASE WHEN h = 1 THEN '' WHEN h = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+  unnest(range(CASE WHEN h = 0 THEN 0 WHEN h = 3 THEN 2 ELSE 1 END)) AS copy FROM hashed),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+  row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS seen FROM rows),
+faults AS (SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank' WHEN seen > 1 THEN 'duplicate'
+  WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 'truncated' END AS fault,
+  coalesce(lag(role[1:1]) OVER (PARTITION BY conv_id ORDER BY i) || role[1:1] NOT IN ('su', 'ua', 'au'), false) AS illegal FROM placed),
+counts AS (SELECT conv_id, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+  count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (illegal) AS illegal, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, max(i) AS last
+  FROM faults GROUP BY conv_id),
+steps AS (SELECT f.conv_id, f.i, e.begun, e.ended, e.letter, e.paid + CASE WHEN fault = 'truncated' AND letter <> 'D' THEN 3 ELSE 0 END AS paid,
+  CASE letter WHEN 'D' THEN '' WHEN 'K' THEN f.role || ':' || f.text WHEN 'R' THEN CASE e.ended WHEN 2 THEN 'user:' ELSE 'assistant:' END || f.text END AS told
+  FROM faults f JOIN {_EDITS} ON (letter = 'D' OR fault IS NULL OR fault = 'truncated')
+  AND (letter <> 'K' OR f.role[1:1] = CASE e.ended WHEN 1 THEN 's' WHEN 2 THEN 'u' ELSE 'a' END)),
+walk(conv_id, i, state, cost, audit, told) AS (SELECT conv_id, 0::BIGINT, 0, 0, '', '' FROM counts UNION ALL
+  SELECT conv_id, i, ended, cost, audit, told FROM (
+    SELECT w.conv_id, s.i, s.ended, w.cost + 3 * g.k + s.paid AS cost, w.audit || repeat('I', g.k) || s.letter AS audit,
+      {_JOINED.format("(" + _JOINED.format("w.told", "g.told") + ")", "s.told")} AS told,
+      row_number() OVER (PARTITION BY s.conv_id, s.ended ORDER BY w.cost + 3 * g.k + s.paid, w.audit || repeat('I', g.k) || s.letter) AS r
+    FROM walk w JOIN {_GROWN} ON g.begun = w.state JOIN steps s ON s.conv_id IS NOT DISTINCT FROM w.conv_id AND s.i = w.i + 1 AND s.begun = g.ended) WHERE r = 1),
+ends AS (SELECT w.conv_id, w.cost + 3 * g.k AS cost, w.audit || repeat('I', g.k) AS audit, {_JOINED.format("w.told", "g.told")} AS told,
+  row_number() OVER (PARTITION BY w.conv_id ORDER BY w.cost + 3 * g.k, w.audit || repeat('I', g.k)) AS r
+  FROM walk w JOIN counts c ON c.conv_id IS NOT DISTINCT FROM w.conv_id AND c.last = w.i JOIN {_GROWN} ON g.begun = w.state WHERE g.ended IN (0, 3))
+SELECT o.conv_id, coalesce(c.gaps, 0)::BIGINT AS gaps, coalesce(c.blank, 0)::BIGINT AS blank, coalesce(c.duplicate, 0)::BIGINT AS duplicate,
+  coalesce(c.truncated, 0)::BIGINT AS truncated, coalesce(c.illegal, 0)::BIGINT AS illegal, coalesce(e.cost, 0)::BIGINT AS cost,
+  coalesce(e.audit, '') AS audit, sha256(coalesce(e.told, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN ends e ON e.conv_id IS NOT DISTINCT FROM o.conv_id AND e.r = 1"""

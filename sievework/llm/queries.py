@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievework.llm import bpe, chat, contamination, jaccard, licenses, oracles, quality, repeats, sharding, token_files, warc
+from sievework.llm import bpe, chat, contamination, jaccard, licenses, oracles, quality, repair, repeats, sharding, spelling, token_files, warc
 from sievework.workload.catalog import Tables, query
 
 
@@ -56,6 +56,14 @@ def op7_benchmark_containment(t: Tables) -> DataFrame:
     return contamination.contained_items(t.documents, t.benchmark)
 
 
+def op12_conversation_repair(t: Tables) -> DataFrame:
+    return repair.repair(repair.damaged(t.conversations))
+
+
+def op13_bloom_variants(t: Tables) -> DataFrame:
+    return spelling.spelling_groups(t.documents)
+
+
 query("op1_packed_token_files", op1_packed_token_files, None)
 query("op2_partenum_jaccard", op2_partenum_jaccard, oracles.JACCARD)
 query("op3_lexicon_bpe", op3_lexicon_bpe, None)
@@ -66,3 +74,5 @@ query("op7_benchmark_containment", op7_benchmark_containment, oracles.CONTAINMEN
 query("op8_balanced_shards", op8_balanced_shards, None)
 query("op9_license_dictionaries", op9_license_dictionaries, None)
 query("op10_adaptive_quality", op10_adaptive_quality, oracles.QUALITY)
+query("op12_conversation_repair", op12_conversation_repair, oracles.REPAIR)
+query("op13_bloom_variants", op13_bloom_variants, oracles.SPELLING)
