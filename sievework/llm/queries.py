@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievework.llm import bpe, chat, contamination, jaccard, licenses, oracles, quality, repair, repeats, sharding, spelling, token_files, warc
+from sievework.llm import bpe, chat, contamination, jaccard, licenses, line_quality, oracles, quality, repair, repeats, sharding, spelling, token_files, warc
 from sievework.workload.catalog import Tables, query
 
 
@@ -56,6 +56,10 @@ def op7_benchmark_containment(t: Tables) -> DataFrame:
     return contamination.contained_items(t.documents, t.benchmark)
 
 
+def op11_line_field(t: Tables) -> DataFrame:
+    return line_quality.score_documents(t.documents, line_quality.training_field(t.documents, t.labels))
+
+
 def op12_conversation_repair(t: Tables) -> DataFrame:
     return repair.repair(repair.damaged(t.conversations))
 
@@ -74,5 +78,6 @@ query("op7_benchmark_containment", op7_benchmark_containment, oracles.CONTAINMEN
 query("op8_balanced_shards", op8_balanced_shards, None)
 query("op9_license_dictionaries", op9_license_dictionaries, None)
 query("op10_adaptive_quality", op10_adaptive_quality, oracles.QUALITY)
+query("op11_line_field", op11_line_field, None)
 query("op12_conversation_repair", op12_conversation_repair, oracles.REPAIR)
 query("op13_bloom_variants", op13_bloom_variants, oracles.SPELLING)
