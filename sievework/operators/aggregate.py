@@ -56,6 +56,25 @@ def zero_fill(summary: DataFrame, day: str, entities: DataFrame, measures: Seque
     return filled.select(*[c for c in summary.columns if c in {*keys, *measures}])
 
 
+def zero_fill_within(summary: DataFrame, within: str, day: str, entities: DataFrame, measures: Sequence[str],
+                     step: str = "interval 1 day") -> DataFrame:
+    """``zero_fill`` for each value of ``within`` on its own, over the days that value covers.
+
+    The values and their first and last days are one array, looked up once per entity: no product of two
+    tables.  The array has one element per value, so ``within`` is something like a month.
+    """
+    keys = [within, *entities.columns, day]
+    summary = through_storage(summary, "summary")
+    spans = summary.groupBy(within).agg(F.min(day).alias("first"), F.max(day).alias("last"))
+    listed = spans.agg(F.collect_list(F.struct(within, "first", "last")).alias("spans")).select("spans").scalar()
+    spread = entities.withColumn("_span", F.explode(listed)).select(*entities.columns, F.col("_span.*"))
+    grid = calendar_grid(spread, day, F.col("first"), F.col("last"), step)
+    zeros = grid.select(*keys, *[F.lit(0).cast(summary.schema[m].dataType).alias(m) for m in measures])
+    filled = (summary.select(*keys, *measures).unionByName(zeros).groupBy(*keys)
+              .agg(*[F.sum(m).cast(summary.schema[m].dataType).alias(m) for m in measures]))
+    return filled.select(*[c for c in summary.columns if c in {*keys, *measures}])
+
+
 def bucket_counts(df: DataFrame, ts: str, step: str, name: str = "bucket", count: str = "n") -> DataFrame:
     """Rows per time bucket, empty buckets between the first and the last included as 0."""
     start = F.window(F.col(ts).cast("timestamp"), step).getField("start")

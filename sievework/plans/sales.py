@@ -147,8 +147,9 @@ def run_month(spark: SparkSession, month: str, registry: Iterable[SourceSpec], m
     """Rebuild everything of one month below ``root``; returns the recorded counts.
 
     The month comes from the caller, never from the clock, so a run can be repeated
-    or a past month rebuilt.  Facts are written once (silver) and read back by both
-    summaries; the counts are collected while they are written.
+    or a past month rebuilt.  Facts are staged once and read back by both summaries; the
+    counts are collected while they are written.  Silver and gold are swapped after the last check; for periods
+    that readers must see whole, with a history to return to, use ``sales_periods.run_periods``.
     """
     sources = sources_for(registry, month)
     raw = load(spark, sources, RAW_COLUMNS)
@@ -163,7 +164,6 @@ def run_month(spark: SparkSession, month: str, registry: Iterable[SourceSpec], m
     staged = spark.read.schema(layout).parquet(staged_path)
     clean = staged.filter(F.col("usable")).drop("usable", "reject_reason")
     rejected = staged.filter(~F.col("usable")).drop("usable")
-    replace_partition(rejected, layer_path(root, "silver", "rejected"), {"month": month})
 
     joined = Observation("joined")
     fact = join_masters(clean, masters).observe(
@@ -174,13 +174,11 @@ def run_month(spark: SparkSession, month: str, registry: Iterable[SourceSpec], m
         F.sum(F.when(is_test_slip(), F.col("amount_incl"))).alias("test_amount"),
         F.count_if(is_after_closing()).alias("closed_rows"),
         F.sum(F.when(is_after_closing(), F.col("amount_incl"))).alias("closed_amount"))
-    fact_path = layer_path(root, "silver", "fact")
-    replace_partition(fact, fact_path, {"month": month})
+    stored = through_storage(fact, f"fact-{month}")
     counts = {**arrived.get, **joined.get}
     if counts["fact_rows"] != counts["raw_rows"] - counts["rejected_rows"]:
         raise ValueError(f"{month}: joining the masters changed the number of rows: {counts}")
 
-    stored = spark.read.schema(fact.schema).parquet(f"{fact_path}/month={month}")
     targeted = Observation("targeted")
     target = target_rows(stored).observe(targeted, F.sum("amount_incl").alias("total"))
     by_category = _staged(daily_by_category(target), "daily_category", DAILY_CATEGORY, counts)
@@ -189,8 +187,9 @@ def run_month(spark: SparkSession, month: str, registry: Iterable[SourceSpec], m
         if counts[f"{table}_amount"] != targeted.get["total"]:
             raise ValueError(f"{month}: {table} adds up to {counts[f'{table}_amount']}, "
                              f"the facts to {targeted.get['total']}")
-    for table, summary in (("daily_category", by_category), ("daily_shop", by_shop)):
-        replace_partition(summary, layer_path(root, "gold", table), {"month": month}, stored=True)
+    # Nothing is swapped before all checks have passed.
+    for layer, table, rows in (("silver", "rejected", rejected), ("silver", "fact", stored), ("gold", "daily_category", by_category), ("gold", "daily_shop", by_shop)):
+        replace_partition(rows, layer_path(root, layer, table), {"month": month}, stored=True)
     return counts
 
 

@@ -100,8 +100,8 @@ WHERE o_custkey % 10 BETWEEN 1 AND 8 AND NOT (o_orderstatus = 'P' AND o_orderpri
 
 
 # ---------------------------------------------------------------- sales
-def sales_feed(t: Tables) -> DataFrame:
-    """Line items as three till systems deliver them: old (A), new (N) and web shop (R)."""
+def sales_feed(t: Tables, *extra: Column) -> DataFrame:
+    """Line items as three till systems deliver them: old (A), new (N) and web shop (R); ``extra`` columns come last."""
     back = (F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F")
     sign = F.when(back, F.lit(-1)).otherwise(F.lit(1))
     qty = (sign * F.col("l_quantity").cast("bigint")).cast("string")
@@ -124,7 +124,13 @@ def sales_feed(t: Tables) -> DataFrame:
         .otherwise(amount.cast("string")).alias("amount"),
         F.when(F.col("l_returnflag") == "R", "税抜").otherwise("税込").alias("tax_type"),
         F.when(test, "テスト").when(back, "返品").otherwise("").alias("note"),
-        _by("l_returnflag", {"A": F.lit("old"), "N": F.lit("new"), "R": F.lit("ec")}).alias("source"))
+        _by("l_returnflag", {"A": F.lit("old"), "N": F.lit("new"), "R": F.lit("ec")}).alias("source"), *extra)
+
+
+def yearly_sales(t: Tables) -> DataFrame:
+    """The sales feed with the year as period; ``late`` marks the first lines of orders before 1998, which were sent again later."""
+    year = F.date_format("l_shipdate", "yyyy")
+    return sales_feed(t, year.alias("period"), ((year < "1998") & (F.col("l_linenumber") == 1)).alias("late"))
 
 
 def sales_masters(t: Tables) -> Masters:
