@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sievework.operators.aggregate import joined_on_key
+from sievework.operators.frames import with_row_frame
 from sievework.operators.order import SortKey, columns_of
 from sievework.session import through_storage
 
@@ -80,21 +81,8 @@ def with_ranks(df: DataFrame, keys: Sequence[str], order: Sequence[SortKey], *,
 
 def with_rolling_sum(df: DataFrame, keys: Sequence[str], order: Sequence[SortKey], value: str, name: str, rows: int,
                      slices: int | None = None) -> DataFrame:
-    """Sum of an exact number over the last ``rows`` rows of the key, this one included; NULL if all of them are NULL.
-
-    The difference of two running totals that lie ``rows`` rows apart, found by row number.
-    """
-    marked = with_ranks(df.withColumn("_known", F.col(value).isNotNull().cast("long")), keys, order, row_number="_row", slices=slices)
-    totals = with_running_total(marked.withColumn("_value", F.coalesce(F.col(value), F.lit(0).cast(df.schema[value].dataType))),
-                                keys, order, "_value", "_sum", slices)
-    totals = with_running_total(totals, keys, order, "_known", "_count", slices)
-    key = F.struct(*keys) if keys else F.struct(F.lit(0).alias("all"))
-    earlier = totals.select(F.xxhash64(key).alias("_hash"), key.alias("_theirs"), (F.col("_row") + rows).alias("_row_then"),
-                            F.col("_sum").alias("_sum_then"), F.col("_count").alias("_count_then"))
-    joined = totals.withColumn("_mine", key).join(
-        earlier, (F.xxhash64("_mine") == F.col("_hash")) & (F.col("_mine") == F.col("_theirs")) & (F.col("_row") == F.col("_row_then")), "left")
-    known = F.col("_count") - F.coalesce("_count_then", F.lit(0))
-    return joined.withColumn(name, F.when(known > 0, F.col("_sum") - F.coalesce("_sum_then", F.lit(0)))).select(*df.columns, name)
+    """Sum over the last ``rows`` rows of the key, this one included; NULL if all of them are NULL."""
+    return with_row_frame(df, keys, order, {name: F.sum(value)}, rows, slices)
 
 
 def with_running_total(df: DataFrame, keys: Sequence[str], order: Sequence[SortKey], value: str, name: str,

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from sievework.functions import parse, text
 from sievework.operators import aggregate, compare, dedup, history, joins, profile
+from sievework.operators.frames import as_of_join, with_range_frame, with_row_frame
 from sievework.operators.order import asc, desc
 from sievework.operators.sliced import exact_quantiles, with_neighbour, with_ranks, with_rolling_sum, with_running_total
 from sievework.session import through_storage
@@ -61,6 +62,37 @@ query("join_validity_period",
          + (o_custkey % 5) * CAST(0.01 AS DOUBLE) AS rate FROM orders""")
 
 
+def _last_purchase(t):
+    """Every event with the purchase before it, of the last two days; one key has a third of the events."""
+    events = t.events.select("event_id", "ts", "event_type", "value", F.when(C("event_id") % 3 == 0, 0).otherwise(C("user_id")).alias("who"))
+    purchases = events.where("event_type = 'purchase'").select("who", C("ts").alias("bought_at"), cents("value").alias("bought"), C("event_id").alias("purchase"))
+    return as_of_join(events, purchases, ["who"], "ts", "bought_at", tolerance="2 days", strict=True, tie_break=[asc("purchase")])
+
+
+query("join_as_of",
+      lambda t: _last_purchase(t).select("event_id", "purchase", "bought"),
+      f"""WITH e AS (SELECT *, CASE WHEN event_id % 3 = 0 THEN 0 ELSE user_id END AS who FROM events),
+         p AS (SELECT who, ts AS bought_at, {CENTS('value')} AS bought, event_id AS purchase FROM e WHERE event_type = 'purchase'
+               QUALIFY row_number() OVER (PARTITION BY who, ts ORDER BY event_id) = 1)
+         SELECT e.event_id, CASE WHEN bought_at >= ts - INTERVAL 2 DAY THEN purchase END AS purchase, CASE WHEN bought_at >= ts - INTERVAL 2 DAY THEN bought END AS bought
+         FROM e ASOF LEFT JOIN p ON e.who = p.who AND e.ts > p.bought_at""")
+
+
+def _rate_on_day(t):
+    """Every order with the rate of its priority set last on or before its day; rates are set on a few days only."""
+    day = C("o_orderdate").cast("date")
+    rates = (t.orders.where(F.dayofyear(day).isin(5, 120, 250)).groupBy("o_orderpriority", day.alias("set_on"))
+             .agg(F.sum(cents("o_totalprice")).alias("rate")))
+    return as_of_join(t.orders.select("o_orderkey", "o_orderpriority", day.alias("day")), rates, ["o_orderpriority"], "day", "set_on")
+
+
+query("rate_as_of_date",
+      lambda t: _rate_on_day(t).select("o_orderkey", iso("set_on").alias("set_on"), "rate"),
+      f"""WITH r AS (SELECT o_orderpriority AS p, CAST(o_orderdate AS DATE) AS set_on, {SUM_CENTS('o_totalprice')} AS rate FROM orders
+         WHERE dayofyear(o_orderdate) IN (5, 120, 250) GROUP BY 1, 2)
+         SELECT o_orderkey, CAST(set_on AS VARCHAR) AS set_on, rate FROM orders ASOF LEFT JOIN r ON o_orderpriority = p AND CAST(o_orderdate AS DATE) >= set_on""")
+
+
 def _status_as_of_day(t):
     """Every order with the version of its customer's status that is valid on its day; the newest version is open."""
     day = C("o_orderdate").cast("date").alias("day")
@@ -363,6 +395,28 @@ query("rolling_sum_last_rows",
       .select("o_orderkey", "last_seven"),
       f"""SELECT o_orderkey, CAST(sum({CENTS('o_totalprice')}) OVER (PARTITION BY o_orderpriority ORDER BY o_orderdate, o_orderkey
          ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS BIGINT) AS last_seven FROM orders""")
+query("rolling_max_last_rows",
+      lambda t: with_row_frame(t.orders.select("o_orderkey", "o_orderpriority", "o_orderdate", cents("o_totalprice").alias("cents")),
+                               ["o_orderpriority"], [desc("o_orderdate"), asc("o_orderkey")],
+                               {"top": F.max("cents"), "low": F.min("cents"), "n": F.count(F.lit(1))}, 50).select("o_orderkey", "top", "low", "n"),
+      f"""SELECT o_orderkey, max({CENTS('o_totalprice')}) OVER w AS top, min({CENTS('o_totalprice')}) OVER w AS low, count(*) OVER w AS n
+         FROM orders WINDOW w AS (PARTITION BY o_orderpriority ORDER BY o_orderdate DESC, o_orderkey ROWS BETWEEN 49 PRECEDING AND CURRENT ROW)""")
+query("rolling_week_sum",
+      lambda t: with_range_frame(t.orders.select("o_orderkey", "o_orderpriority", "o_orderdate", cents("o_totalprice").alias("cents")),
+                                 ["o_orderpriority"], F.unix_date(C("o_orderdate").cast("date")),
+                                 {"week": ("sum", "cents"), "top": ("max", "cents"), "low": ("min", "cents"), "n": ("count", "cents"), "mean": ("mean", "cents")}, 6)
+      .select("o_orderkey", "week", "top", "low", "n", F.round("mean", 4).alias("mean")),
+      f"""SELECT o_orderkey, CAST(sum({CENTS('o_totalprice')}) OVER w AS BIGINT) AS week, max({CENTS('o_totalprice')}) OVER w AS top,
+         min({CENTS('o_totalprice')}) OVER w AS low, count(*) OVER w AS n,
+         round(CAST(sum({CENTS('o_totalprice')}) OVER w AS DOUBLE) / count(*) OVER w, 4) AS mean
+         FROM orders WINDOW w AS (PARTITION BY o_orderpriority ORDER BY CAST(o_orderdate AS DATE)
+         RANGE BETWEEN INTERVAL 6 DAY PRECEDING AND CURRENT ROW)""")
+query("rolling_day_of_events",
+      lambda t: with_range_frame(t.events.select("event_id", "event_type", "ts", cents("value").alias("cents")), ["event_type"],
+                                 F.unix_micros(C("ts").cast("timestamp")), {"day": ("sum", "cents"), "top": ("max", "cents")}, 24 * 3600 * 10**6)
+      .select("event_id", "day", "top"),
+      f"""SELECT event_id, CAST(sum({CENTS('value')}) OVER w AS BIGINT) AS day, max({CENTS('value')}) OVER w AS top FROM events
+         WINDOW w AS (PARTITION BY event_type ORDER BY ts RANGE BETWEEN INTERVAL 1 DAY PRECEDING AND CURRENT ROW)""")
 query("ranks_of_crowded_text",
       lambda t: with_ranks(t.orders.select("o_orderkey", "o_orderstatus", "o_orderpriority", F.concat(F.lit("Customer#00000"), C("o_custkey").cast("string")).alias("name")),
                            [], [asc("o_orderstatus"), asc("o_orderpriority"), desc("name"), asc("o_orderkey")], row_number="rn", rank="rk",
