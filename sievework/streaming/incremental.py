@@ -79,11 +79,12 @@ def rebuild_days(everything: DataFrame, recent: DataFrame, event_time: str, day:
 
 
 def run_increment(source: DataFrame, event_time: str, lateness: timedelta, watermarks: str, day: str, summarise,
-                  path: str) -> int:
+                  path: str, count_late: bool = False) -> int:
     """One incremental run; running it again without new rows changes nothing.  Returns the run number.
 
-    Rows without an event time are read by every run.  Rows that are older than the
-    allowance when they arrive are not published; their number is recorded with the run.
+    Rows without an event time are read by every run.  Rows that are older than the allowance when they arrive are
+    not published.  ``count_late`` records their number with the run, for which the whole source is counted twice; where late
+    rows matter, use ``landing.Landing``, which finds and publishes them from a ledger.
     """
     spark = source.sparkSession
     run, high = last_watermark(spark, watermarks)
@@ -95,7 +96,10 @@ def run_increment(source: DataFrame, event_time: str, lateness: timedelta, water
     rebuild_days(source, recent, event_time, day, summarise, path)
     if reached is None:  # no row has an event time yet, so there is no mark to record
         return run
-    before = last_settled(spark, watermarks) if high else None
-    too_late = settled_rows(source, event_time, high, lateness) - before if before is not None else 0
-    record_watermark(spark, watermarks, run + 1, reached, settled_rows(source, event_time, reached, lateness), too_late)
+    settled = too_late = None
+    if count_late:
+        before = last_settled(spark, watermarks) if high else None
+        too_late = settled_rows(source, event_time, high, lateness) - before if before is not None else 0
+        settled = settled_rows(source, event_time, reached, lateness)
+    record_watermark(spark, watermarks, run + 1, reached, settled, too_late)
     return run + 1

@@ -5,12 +5,15 @@ As elsewhere, queries that publish something write below the shared scratch fold
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import functions as F
 
 from sievework.plans import sales_periods
 from sievework.sinks.periods import PeriodStore
+from sievework.streaming.landing import Landing
 from sievework.workload import feeds
-from sievework.workload.catalog import iso, query
+from sievework.workload.catalog import cents, iso, n_rows, query
 
 C = F.col
 _DAILY = "CAST(sum(qty) AS BIGINT) AS qty, CAST(sum(amount_incl) AS BIGINT) AS amount_jpy, count(*) AS n_lines"
@@ -99,3 +102,28 @@ query("stage_metrics", _stage_metrics,
       + " UNION ALL SELECT strftime(sale_date, '%Y'), 'daily_category', count(*), CAST(sum(amount) AS BIGINT), CAST(1 AS BIGINT) FROM daily GROUP BY 1"
         " UNION ALL SELECT axis.period, 'daily_shop', any_value(axis.n) + (SELECT count(*) FROM shops WHERE strftime(sale_date, '%Y') = axis.period), "
         "CAST(sum(daily.amount) AS BIGINT), CAST(1 AS BIGINT) FROM axis JOIN daily ON strftime(daily.sale_date, '%Y') = axis.period GROUP BY axis.period")
+
+
+# ---------------------------------------------------------------- late rows
+def _too_late(t):
+    """Three deliveries; the second brings a third of the events of the first weeks, far behind the allowance.  Then nothing new."""
+    landing = Landing(t.spark, f"{t.scratch}/landing", t.events.schema, "ts", timedelta(days=1))
+    path, inbox = f"{t.scratch}/daily", f"{t.scratch}/inbox"
+    early, held = C("ts") < F.lit("2024-01-20").cast("timestamp_ntz"), C("event_id") % 3 == 0
+    per_day = lambda df: df.groupBy("day", "event_type").agg(n_rows(), F.sum(cents("value")).alias("cents"))
+    for delivery in (t.events.where(early & ~held), t.events.where(early & held), t.events.where(~early | C("ts").isNull()), None):
+        if delivery is not None:
+            delivery.write.mode("append").parquet(inbox)
+        landing.land_new_files(inbox)
+        landing.publish(per_day, path)
+    late = landing.days().groupBy("day").agg(F.sum("too_late").alias("too_late"))
+    return t.spark.read.parquet(path).join(late, "day").select(iso("day").alias("day"), "event_type", "n", "cents", "too_late")
+
+
+_CENTS = "CAST(round_even(value * 100, 0) AS BIGINT)"
+query("increment_too_late_rows", _too_late,
+      f"""WITH high AS (SELECT CAST(max(ts) - INTERVAL 1 DAY AS DATE) AS d FROM events WHERE ts < TIMESTAMP '2024-01-20' AND event_id % 3 <> 0),
+      late AS (SELECT CAST(ts AS DATE) AS day, count(*) FILTER (event_id % 3 = 0 AND ts < TIMESTAMP '2024-01-20' AND CAST(ts AS DATE) < (SELECT d FROM high)) AS too_late
+               FROM events GROUP BY 1)
+      SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, event_type, count(*) AS n, CAST(sum({_CENTS}) AS BIGINT) AS cents, CAST(any_value(too_late) AS BIGINT) AS too_late
+      FROM events JOIN late ON late.day = CAST(ts AS DATE) GROUP BY 1, 2""")
