@@ -5,12 +5,13 @@ As elsewhere, queries that publish something write below the shared scratch fold
 
 from __future__ import annotations
 
-from datetime import timedelta
+from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
 from sievework.plans import sales_periods
 from sievework.sinks.periods import PeriodStore
+from sievework.streaming import gaps, streams
 from sievework.streaming.landing import Landing
 from sievework.workload import feeds
 from sievework.workload.catalog import cents, iso, n_rows, query
@@ -127,3 +128,26 @@ query("increment_too_late_rows", _too_late,
                FROM events GROUP BY 1)
       SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, event_type, count(*) AS n, CAST(sum({_CENTS}) AS BIGINT) AS cents, CAST(any_value(too_late) AS BIGINT) AS too_late
       FROM events JOIN late ON late.day = CAST(ts AS DATE) GROUP BY 1, 2""")
+
+
+# ---------------------------------------------------------------- keyed state
+def _user_gaps(t):
+    """Silences of over twelve hours per user.  The feed comes in three deliveries and ends; every run goes on from the state of the last."""
+    inbox, path = f"{t.scratch}/inbox", f"{t.scratch}/gaps"
+    day = lambda d: F.lit(f"2024-01-{d}").cast("timestamp_ntz")
+    end = gaps.end_of_feed(t.spark, t.events.schema, "user_id", "ts", -1, datetime(2025, 1, 1))
+    deliveries = (t.events.where(C("ts") < day(11)), t.events.where((C("ts") >= day(11)) & (C("ts") < day(21))), t.events.where(C("ts") >= day(21)), end)
+    for delivery in deliveries:
+        delivery.write.mode("append").parquet(inbox)
+        with gaps.state_store(t.spark):
+            stream = streams.open_stream(t.spark, inbox, t.events.schema)
+            found = gaps.gaps(stream, "user_id", "ts", timedelta(hours=12), timedelta(hours=1), timedelta(days=40))
+            streams.append_available(found, f"{t.scratch}/progress", path)
+    return t.spark.read.parquet(path).select("user_id", C("last_seen").cast("timestamp_ntz").alias("last_seen"), C("seen_again").cast("timestamp_ntz").alias("seen_again"), "n")
+
+
+query("stream_user_gaps", _user_gaps,
+      """WITH e AS (SELECT user_id, ts, lead(ts) OVER w AS following, CASE WHEN ts - lag(ts) OVER w > INTERVAL 12 HOUR THEN 1 ELSE 0 END AS opens FROM events
+         WHERE ts IS NOT NULL AND user_id IS NOT NULL WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+         s AS (SELECT *, sum(opens) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS stretch FROM e)
+         SELECT user_id, max(ts) AS last_seen, CASE WHEN bool_and(following IS NOT NULL) THEN arg_max(following, ts) END AS seen_again, count(*) AS n FROM s GROUP BY user_id, stretch""")

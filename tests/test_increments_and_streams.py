@@ -1,3 +1,4 @@
+import random
 from datetime import datetime, timedelta
 
 import pytest
@@ -127,3 +128,46 @@ def test_landing_a_batch_twice(spark, tmp_path):
     write(batch, 7)
     write(batch, 7)
     assert same_rows(spark.read.parquet(str(tmp_path / "l")).drop("batch"), batch)
+
+
+def silences(events, gap, expire=timedelta(days=20)):
+    """(k, last seen, seen again, rows since the last gap) of sorted times per key."""
+    out = []
+    for k in {e[1] for e in events}:
+        times, n = sorted(e[0] for e in events if e[1] == k), 0
+        for a, b in zip(times, [*times[1:], None]):
+            n += 1
+            if b is None or b - a > gap:
+                out.append((k, a, b, n))
+                n = 0
+    return sorted(out, key=str)
+
+
+def test_gaps_with_out_of_order_rows_restarts_and_expiry(spark, tmp_path):
+    from sievework.streaming import gaps
+    rng, schema = random.Random(2), "k string, ts timestamp_ntz"
+    start, gap, lateness = datetime(2024, 1, 1), timedelta(hours=2), timedelta(hours=6)
+    events = [(start + timedelta(minutes=rng.randrange(6 * 24 * 60)), "hot" if rng.random() < 0.4 else f"k{rng.randrange(6)}") for _ in range(500)]
+    inbox, path = str(tmp_path / "in"), str(tmp_path / "out")
+    shape = spark.createDataFrame([], schema).schema
+
+    def run(rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(inbox)
+        with gaps.state_store(spark):
+            stream = streams.open_stream(spark, inbox, shape)
+            streams.append_available(gaps.gaps(stream, "k", "ts", gap, lateness, timedelta(days=20)), str(tmp_path / "cp"), path)
+        found = spark.read.parquet(path)
+        return sorted(((r.k, r.last_seen, r.seen_again, r.n) for r in found.withColumns({c: C(c).cast("timestamp_ntz") for c in ("last_seen", "seen_again")}).collect()), key=str)
+
+    # Deliveries overlap by less than the allowance, so rows come out of order but never too late.
+    by_arrival = sorted(events, key=lambda e: e[0] + timedelta(minutes=rng.randrange(180)))
+    for cut in range(0, 500, 125):
+        got = run([(k, t) for t, k in by_arrival[cut:cut + 125]] + [(None, start), ("k0", None)])
+        assert set(got) <= set(silences(events, gap))  # nothing is told before it is certain
+    assert all(r[2] is not None for r in got)
+    got = run([("the end", start + timedelta(days=60))])
+    assert got == silences(events, gap)
+    again = run([("hot", start + timedelta(days=61))])  # a key that was given up starts anew
+    assert again == got
+    with pytest.raises(ValueError):
+        gaps.gaps(spark.createDataFrame([], schema), "k", "ts", gap, lateness, timedelta(hours=1))
