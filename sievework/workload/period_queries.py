@@ -8,8 +8,10 @@ from __future__ import annotations
 from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sievework.plans import sales_periods
+from sievework.sinks import findings
 from sievework.sinks.periods import PeriodStore
 from sievework.streaming import gaps, streams
 from sievework.streaming.landing import Landing
@@ -151,3 +153,56 @@ query("stream_user_gaps", _user_gaps,
          WHERE ts IS NOT NULL AND user_id IS NOT NULL WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
          s AS (SELECT *, sum(opens) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS stretch FROM e)
          SELECT user_id, max(ts) AS last_seen, CASE WHEN bool_and(following IS NOT NULL) THEN arg_max(following, ts) END AS seen_again, count(*) AS n FROM s GROUP BY user_id, stretch""")
+
+
+# ---------------------------------------------------------------- findings
+_ORDER_CONTRACT = T.StructType([T.StructField("o_orderkey", T.LongType(), False), T.StructField("o_custkey", T.LongType(), False),
+                                T.StructField("status", T.StringType(), False), T.StructField("cents", T.LongType()), T.StructField("clerk", T.StringType())])
+
+
+def _faulty_orders(t):
+    """Orders with an unknown status, missing customers, an unexpected column, and some rows twice; written as files in key order."""
+    rows = t.orders.select("o_orderkey", F.when(C("o_custkey") % 97 != 0, C("o_custkey")).alias("o_custkey"),
+                           F.when(C("o_custkey") % 13 == 0, "?").otherwise(C("o_orderstatus")).alias("status"), cents("o_totalprice").alias("cents"), C("o_orderpriority").alias("extra"))
+    twice = rows.unionByName(rows.where("o_orderkey % 50 = 0"))
+    path = f"{t.scratch}/orders"
+    twice.repartitionByRange(5, "o_orderkey").sortWithinPartitions("o_orderkey").write.parquet(path)
+    return t.spark.read.parquet(path)
+
+
+def _listed(df):
+    """Examples as one text, so that they compare like any value."""
+    return df.select("check", "failed", F.concat_ws(" | ", "examples").alias("examples"))
+
+
+query("contract_findings",
+      lambda t: _listed(findings.contract_findings(_faulty_orders(t), _ORDER_CONTRACT, ["o_orderkey"], {
+          "unknown status": ~C("status").isin("F", "O", "P"), "cheap": C("cents") < 100_000_00}, ordered_by=["o_orderkey"])),
+      f"""WITH r AS (SELECT o_orderkey AS k, CASE WHEN o_custkey % 97 <> 0 THEN o_custkey END AS c, o_custkey % 13 = 0 AS unknown,
+        {_CENTS.replace('value', 'o_totalprice')} AS cents FROM orders),
+      t AS (SELECT * FROM r UNION ALL SELECT * FROM r WHERE k % 50 = 0),
+      f AS (SELECT 'o_orderkey is missing' AS "check", CAST(k AS VARCHAR) AS k FROM t WHERE k IS NULL UNION ALL SELECT 'o_custkey is missing', CAST(k AS VARCHAR) FROM t WHERE c IS NULL
+        UNION ALL SELECT 'status is missing', CAST(k AS VARCHAR) FROM t WHERE false UNION ALL SELECT 'unknown status', CAST(k AS VARCHAR) FROM t WHERE unknown
+        UNION ALL SELECT 'cheap', CAST(k AS VARCHAR) FROM t WHERE cents < 10000000
+        UNION ALL SELECT 'unique key', CAST(k AS VARCHAR) FROM t GROUP BY k HAVING count(*) > 1),
+      names("check") AS (VALUES ('o_orderkey is missing'), ('o_custkey is missing'), ('status is missing'), ('unknown status'), ('cheap'), ('unique key'))
+      SELECT n."check", count(k) AS failed, coalesce(array_to_string(list(k ORDER BY k)[1:3], ' | '), '') AS examples FROM names n LEFT JOIN f ON f."check" = n."check" GROUP BY 1
+      UNION ALL SELECT 'columns', 2, 'missing column clerk | unexpected column extra' UNION ALL SELECT 'types', 0, '' UNION ALL SELECT 'order', 0, ''""")
+
+
+def _compared_orders(t):
+    """Orders with some missing, some that nobody expects, and two columns with wrong values."""
+    expected = t.orders.select("o_orderkey", C("o_orderstatus").alias("status"), cents("o_totalprice").alias("cents"), "o_orderpriority")
+    actual = expected.where("o_orderkey % 11 <> 0").withColumns({
+        "status": F.when(C("o_orderkey") % 7 == 0, "X").otherwise(C("status")), "cents": F.when(C("o_orderkey") % 5 != 0, C("cents"))})
+    extra = expected.where("o_orderkey % 101 = 0").withColumn("o_orderkey", -C("o_orderkey") - 1)
+    return findings.comparison_findings(actual.unionByName(extra), expected, ["o_orderkey"])
+
+
+query("comparison_findings", lambda t: _listed(_compared_orders(t)),
+      """WITH o AS (SELECT o_orderkey AS k FROM orders), a AS (SELECT k FROM o WHERE k % 11 <> 0),
+      f AS (SELECT 'missing' AS "check", CAST(k AS VARCHAR) AS k FROM o WHERE k % 11 = 0 UNION ALL SELECT 'extra', CAST(-k - 1 AS VARCHAR) FROM o WHERE k % 101 = 0
+        UNION ALL SELECT 'values of status', CAST(k AS VARCHAR) FROM a WHERE k % 7 = 0 UNION ALL SELECT 'values of cents', CAST(k AS VARCHAR) FROM a WHERE k % 5 = 0),
+      names("check") AS (VALUES ('missing'), ('extra'), ('values of status'), ('values of cents'), ('values of o_orderpriority'), ('columns'), ('types'), ('unique key, actual'),
+        ('unique key, expected'))
+      SELECT n."check", count(k) AS failed, coalesce(array_to_string(list(k ORDER BY k)[1:3], ' | '), '') AS examples FROM names n LEFT JOIN f ON f."check" = n."check" GROUP BY 1""")

@@ -106,9 +106,18 @@ query("read_mixed_delivery",
          CASE o_orderstatus WHEN 'F' THEN 'completed' WHEN 'O' THEN 'pending' ELSE 'cancelled' END AS status,
          strftime(CAST(o_orderdate AS DATE) + {d}, '%Y-%m-%dT%H:%M:%S') AS ingested_at FROM orders {w}"""
                         for d, w in ((1, ""), (30, "WHERE o_orderstatus = 'P'"))))
-query("source_file_lineage",
-      lambda t: t.lineitem.select(C("_metadata.file_name").alias("file")).groupBy("file").agg(n_rows()).agg(F.sum("n").alias("rows")),
-      "SELECT count(*) AS rows FROM lineitem")
+def _status_files(t):
+    """Line items in one folder per status, each written in one piece, read back with the files that rows come from."""
+    path = f"{t.scratch}/lines"
+    (t.lineitem.select("l_orderkey", "l_linenumber", "l_linestatus", C("l_returnflag").alias("flag"))
+     .repartition("flag").write.partitionBy("flag").parquet(path))
+    rows = t.spark.read.parquet(path)
+    named = delimited.rows_per_file(rows).join(rows.select(C("_metadata.file_path").alias("file"), "flag").distinct(), "file")
+    return named.groupBy("flag").agg(F.sum("rows").alias("rows"), F.count_if(C("file").rlike("/part-[0-9]+[^/]*[.]parquet$") & (C("bytes") > 0)).alias("files"))
+
+
+query("source_file_lineage", _status_files,
+      "SELECT l_returnflag AS flag, CAST(count(*) AS BIGINT) AS rows, CAST(1 AS BIGINT) AS files FROM lineitem GROUP BY 1")
 
 _STORE = {"売上日": "sale_date", "店舗名": "shop_name", "商品CD": "item_cd", "数量": "qty", "金額": "amount", "備考": "note"}
 _WEB = {"受注日": "sale_date", "店舗名": "shop_name", "商品CD": "item_cd", "数量": "qty", "金額税抜": "amount", "ステータス": "note"}
