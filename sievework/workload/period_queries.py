@@ -10,6 +10,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sievework.operators import history
 from sievework.plans import sales_periods
 from sievework.sinks import findings
 from sievework.sinks.periods import PeriodStore
@@ -206,3 +207,45 @@ query("comparison_findings", lambda t: _listed(_compared_orders(t)),
       names("check") AS (VALUES ('missing'), ('extra'), ('values of status'), ('values of cents'), ('values of o_orderpriority'), ('columns'), ('types'), ('unique key, actual'),
         ('unique key, expected'))
       SELECT n."check", count(k) AS failed, coalesce(array_to_string(list(k ORDER BY k)[1:3], ' | '), '') AS examples FROM names n LEFT JOIN f ON f."check" = n."check" GROUP BY 1""")
+
+
+# ---------------------------------------------------------------- star schema
+def _entries(t):
+    """Changes of a customer's status and tier; some orders end the customer."""
+    return t.orders.select("o_custkey", C("o_orderkey").alias("seq"), C("o_orderstatus").alias("status"), (C("o_orderpriority") < "3").alias("tier"),
+                           (C("o_orderkey") % 17 == 0).alias("left"))
+
+
+def _dimension(t):
+    """The version table after three batches, of which the second is older than what is known and the third is the second again."""
+    path, entries = f"{t.scratch}/customer", _entries(t)
+    late = (C("seq") % 3 == 1)
+    for batch in (entries.where(~late), entries.where(late), entries.where(late)):
+        rewritten = history.merge_versions(batch, path, ["o_custkey"], "seq", ["status", "tier"], 16, "left")
+    return t.spark.read.parquet(history.versions_path(path)), rewritten
+
+
+def _merged_dimension(t):
+    table, rewritten = _dimension(t)
+    return table.select("o_custkey", "status", "tier", "valid_from", "valid_to", "is_current", F.lit(rewritten).alias("rewritten_last"))
+
+
+_VERSIONS_SQL = """marked AS (SELECT o_custkey, o_orderkey AS seq, o_orderstatus AS status, o_orderpriority < '3' AS tier, o_orderkey % 17 = 0 AS gone,
+        CASE WHEN o_orderkey % 17 = 0 THEN 'end' ELSE o_orderstatus || (o_orderpriority < '3') END AS state FROM orders),
+      lagged AS (SELECT *, lag(state) OVER (PARTITION BY o_custkey ORDER BY seq) AS before FROM marked),
+      changed AS (SELECT *, lead(seq) OVER (PARTITION BY o_custkey ORDER BY seq) AS valid_to FROM lagged WHERE before IS DISTINCT FROM state),
+      versions AS (SELECT o_custkey, status, tier, seq AS valid_from, valid_to, valid_to IS NULL AS is_current FROM changed WHERE NOT gone)"""
+query("dimension_merge", _merged_dimension,
+      f"WITH {_VERSIONS_SQL} SELECT o_custkey, status, tier, valid_from, valid_to, is_current, 0 AS rewritten_last FROM versions")
+
+
+def _facts_with_versions(t):
+    """Every order with its customer as known half a step later, by the surrogate key of the version."""
+    versions = _dimension(t)[0].select("o_custkey", "status", "tier", "valid_from", "valid_to")
+    facts = t.orders.select("o_orderkey", "o_custkey", (C("o_orderkey") - C("o_orderkey") % 5).alias("at"))
+    return history.with_versions(facts, versions, ["o_custkey"], "at").select("o_orderkey", "status", "tier", "valid_from", "valid_to")
+
+
+query("fact_with_versions", _facts_with_versions,
+      f"""WITH {_VERSIONS_SQL} SELECT o.o_orderkey, v.status, v.tier, v.valid_from, v.valid_to FROM orders o LEFT JOIN versions v
+      ON v.o_custkey = o.o_custkey AND v.valid_from <= o.o_orderkey - o.o_orderkey % 5 AND (v.valid_to IS NULL OR v.valid_to > o.o_orderkey - o.o_orderkey % 5)""")
