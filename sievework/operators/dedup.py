@@ -15,12 +15,20 @@ from pyspark.sql import functions as F
 
 from sievework.operators.aggregate import joined_on_key
 from sievework.operators.order import SortKey, columns_of
+from sievework.operators.sliced import with_ranks
+
+
+#: Rows per key up to which Spark limits groups before the shuffle (``spark.sql.optimizer.windowGroupLimitThreshold``).
+GROUP_LIMIT = 1000
 
 
 def nth_rows(df: DataFrame, keys: Sequence[str], order: Sequence[SortKey], first: int, last: int) -> DataFrame:
     """Rows number ``first`` to ``last`` (1-based) of each key in the given order."""
     if not order:
         raise ValueError("rows of a group have no order of their own: name the sort keys")
+    if last > GROUP_LIMIT and len(order) > 1:
+        # Beyond Spark's group limit a window would sort a whole key in one task: number the rows in slices instead.
+        return with_ranks(df, keys, order, row_number="_row").filter(F.col("_row").between(first, last)).drop("_row")
     w = Window.partitionBy(*keys).orderBy(*columns_of(order))
     numbered = df.withColumn("_row", F.row_number().over(w)).filter(F.col("_row") <= last)
     if first > 1:

@@ -1,14 +1,14 @@
-"""Looking at a table before touching it; every report is one aggregation over one scan."""
+"""Looking at a table before touching it; every report reads the table once."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sievework.operators.sliced import exact_quantiles
+from sievework.session import through_storage
 
 
 def shape(df: DataFrame) -> DataFrame:
@@ -73,19 +73,50 @@ def key_report(df: DataFrame, keys: Sequence[str]) -> DataFrame:
                        F.sum(F.col("n") - 1).alias("surplus_rows"))
 
 
+#: The fractions of the quartiles that ``describe`` gives.
+_QUARTILES = (0.25, 0.5, 0.75)
+
+
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Count, mean, deviation, extremes and exact quartiles, one row per numeric column."""
-    out = None
+    """Count, mean, deviation, extremes and exact quartiles, one row per numeric column.
+
+    ``df`` is read once: while it is counted by (column, value), the other numbers are observed.  The counts of all columns are put
+    in one order; only the slices that hold a quartile are looked into.  A row per column and slice comes to the driver.
+    """
     for c in columns:
         if not isinstance(df.schema[c].dataType, T.NumericType):
             raise TypeError(f"{c} is not numeric")
-        basic = df.agg(F.count(c).alias("count"), F.avg(F.col(c).cast("double")).alias("mean"),
-                       F.stddev_samp(c).alias("std"), F.min(F.col(c).cast("double")).alias("min"),
-                       F.max(F.col(c).cast("double")).alias("max"))
-        points = exact_quantiles(df, c, [0.25, 0.5, 0.75]).groupBy().pivot("fraction", [0.25, 0.5, 0.75]).agg(
-            F.max("value")).toDF("q25", "q50", "q75")
-        row = basic.select(F.lit(c).alias("column"), "count", "mean", "std", "min",
-                           points.select("q25").scalar().alias("q25"), points.select("q50").scalar().alias("q50"),
-                           points.select("q75").scalar().alias("q75"), "max")
-        out = row if out is None else out.unionByName(row)
-    return out
+    seen = Observation()
+    basic = {"count": F.count, "mean": lambda c: F.avg(c.cast("double")), "std": F.stddev_samp, "min": lambda c: F.min(c.cast("double")), "max": lambda c: F.max(c.cast("double"))}
+    watched = df.select(*columns).observe(seen, *[f(F.col(c)).alias(f"{name}_{i}") for i, c in enumerate(columns) for name, f in basic.items()])
+    pairs = F.array(*[F.struct(F.lit(i).alias("_c"), F.col(c).cast("double").alias("_v")) for i, c in enumerate(columns)])
+    counts = watched.select(F.inline(pairs)).where("_v is not null").groupBy("_c", "_v").agg(F.count(F.lit(1)).alias("_n"))
+    placed = through_storage(counts.repartitionByRange("_c", "_v").withColumn("_slice", F.spark_partition_id()), "described")
+    numbers, before, wanted, bases = seen.get, {}, {}, []
+    for c, part, n in sorted(map(tuple, placed.groupBy("_c", "_slice").agg(F.sum("_n")).collect())):
+        if c not in wanted:
+            at = {q: (numbers[f"count_{c}"] - 1) * q for q in _QUARTILES}
+            wanted[c] = {q: (int(p), min(int(p) + 1, numbers[f"count_{c}"] - 1), p - int(p)) for q, p in at.items()}
+        start = before.get(c, 0)
+        if any(start <= p < start + n for lo, hi, _ in wanted[c].values() for p in (lo, hi)):
+            bases.append((c, part, start))
+        before[c] = start + n
+    running = Window.partitionBy("_c", "_slice").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    base = df.sparkSession.createDataFrame(bases, "_c int, _slice int, _base long")
+    ends = placed.join(F.broadcast(base), ["_c", "_slice"]).withColumn("_end", F.col("_base") + F.sum("_n").over(running))  # at most six rows a column
+    places = sorted({(c, p) for c, at in wanted.items() for lo, hi, _ in at.values() for p in (lo, hi)})
+    here = [F.max(F.when((F.col("_c") == c) & (F.col("_end") - F.col("_n") <= p) & (F.col("_end") > p), F.col("_v"))).alias(f"at_{c}_{p}") for c, p in places]
+    found = ends.agg(*here).first().asDict() if here else {}
+    rows = []
+    for i, c in enumerate(columns):
+        quartiles = []
+        for q in _QUARTILES:
+            if i in wanted:
+                lo, hi, part = wanted[i][q]
+                a, b = found[f"at_{i}_{lo}"], found[f"at_{i}_{hi}"]
+                quartiles.append(a + (b - a) * part)
+            else:
+                quartiles.append(None)
+        n, mean, std, low, high = (numbers[f"{name}_{i}"] for name in basic)
+        rows.append((c, n, mean, std, low, *quartiles, high))
+    return df.sparkSession.createDataFrame(rows, "column string, count long, mean double, std double, min double, q25 double, q50 double, q75 double, max double")

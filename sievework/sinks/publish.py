@@ -128,7 +128,9 @@ def upsert(source: DataFrame, path: str, keys: Sequence[str], by: Sequence[str])
     a key of the source are rewritten, also the one a key moves away from.
     """
     spark = source.sparkSession
-    incoming = through_storage(one_row_per_key(source, keys, "upsert source").select(*source.columns), "upsert")
+    incoming = through_storage(source, "upsert")
+    # A pass over the keys alone, which stops at a repeated one.
+    one_row_per_key(incoming.select(*keys), keys, "upsert source").write.format("noop").mode("overwrite").save()
     current = read_table(spark, path, source.schema).select(*source.columns)
     touched = (null_safe(current, incoming, keys, "left_semi").select(*by)
                .unionByName(incoming.select(*by)).distinct())
@@ -147,6 +149,15 @@ def export_single(df: DataFrame, path: str, key: Sequence[str], agreed: T.Struct
     df.coalesce(1).sortWithinPartitions(*key).write.mode("overwrite").parquet(path)
 
 
+def export_sorted(df: DataFrame, path: str, key: Sequence[str], files: int, agreed: T.StructType | None = None) -> None:
+    """About ``files`` Parquet files that hold the rows in key order, file after file by name; each is written by a task of its own.
+
+    Rows are range-partitioned by the key and sorted inside partitions, so the first file ends where the second begins.
+    """
+    df = enforce_contract(df, agreed) if agreed is not None else df
+    df.repartitionByRange(files, *key).sortWithinPartitions(*key).write.mode("overwrite").parquet(path)
+
+
 def write_csv(df: DataFrame, path: str, encoding: str = "UTF-8") -> None:
     """Delimited text with a header.  Types are lost; use Parquet between steps."""
     df.write.mode("overwrite").option("header", True).option("escape", '"').option("encoding", encoding).csv(path)

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from sievework.session import through_storage
 from sievework.sinks.publish import _partition_dir, null_safe, read_table, replace_partitions
+from sievework.streaming.streams import last_delivery
 
 _FILES = T.StructType([T.StructField("file", T.StringType()), T.StructField("batch", T.LongType())])
 _DAYS = T.StructType([T.StructField("day", T.DateType()), T.StructField("rows", T.LongType()), T.StructField("hashes", T.DecimalType(38, 0)),
@@ -103,7 +104,7 @@ class Landing:
         else:
             rows = null_safe(self._read("landed", self._layout()), changed, ["day"], "left_semi")
         if keys:
-            rows = _last_delivery(rows, keys)
+            rows = last_delivery(rows, keys)
         replace_partitions(summarise(rows.drop("batch")), path, ["day"], rerun=changed.select("day"))
         run = (self._read("published", _PUBLISHED).agg(F.max("run")).first()[0] or 0) + 1
         changed.select(F.lit(run).cast("long").alias("run"), "day", "rows", "hashes").coalesce(1).write.mode("append").parquet(self._path("published"))
@@ -121,10 +122,3 @@ class Landing:
 
     def _read(self, name: str, schema: T.StructType) -> DataFrame:
         return read_table(self.spark, self._path(name), schema).select(*schema.fieldNames())
-
-
-def _last_delivery(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row per key: of the last batch, and of several in it the one with the greatest columns, so every run picks the same."""
-    payload = [c for c in rows.columns if c not in (*keys, "batch")]
-    picked = rows.groupBy(*keys).agg(F.max(F.struct("batch", *payload)).alias("_last"))
-    return picked.select(*keys, "_last.*")

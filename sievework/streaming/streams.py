@@ -89,7 +89,7 @@ def rebuild_touched_days(landed: str, path: str, ts: str, day: str, keys: Sequen
     """Sink: land the batch by day, then recompute every day it touches from all landed rows.
 
     Late rows reach back to the day they belong to.  Rows delivered twice (equal
-    ``keys``) count once.  Only the touched days are read back; their number is
+    ``keys``) count once, as their last batch has them.  Only the touched days are read back; their number is
     bounded by the calendar.
     """
     land = land_batches(landed, [day])
@@ -102,11 +102,17 @@ def rebuild_touched_days(landed: str, path: str, ts: str, day: str, keys: Sequen
             return
         land(dated, batch_id)
         layout = dated.schema.add("batch", T.LongType())
-        stored = spark.read.schema(layout).parquet(landed).filter(_one_of(F.col(day), touched)).drop("batch")
-        replace_partitions(summarise(stored.dropDuplicates(list(keys))), path, [day])
+        stored = spark.read.schema(layout).parquet(landed).filter(_one_of(F.col(day), touched))
+        replace_partitions(summarise(last_delivery(stored, keys).drop("batch")), path, [day])
     return write
 
 
+def last_delivery(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per key: of the last ``batch``; of several in it the one with the greatest columns, so that every run picks the same."""
+    payload = [c for c in rows.columns if c not in (*keys, "batch")]
+    return latest_by(rows, keys, "batch", [SortKey(c, descending=True) for c in payload])
+
+
 def _one_of(c: Column, values: Sequence) -> Column:
     """Membership that also finds the missing value, if it is among the values."""
     known = [v for v in values if v is not None]

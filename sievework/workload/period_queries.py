@@ -10,7 +10,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sievework.operators import history
+from sievework.operators import history, recorded
 from sievework.plans import sales_periods
 from sievework.sinks import findings
 from sievework.sinks.periods import PeriodStore
@@ -249,3 +249,38 @@ def _facts_with_versions(t):
 query("fact_with_versions", _facts_with_versions,
       f"""WITH {_VERSIONS_SQL} SELECT o.o_orderkey, v.status, v.tier, v.valid_from, v.valid_to FROM orders o LEFT JOIN versions v
       ON v.o_custkey = o.o_custkey AND v.valid_from <= o.o_orderkey - o.o_orderkey % 5 AND (v.valid_to IS NULL OR v.valid_to > o.o_orderkey - o.o_orderkey % 5)""")
+
+
+# ---------------------------------------------------------------- recorded history
+def _drift(t):
+    """Profiles of daily sales per shipping mode of line items, recorded year by year (one year twice); the last year against the others."""
+    path = f"{t.scratch}/profiles"
+    flag = F.when(C("l_linestatus") == "F", "done").when(C("l_shipdate") < F.lit("1999-06-01").cast("timestamp_ntz"), "open")
+    daily = t.lineitem.groupBy(F.year("l_shipdate").alias("year"), C("l_shipdate").cast("date").alias("day"), flag.alias("mode")).agg(
+        F.sum(cents("l_extendedprice")).alias("cents"), F.max(F.when(C("l_discount") > 0.09, C("l_quantity"))).alias("most"))
+    daily.write.parquet(f"{t.scratch}/daily")
+    daily = t.spark.read.parquet(f"{t.scratch}/daily")
+    years = [int(y) for y in _years(t)]
+    for year in (*years[:-1], years[0], years[-1]):
+        changed = daily.where(C("year") == year).withColumn("cents", F.when(C("mode") == "done", C("cents") * (9 if year == years[-1] else 1)).otherwise(C("cents")))
+        recorded.record_profile(recorded.profile_of(changed, year, "mode", ["cents", "most"]), path)
+    return recorded.drift_report(t.spark, path, years[-1])
+
+
+_Q = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
+query("profile_drift", _drift,
+      f"""WITH daily AS (SELECT year(l_shipdate) AS y, CAST(l_shipdate AS DATE) AS day,
+        CASE WHEN l_linestatus = 'F' THEN 'done' WHEN l_shipdate < TIMESTAMP '1999-06-01' THEN 'open' END AS part,
+        CAST(sum(CAST(round_even(l_extendedprice * 100, 0) AS BIGINT)) AS DOUBLE) AS cents, max(l_quantity) FILTER (l_discount > 0.09) AS most FROM lineitem GROUP BY 1, 2, 3),
+      last AS (SELECT max(y) AS y FROM daily),
+      long AS (SELECT y, part, 'cents' AS measure, CASE WHEN part = 'done' AND y = (SELECT y FROM last) THEN cents * 9 ELSE cents END AS v FROM daily
+        UNION ALL SELECT y, part, 'most', most FROM daily),
+      now AS (SELECT part, measure, count(v) AS n, count(*) FILTER (v IS NULL) AS missing, sum(v) AS total, quantile_disc(v, 0.5) AS median FROM long
+        WHERE y = (SELECT y FROM last) GROUP BY 1, 2),
+      before AS (SELECT part, measure, count(DISTINCT y) AS runs, count(v) AS n_before, count(*) FILTER (v IS NULL) AS missing_before, sum(v) AS total_before,
+        {", ".join(f"quantile_disc(v, {f}) AS {n}" for n, f in _Q.items())} FROM long WHERE y < (SELECT y FROM last) GROUP BY 1, 2)
+      SELECT coalesce(a.part, b.part) AS part, coalesce(a.measure, b.measure) AS measure, runs, n, n_before, missing, missing_before, total, total_before, median, q25, q50, q75,
+        CASE WHEN b.measure IS NULL THEN 'new' WHEN a.measure IS NULL THEN 'gone'
+          WHEN median < q25 - (q75 - q25) * CAST(1.5 AS DOUBLE) OR median > q75 + (q75 - q25) * CAST(1.5 AS DOUBLE) THEN 'median'
+          WHEN missing / (n + missing) > 2 * (missing_before / (n_before + missing_before)) AND missing / (n + missing) > missing_before / (n_before + missing_before) + 0.01 THEN 'missing' END AS verdict
+      FROM now a FULL JOIN before b ON a.part IS NOT DISTINCT FROM b.part AND a.measure = b.measure""")

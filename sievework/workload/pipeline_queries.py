@@ -6,7 +6,7 @@ what a reader of the published table sees.
 
 from __future__ import annotations
 
-from datetime import timedelta
+from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,10 +18,10 @@ from sievework.plans import orders as order_plan
 from sievework.plans import roster as roster_plan
 from sievework.plans import sales as sales_plan
 from sievework.plans import weblog
-from sievework.sinks import contract, publish
+from sievework.sinks import contract, findings, publish
 from sievework.sources import delimited, encoding
 from sievework.sources.registry import SourceSpec, load
-from sievework.streaming import incremental, streams
+from sievework.streaming import gaps, incremental, streams
 from sievework.workload import feeds
 from sievework.workload.catalog import cents, iso, n_rows, query
 
@@ -274,15 +274,16 @@ query("replace_escaped_partition", _replaced_escaped,
 
 
 def _exported(t):
+    """The cleaned orders exported in key order; what comes back, and whether each file begins behind the one before it."""
     path = f"{t.scratch}/export"
-    publish.export_single(order_plan.clean_orders(feeds.order_feed(t)), path, ["order_id"], order_plan.ORDER_CONTRACT)
+    publish.export_sorted(order_plan.clean_orders(feeds.order_feed(t)), path, ["order_id"], 6, order_plan.ORDER_CONTRACT)
     back = t.spark.read.parquet(path)
-    return back.groupBy(C("_metadata.file_name").isNotNull().alias("stored")).agg(
-        n_rows(), F.countDistinct("_metadata.file_name").alias("files"))
+    ordered = findings.order_findings(back, ["order_id"]).select((C("failed") == 0).alias("ordered"))
+    return back.groupBy(C("_metadata.file_name").isNotNull().alias("stored")).agg(n_rows(), (F.countDistinct("_metadata.file_name") > 1).alias("several")).crossJoin(ordered)  # one row each
 
 
 query("publish_single_file", _exported,
-      f"SELECT true AS stored, count(*) AS n, CAST(1 AS BIGINT) AS files FROM ({feeds.CLEAN_ORDERS_SQL})")
+      f"SELECT true AS stored, count(*) AS n, true AS several, true AS ordered FROM ({feeds.CLEAN_ORDERS_SQL})")
 
 
 # ---------------------------------------------------------------- contract
@@ -484,16 +485,24 @@ query("stream_latest_per_key", _stream_latest,
       "SELECT user_id, event_id, event_type FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id) = 1")
 
 
+def _ended_stream(t, name, results):
+    """What a stream over the events delivers until its feed ends: a last delivery, far behind all others, closes what is open."""
+    inbox, path = f"{t.scratch}/{name}-in", f"{t.scratch}/{name}"
+    end = gaps.end_of_feed(t.spark, t.events.schema, "event_type", "ts", "the end", datetime(2030, 1, 1))
+    for delivery in (t.events, end):
+        delivery.write.mode("append").parquet(inbox)
+        stream = streams.with_event_time(streams.open_stream(t.spark, inbox, t.events.schema), "ts", "1 hour")
+        streams.append_available(results(stream), f"{t.scratch}/{name}-progress", path)
+    return t.spark.read.parquet(path)
+
+
 def _stream_windows(t):
-    path = f"{t.scratch}/windows"
-    counted = streams.window_counts(streams.with_event_time(_event_stream(t), "ts", "1 hour"), "ts", "1 hour", None, ["event_type"])
-    streams.append_available(counted, f"{t.scratch}/progress", path)
-    return t.spark.read.parquet(path).select(C("window_start").cast("timestamp_ntz").alias("window_start"), "event_type", "n")
+    counted = _ended_stream(t, "windows", lambda stream: streams.window_counts(stream, "ts", "1 hour", None, ["event_type"]))
+    return counted.select(C("window_start").cast("timestamp_ntz").alias("window_start"), "event_type", "n")
 
 
 query("stream_hourly_windows", _stream_windows,
-      """SELECT date_trunc('hour', ts) AS window_start, event_type, count(*) AS n FROM events GROUP BY 1, 2
-         HAVING date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""")
+      "SELECT date_trunc('hour', ts) AS window_start, event_type, count(*) AS n FROM events GROUP BY 1, 2")
 
 
 def _stream_repeats(t):
@@ -510,18 +519,15 @@ query("stream_drop_repeats", _stream_repeats,
 
 
 def _stream_sessions(t):
-    path = f"{t.scratch}/sessions"
-    found = streams.sessions(streams.with_event_time(_event_stream(t), "ts", "1 hour"), "ts", "30 minutes", ["event_type"])
-    streams.append_available(found, f"{t.scratch}/progress", path)
-    return t.spark.read.parquet(path).select(C("session_start").cast("timestamp_ntz").alias("session_start"), "event_type", "n")
+    found = _ended_stream(t, "sessions", lambda stream: streams.sessions(stream, "ts", "30 minutes", ["event_type"]))
+    return found.select(C("session_start").cast("timestamp_ntz").alias("session_start"), "event_type", "n")
 
 
 query("stream_sessions", _stream_sessions,
       """WITH g AS (SELECT *, CASE WHEN ts <= lag(ts) OVER w + INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS opens FROM events
                     WINDOW w AS (PARTITION BY event_type ORDER BY ts)),
          s AS (SELECT *, sum(opens) OVER (PARTITION BY event_type ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid FROM g)
-         SELECT min(ts) AS session_start, event_type, count(*) AS n FROM s GROUP BY event_type, sid
-         HAVING max(ts) + INTERVAL 30 MINUTE <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""")
+         SELECT min(ts) AS session_start, event_type, count(*) AS n FROM s GROUP BY event_type, sid""")
 
 
 def _whole(t, summarise):

@@ -96,3 +96,11 @@ def test_as_of_refuses_what_is_unclear(spark):
     assert as_of_join(left.limit(0), right.limit(1), ["k"], "at", "r_at").count() == 0
     with pytest.raises(ValueError, match="both sides have"):
         as_of_join(left, right.withColumnRenamed("v", "id"), ["k"], "at", "r_at")
+
+
+def test_many_rows_of_a_key_are_numbered_in_slices(spark):
+    from sievework.operators.dedup import head_by, nth_rows
+    df = spark.range(5000).selectExpr("id", "id % 7 as v", "'hot' as k")
+    want = sorted((i % 7, i) for i in range(5000))
+    assert sorted((r.v, r.id) for r in head_by(df, ["k"], [asc("v"), asc("id")], 1500).collect()) == want[:1500]
+    assert sorted((r.v, r.id) for r in nth_rows(df, ["k"], [asc("v"), asc("id")], 1400, 1410).collect()) == want[1399:1410]
