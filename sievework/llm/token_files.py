@@ -249,5 +249,5 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
                             "ids_crc32": pa.array(crc, pa.int64())})
 
     files = manifest.select("path", "start")
-    # Few rows, one per file: hashed over as many tasks as the session's shuffles have.
-    return (files.repartition("path").mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long"))
+    # Few rows, one per file, each of which stands for a whole file: with a number given, Spark does not put them together.
+    return (files.repartition(max(1, files.count()), "path").mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long"))
