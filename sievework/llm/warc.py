@@ -26,6 +26,8 @@ from sievework.session import scratch_path, through_storage
 
 #: A block ends after so many captures, or so many bytes of archive.
 BLOCK_LINES, BLOCK_BYTES = 1000, 4 << 20
+#: Blocks that one task reads back on large tables.
+BLOCKS_A_TASK = 16
 #: Archive dates are part of the record format; the pages have none.
 DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -210,7 +212,10 @@ def read_captures(directory: DataFrame) -> DataFrame:
                                 "record_type": head["warc-type"], "refers_to": _page_number(refers) if refers else None})
                 yield pa.RecordBatch.from_pylist(out, schema=schema)
 
-    return directory.repartition("part", "block").mapInArrow(
+    # Few small rows, each of which stands for a block of captures: with a number given, Spark does not put them together.
+    blocks, least = directory.count(), directory.sparkSession.sparkContext.defaultParallelism
+    tasks = max(1, min(blocks, least), blocks // BLOCKS_A_TASK)
+    return directory.repartition(tasks, "part", "block").mapInArrow(
         read, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
 
 
