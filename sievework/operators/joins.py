@@ -23,16 +23,16 @@ def _pairs(on: Sequence[KeyPair]) -> list[tuple[str, str]]:
 def one_row_per_key(df: DataFrame, keys: Sequence[str], label: str) -> DataFrame:
     """``df`` unchanged, except that a repeated key stops the job and is named.
 
-    The check is part of the plan.  Keys alone are counted, combined before the shuffle, and joined back; the other
-    columns are shuffled once, by key, for that join and whatever joins on the key above it.
+    The check is part of the plan: one aggregation on the join key, whose partitioning a shuffle join above it can use
+    as it is.  For a pass over the keys alone, give the keys alone: then it is a hash aggregation of counts.
     """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    payload = [c for c in df.columns if c not in keys]
+    counted = [F.count(F.lit(1)).alias("_n"), *([F.any_value(F.struct(*payload)).alias("_row")] if payload else [])]
+    grouped = df.groupBy(*keys).agg(*counted)
     shown = F.concat_ws(", ", *[F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in keys])
     message = F.concat(F.lit(f"{label}: more than one row for key "), shown)
     single = F.when(F.col("_n") > 1, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
-    checked = counts.filter(single).select(*[F.col(k).alias(f"_one_{k}") for k in keys])
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_one_{k}")) for k in keys])
-    return df.join(checked, same, "left_semi")
+    return grouped.filter(single).select(*keys, *[F.col(f"_row.{c}").alias(c) for c in payload])
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

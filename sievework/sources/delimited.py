@@ -74,23 +74,20 @@ def read_json_lines(spark: SparkSession, paths: str | Sequence[str], schema: str
 
 
 def with_arrival(df: DataFrame, name: str = "_arrival") -> DataFrame:
-    """Explicit arrival order for rows straight from a scan of Parquet files: by file, then by row of the file.
-
-    Rows of a file are numbered in the file, so neither splits nor retried tasks change the order.  Apply it
-    directly to the reader's output, before any shuffle.  For delimited text, which has no row numbers, use ``with_text_arrival``.
-    """
-    return df.withColumn(name, F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")))
-
-
-def with_text_arrival(df: DataFrame, name: str = "_arrival") -> DataFrame:
-    """The same for delimited text: by file, by where the split begins in it, then by row of the split.
+    """Explicit arrival order for rows straight from a file scan: by file, by where the split begins in it, by row of the split.
 
     Splits are cut at the same bytes every time for the same settings of the reader, and rows of a split are read in order.
+    Apply it directly to the reader's output, before any shuffle.  For Parquet, ``with_row_arrival`` depends on no splits.
     """
     return df.withColumn(name, F.struct(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("row")))
+        F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("position")))
+
+
+def with_row_arrival(df: DataFrame, name: str = "_arrival") -> DataFrame:
+    """The same for Parquet files, whose rows are numbered in the file: neither splits nor retried tasks change the order."""
+    return df.withColumn(name, F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")))
 
 
 def rows_per_file(df: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from sievework.operators.frames import as_of_join, with_range_frame, with_row_fr
 from sievework.operators.order import asc, desc
 from sievework.operators.sliced import exact_quantiles, with_neighbour, with_ranks, with_rolling_sum, with_running_total
 from sievework.session import through_storage
-from sievework.sources.delimited import with_arrival
+from sievework.sources.delimited import with_row_arrival
 from sievework.workload import feeds
 from sievework.workload.catalog import cents, iso, n_rows, query
 
@@ -337,7 +337,7 @@ def _last_arrival(t):
     log = feeds.resent_log(t).select("ts", "path", "dur", "line")
     for k, part in enumerate((log.where("line < (1L << 40)"), log.where("line >= (1L << 40)"))):
         part.repartitionByRange(4, "line").sortWithinPartitions("line").write.parquet(f"{path}/delivery={k}")
-    arrived = with_arrival(t.spark.read.parquet(path))
+    arrived = with_row_arrival(t.spark.read.parquet(path))
     return dedup.nth_rows(arrived, ["ts", "path"], [desc("delivery"), desc("_arrival")], 1, 1).select("path", "line", "dur")
 
 

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sievework.sinks import findings
-from sievework.sources.delimited import rows_per_file, with_arrival, with_text_arrival
+from sievework.sources.delimited import rows_per_file, with_arrival, with_row_arrival
 
 AGREED = T.StructType([T.StructField("id", T.LongType(), False), T.StructField("v", T.LongType(), False), T.StructField("s", T.StringType())])
 
@@ -64,9 +64,9 @@ def test_arrival_order_survives_splits(spark, tmp_path):
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
     try:
-        assert [r.v for r in with_arrival(spark.read.parquet(path)).repartition(7).orderBy("_arrival").collect()] == list(range(1000))
+        assert [r.v for r in with_row_arrival(spark.read.parquet(path)).repartition(7).orderBy("_arrival").collect()] == list(range(1000))
         (tmp_path / "b.csv").write_text("".join(f"{i}\n" for i in range(2000)))
-        text = with_text_arrival(spark.read.schema("v long").csv(str(tmp_path / "b.csv")))
+        text = with_arrival(spark.read.schema("v long").csv(str(tmp_path / "b.csv")))
         assert text.select("_arrival.block").distinct().count() > 1
         assert [r.v for r in text.repartition(7).orderBy("_arrival").collect()] == list(range(2000))
     finally:
