@@ -32,6 +32,8 @@ LENGTH = 400
 CODE = 8
 #: Most segments of one suffix array (about 1 MB); cores with more are counted string by string.
 SEGMENTS = 2000
+#: Different segments that one task compares, about.
+PARTS_A_TASK = 10_000
 #: Bytes of text worked on at a time.
 CHUNK = 1 << 21
 _POSITION = np.uint64(CHUNK * 4 - 1)
@@ -132,7 +134,7 @@ def _segments(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
 
 _PARTS = pa.schema([("core", pa.int64()), ("part", pa.int64()), ("gram", pa.int64()), ("content", pa.int64()), ("offset", pa.int32()),
-                    ("starts", pa.int32()), ("data", pa.binary())])
+                    ("starts", pa.int32()), ("core_at", pa.int32()), ("data", pa.binary())])
 
 
 def _parts(wanted: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -152,11 +154,11 @@ def _parts(wanted: DataFrame, length: int = LENGTH) -> DataFrame:
                         # Bytes that every start of this class has: from its last start to the end of its first.
                         core = text[anchor - c * cut:anchor - c * cut - cut + 1 + length]
                         out.append({"core": _hash(core, c), "part": _hash(text[a:b + length], anchor - a), "gram": s["gram"],
-                                    "content": s["content"], "offset": a - lo, "starts": b - a + 1, "data": text[a:b + length]})
+                                    "content": s["content"], "offset": a - lo, "starts": b - a + 1, "core_at": anchor - c * cut - a, "data": text[a:b + length]})
                 yield pa.RecordBatch.from_pylist(out, schema=_PARTS)
 
     return wanted.select("text", "segs").mapInArrow(
-        work, "core long, part long, gram long, content long, offset int, starts int, data binary")
+        work, "core long, part long, gram long, content long, offset int, starts int, core_at int, data binary")
 
 
 def _hash(data: bytes, seed: int) -> int:
@@ -165,14 +167,20 @@ def _hash(data: bytes, seed: int) -> int:
 
 
 def _by_suffix_array(parts: DataFrame, length: int = LENGTH) -> DataFrame:
-    """(core, part, a, b): starts [a, b) of a part that begin a repeated string; whole cores in one partition, sorted."""
+    """(core, part, a, b): starts [a, b) of a part that begin a repeated string; whole cores in one partition, sorted.
+
+    The parts of a core share its bytes at one place of their strings, so the core is one letter of the array's text: what
+    is left of a string of ``length`` bytes are ``cut`` letters.
+    """
+    cut = cut_of(length)
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
             for batch in batches:
                 yield from zip(*[c.to_pylist() for c in batch.columns])
 
         def solved(core: int, held: list[tuple]) -> list[dict]:
-            found = repeated_starts([x[3] for x in held], [x[2] for x in held], length)
+            found = repeated_starts([x[4] for x in held], [x[2] for x in held], cut, [(x[3], x[3] + length - cut + 1) for x in held])
             out = []
             for x, marks in zip(held, found):
                 edge = np.flatnonzero(np.diff(np.array([False, *marks, False]).astype(np.int8)))
@@ -194,7 +202,9 @@ def _by_suffix_array(parts: DataFrame, length: int = LENGTH) -> DataFrame:
             out += solved(now, held)
         yield pa.RecordBatch.from_pylist(out, schema=schema)
 
-    return (parts.select("core", "part", "starts", "data").repartition("core").sortWithinPartitions("core", "part")
+    # Little data, but much work for each row: with a number given, Spark does not put partitions together.
+    tasks = max(parts.sparkSession.sparkContext.defaultParallelism, -(-parts.count() // PARTS_A_TASK))
+    return (parts.select("core", "part", "starts", "core_at", "data").repartition(tasks, "core").sortWithinPartitions("core", "part")
             .mapInArrow(work, "core long, part long, a int, b int"))
 
 
@@ -235,7 +245,7 @@ def repeat_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     chosen = (counted.join(crowd, "core").select("core", "part", F.col("one.gram").alias("gram"), F.col("one.content").alias("content"),
                                                  F.col("one.offset").alias("offset"), "k"))
     compared = through_storage(parts.join(chosen, ["core", "part", "gram", "content", "offset"])
-                               .dropDuplicates(["core", "part"]).select("core", "part", "starts", "data", "k"), "compared-parts")
+                               .dropDuplicates(["core", "part"]).select("core", "part", "starts", "core_at", "data", "k"), "compared-parts")
     marks = (_by_suffix_array(compared.where(F.col("k") <= SEGMENTS), length).unionByName(twice)
              .unionByName(_by_counting(compared.where(F.col("k") > SEGMENTS), length)))
     placed = (parts.select("core", "part", "gram", "content", "offset").join(marks, ["core", "part"])

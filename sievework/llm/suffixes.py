@@ -90,18 +90,22 @@ def common_prefixes(s: list[int], order: list[int]) -> list[int]:
     return lcp
 
 
-def repeated_starts(strings: list[bytes], starts: list[int], length: int) -> list[list[bool]]:
-    """For each string which of its first ``starts[k]`` positions begin ``length`` bytes that another of these positions also begins.
+def repeated_starts(strings: list[bytes], starts: list[int], length: int, cores: list[tuple[int, int]] | None = None) -> list[list[bool]]:
+    """For each string which of its first ``starts[k]`` positions begin ``length`` letters that another of these positions also begins.
 
-    The strings are one text with a separator of its own after each, so no match crosses two of them.
+    The strings are one text with a separator of its own after each, so no match crosses two of them.  With ``cores``, the bytes
+    [start, end) of each string are the same in all of them and count as one letter; positions lie before them or at their start.
     """
     m = len(strings)
     text: list[int] = []
     owner: list[tuple[int, int]] = []
     for k, b in enumerate(strings):
-        text += [x + m for x in b]
+        letters = [x + m for x in b]
+        if cores is not None:
+            letters[cores[k][0]:cores[k][1]] = [m + 256]
+        text += letters
         text.append(k)
-        owner += [(k, x) for x in range(len(b) + 1)]
+        owner += [(k, x) for x in range(len(letters) + 1)]
     order = suffix_array(text)
     lcp = common_prefixes(text, order)
     out = [[False] * n for n in starts]
