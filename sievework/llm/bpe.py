@@ -16,6 +16,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,6 +60,9 @@ class ByteBpe:
         for rank, pair in enumerate(spec["model"]["merges"]):
             a, b = pair.split(" ") if isinstance(pair, str) else pair
             self.merge.setdefault((vocab[a], vocab[b]), (rank, vocab[a + b]))
+        self.rank = {pair: r for pair, (r, _) in self.merge.items()}
+        self.made = {r: new for r, new in self.merge.values()}
+        self.no_rank = len(spec["model"]["merges"])
         added = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         self.special = added
         self.token_bytes |= {i: t.encode() for t, i in added.items()}
@@ -71,16 +75,20 @@ class ByteBpe:
         ids = [self.first[b] for b in word]
         if len(ids) > HEAP_FROM:
             return self._merged_by_heap(ids)
-        merge = self.merge
-        while len(ids) > 1:
-            best = None
-            for k in range(len(ids) - 1):
-                m = merge.get((ids[k], ids[k + 1]))
-                if m is not None and (best is None or m[0] < best[0]):
-                    best, at = m, k
-            if best is None:
+        # Only the two pairs beside a merge change, so ranks are looked up once and kept.
+        rank, none = self.rank.get, self.no_rank
+        ranks = [rank(pair, none) for pair in zip(ids, ids[1:])]
+        while ranks:
+            least = min(ranks)
+            if least == none:
                 break
-            ids[at:at + 2] = [best[1]]
+            k = ranks.index(least)
+            ids[k:k + 2] = [self.made[least]]
+            del ranks[k]
+            if k:
+                ranks[k - 1] = rank((ids[k - 1], ids[k]), none)
+            if k < len(ranks):
+                ranks[k] = rank((ids[k], ids[k + 1]), none)
         return ids
 
     def _merged_by_heap(self, ids: list[int]) -> list[int]:
@@ -267,8 +275,15 @@ def frequent_words(docs: DataFrame, text: str = "text", limit: int = LEXICON_WOR
     Counts are compared by their logarithm in steps of a sixteenth, so that at most a thousand
     numbers and then the words themselves come to the driver.
     """
-    word = F.explode(F.split(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")), " ")).alias("word")
-    counts = docs.select(word).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 1000):
+                words = pc.list_flatten(pc.split_pattern(batch.column(0).slice(start, 1000), " "))
+                yield pa.RecordBatch.from_arrays(pc.value_counts(words).flatten(), names=["word", "n"])
+
+    # Texts are counted where they are read; what is shuffled are different words of some texts.
+    counted = docs.select(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))).mapInArrow(count, "word string, n long")
+    counts = counted.groupBy("word").agg(F.sum("n").alias("n"))
     usable = counts.where(r"n > 1 and word <> '' and octet_length(word) <= 64 and not word rlike '[\\x00-\\x20]'")
     stored = through_storage(usable.select("word", F.floor(F.log2("n") * 16).cast("int").alias("step")), "word-counts")
     room, least = limit, None
