@@ -92,8 +92,11 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     pairs = F.array(*[F.struct(F.lit(i).alias("_c"), F.col(c).cast("double").alias("_v")) for i, c in enumerate(columns)])
     counts = watched.select(F.inline(pairs)).where("_v is not null").groupBy("_c", "_v").agg(F.count(F.lit(1)).alias("_n"))
     placed = through_storage(counts.repartitionByRange("_c", "_v").withColumn("_slice", F.spark_partition_id()), "described")
-    numbers, before, wanted, bases = seen.get, {}, {}, []
-    for c, part, n in sorted(map(tuple, placed.groupBy("_c", "_slice").agg(F.sum("_n")).collect())):
+    totals = sorted(map(tuple, placed.groupBy("_c", "_slice").agg(F.sum("_n")).collect()))
+    # Of a table without any value nothing may have been observed.
+    numbers = seen.get if totals else {f"{name}_{i}": 0 if name == "count" else None for i in range(len(columns)) for name in basic}
+    before, wanted, bases = {}, {}, []
+    for c, part, n in totals:
         if c not in wanted:
             at = {q: (numbers[f"count_{c}"] - 1) * q for q in _QUARTILES}
             wanted[c] = {q: (int(p), min(int(p) + 1, numbers[f"count_{c}"] - 1), p - int(p)) for q, p in at.items()}
