@@ -38,6 +38,8 @@ FREQUENT = 16
 #: Most rounds of comparisons with one centre per group.
 STAR_ROUNDS = 6
 BINS = 64
+#: Pairs are compared in so many slices, one after the other, which bounds the disk that shuffled sets take.
+SLICES = 4
 
 _RNG = np.random.default_rng(20240229)
 _BYTE = _RNG.integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -156,11 +158,11 @@ def _facts(docs: DataFrame, fill: float, kind: str) -> DataFrame:
     """Measures of every row of (node, doc_id, text).
 
     kind ``prefix``: size, fingerprint, histogram and the k + 1 smallest signatures of each band;
-    ``all``: every signature with its band's number and k; ``set``: the shingle hashes.
+    ``all``: every signature with its band's number and k; ``set``: the shingle hashes.  th and th2, hashes of the text, pass through.
     """
-    schema = {"prefix": "node long, doc_id long, n long, fp1 long, fp2 long, bins binary, sigs array<long>, short boolean",
-              "all": "node long, doc_id long, fp1 long, fp2 long, inst int, k int, sigs array<long>",
-              "set": "doc_id long, fp1 long, fp2 long, items binary"}[kind]
+    schema = {"prefix": "node long, doc_id long, n long, fp1 long, fp2 long, bins binary, sigs array<long>, short boolean, th long, th2 int",
+              "all": "node long, inst int, k int, sigs array<long>",
+              "set": "node long, items binary"}[kind]
 
     def lists(arrays: list[np.ndarray]) -> pa.Array:
         ends = np.concatenate([[0], np.cumsum([len(x) for x in arrays], dtype=np.int64)])
@@ -175,15 +177,14 @@ def _facts(docs: DataFrame, fill: float, kind: str) -> DataFrame:
                 texts = [x or b"" for x in batch.column(2).cast(pa.large_binary()).to_pylist()]
                 rows, sigs = [], []
                 for node, doc_id, s in zip(nodes, ids, shingle_sets(texts)):
-                    fp = fingerprint(s)
                     if kind == "set":
-                        rows.append((doc_id, *fp, s.astype("<u8").tobytes()))
+                        rows.append((node, s.astype("<u8").tobytes()))
                     elif kind == "all":
                         for inst, (x, k) in enumerate(signatures(s, fill)):
-                            rows.append((node, doc_id, *fp, inst, k))
+                            rows.append((node, inst, k))
                             sigs.append(x)
                     else:
-                        found = signatures(s, fill)
+                        found, fp = signatures(s, fill), fingerprint(s)
                         bins = np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=BINS).clip(max=65535)
                         rows.append((node, doc_id, len(s), *fp, bins.astype("<u2").tobytes(), any(len(x) <= k for x, k in found)))
                         sigs.append(np.concatenate([x[:k + 1] for x, k in found]) if found else np.empty(0, np.uint64))
@@ -192,14 +193,14 @@ def _facts(docs: DataFrame, fill: float, kind: str) -> DataFrame:
                 c = list(zip(*rows))
                 longs = lambda i: pa.array(c[i], pa.int64())
                 if kind == "set":
-                    arrays = [longs(0), longs(1), longs(2), pa.array(c[3], pa.binary())]
+                    arrays = [longs(0), pa.array(c[1], pa.binary())]
                 elif kind == "all":
-                    arrays = [longs(0), longs(1), longs(2), longs(3), pa.array(c[4], pa.int32()), pa.array(c[5], pa.int32()), lists(sigs)]
+                    arrays = [longs(0), pa.array(c[1], pa.int32()), pa.array(c[2], pa.int32()), lists(sigs)]
                 else:
-                    arrays = [longs(0), longs(1), longs(2), longs(3), longs(4), pa.array(c[5], pa.binary()), lists(sigs), pa.array(c[6])]
+                    arrays = [longs(0), longs(1), longs(2), longs(3), longs(4), pa.array(c[5], pa.binary()), lists(sigs), pa.array(c[6]), *batch.columns[3:]]
                 yield pa.RecordBatch.from_arrays(arrays, names=[x.split()[0] for x in schema.split(", ")])
 
-    return docs.select("node", "doc_id", "text").mapInArrow(work, schema)
+    return docs.select("node", "doc_id", "text", "th", "th2").mapInArrow(work, schema)
 
 
 def _near_sizes(pairs: DataFrame) -> DataFrame:
@@ -234,6 +235,7 @@ class _Join:
     """The state of one self-join: facts of all rows, links found, pairs already compared."""
 
     def __init__(self, docs: DataFrame):
+        docs = docs.withColumns({"th": F.xxhash64("text"), "th2": F.hash("text")})
         self.docs, self.fill, self.scratch = docs, FILL, Scratch(docs.sparkSession)
         self.facts = self.scratch.store(_facts(docs, self.fill, "prefix"), "set-facts")
         while not self.facts.where("short").isEmpty():  # a set fills too few partitions: halve the partitions' size
@@ -266,14 +268,15 @@ class _Join:
         return self.scratch.store(known.join(several, "sig", "left_semi").select("node", "sig", "comp"), "unresolved", replace=True)
 
     def sets_of(self, nodes: DataFrame, kind: str) -> DataFrame:
-        """``_facts`` of this kind for the given nodes, computed anew from their texts."""
+        """``_facts`` of this kind for the given nodes, computed anew from their texts.
+
+        Texts are found by id and hashes and meet the nodes before they become sets, so sets are shuffled by the joins that
+        compare them only.  Of repeated rows one is enough.
+        """
         key = F.coalesce(F.col("doc_id"), F.lit(-1)).alias("key")
-        wanted = self.scratch.store(nodes.join(self.facts, "node").select("node", key, "fp1", "fp2"), "wanted")
-        texts = self.docs.withColumn("key", key).join(wanted.select("key").distinct(), "key", "left_semi").drop("key")
-        found = _facts(texts, self.fill, kind).withColumn("key", key).drop("node", "doc_id")
-        unique = ["key", "fp1", "fp2", *(["inst"] if kind == "all" else [])]
-        loaded = wanted.join(found.dropDuplicates(unique), ["key", "fp1", "fp2"]).drop("key", "fp1", "fp2")
-        loaded = self.scratch.store(loaded, kind)
+        wanted = self.scratch.store(nodes.join(self.facts, "node").select("node", key, "th", "th2"), "wanted")
+        texts = self.docs.select(key, "th", "th2", "doc_id", "text").dropDuplicates(["key", "th", "th2"])
+        loaded = self.scratch.store(_facts(texts.join(wanted, ["key", "th", "th2"]), self.fill, kind), kind)
         self.scratch.drop("wanted")
         return loaded
 
@@ -293,9 +296,13 @@ class _Join:
         if near.isEmpty():
             return True
         sets = self.sets_of(near.select(F.col("a").alias("node")).unionByName(near.select(F.col("b").alias("node"))).distinct(), "set")
-        loaded = (near.join(sets.select(F.col("node").alias("a"), F.col("items").alias("set_a")), "a")
-                  .join(sets.select(F.col("node").alias("b"), F.col("items").alias("set_b")), "b"))
-        found = self.scratch.store(_similar(loaded), "links")
+        found = None
+        for k in range(SLICES):  # sets are shuffled twice for their pairs, so a slice of the pairs at a time
+            of = lambda x: F.pmod(F.xxhash64(x), F.lit(SLICES)) == k
+            loaded = (near.where(of("b")).join(sets.select(F.col("node").alias("a"), F.col("items").alias("set_a")), "a")
+                      .join(sets.where(of("node")).select(F.col("node").alias("b"), F.col("items").alias("set_b")), "b"))
+            part = self.scratch.store(_similar(loaded), "links")
+            found = part if found is None else found.unionByName(part)
         self.scratch.drop("set", "near-pairs")
         if not found.isEmpty():
             self.links = self.links.unionByName(found)
