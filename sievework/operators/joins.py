@@ -108,7 +108,10 @@ def interval_lookup(df: DataFrame, day: str, rates: DataFrame, start: str, end:
     A NULL end is open.  A period that ends before it starts stops the job, and so does a day that lies in
     two periods of a key.  A period is entered under the blocks of 2^k days it touches, where
     2^k is just below its length: three at most, however long it is.  Every
-    different (key, day) of ``df`` is looked up once per k in use, of which there are 22 at most.
+    different (key, day) of ``df`` is looked up once per k that its key uses, of which there are 22 at most.
+
+    Both sides of the lookup have many more rows than the files they come from suggest, and Spark plans broadcasts by the size
+    of files, so this one join is told to merge.
     """
     payload = [c for c in rates.columns if c not in (start, end, *keys)]
     forever = F.lit("9999-12-31").cast("date")
@@ -116,12 +119,17 @@ def interval_lookup(df: DataFrame, day: str, rates: DataFrame, start: str, end:
     message = F.concat(F.lit("a period ends before it starts: "), F.col(start).cast("string"))
     bounds = rates.select(*keys, *payload, first.alias("_first"), F.when(first > last, F.raise_error(message)).otherwise(last).alias("_last"))
     sized = bounds.withColumn("_level", F.floor(F.log2(F.col("_last") - F.col("_first") + 1)).cast("int"))
-    levels = [r[0] for r in sized.select("_level").distinct().where("_level is not null").collect()]
     periods = sized.withColumn("_block", F.explode(F.expr("sequence(shiftright(_first, _level), shiftright(_last, _level))")))
     days = df.select(*keys, F.col(day).alias("_day")).where(F.col("_day").isNotNull()).distinct()
-    probes = (days.withColumn("_level", F.explode(F.array(*[F.lit(k) for k in levels]).cast("array<int>")))
+    if keys:
+        levels = sized.groupBy(*keys).agg(F.collect_set("_level").alias("_levels"))
+        levelled = days.join(levels.hint("merge"), list(keys))
+    else:
+        used = [r[0] for r in sized.select("_level").distinct().where("_level is not null").collect()]
+        levelled = days.withColumn("_levels", F.array(*[F.lit(k) for k in used]).cast("array<int>"))
+    probes = (levelled.withColumn("_level", F.explode("_levels")).drop("_levels")
               .withColumn("_at", F.unix_date(F.col("_day").cast("date"))).withColumn("_block", F.expr("shiftright(_at, _level)")))
-    hits = (probes.join(periods, [*keys, "_level", "_block"]).where("_first <= _at and _at <= _last")
+    hits = (probes.join(periods.hint("merge"), [*keys, "_level", "_block"]).where("_first <= _at and _at <= _last")
             .select(*keys, "_day", *payload))
     return checked_join(df, hits, [*keys, (day, "_day")], "left", validate="m:1")
 

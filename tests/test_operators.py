@@ -178,6 +178,20 @@ def test_validity_periods(spark, rows):
         joins.interval_lookup(sales, "day", overlapping, "a", "b").collect()
 
 
+def test_periods_of_keys_are_looked_up_without_a_broadcast(spark, rows):
+    """Both sides of the lookup are exploded, so the size of the files says nothing about what a broadcast would hold."""
+    sales = spark.createDataFrame([(i, k, i) for i, k in enumerate("aabbc" * 20)] + [(100, None, 3)], "id long, k string, n int").selectExpr(
+        "id", "k", "date_add(date'2020-01-01', n) AS day")
+    rates = spark.sql("""SELECT * FROM VALUES ('a', date'2020-01-01', date'2020-01-31', 1), ('a', date'2020-02-01', null, 2), ('b', date'2019-01-01', date'2020-01-05', 3),
+        ('b', date'2020-01-08', date'2020-01-08', 4), ('d', date'2020-01-01', null, 5) AS t(k, f, l, rate)""")
+    got = joins.interval_lookup(sales, "day", rates, "f", "l", ["k"])
+    assert not [line for line in got._jdf.queryExecution().executedPlan().toString().splitlines() if "BroadcastHashJoin" in line and "_block" in line]
+
+    def rate(i, k):
+        return {"a": 1 if i < 31 else 2, "b": 3 if i < 5 else 4 if i == 7 else None}.get(k)
+    assert dict(rows(got, "id", "rate")) == {**{i: rate(i, k) for i, k in enumerate("aabbc" * 20)}, 100: None}
+
+
 def test_salted_join_equals_plain_join(skewed):
     master = skewed.select("k").distinct().na.drop().withColumn("name", F.upper("k"))
     for how in ("left", "inner", "left_anti", "left_semi"):
