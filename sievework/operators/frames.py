@@ -145,13 +145,13 @@ def as_of_join(left: DataFrame, right: DataFrame, keys: Sequence[str], at: str,
     right_first = back != strict
     side = F.when(F.col("_row").isNull(), 0 if right_first else 1).otherwise(1 if right_first else 0)
     placed = _placed(theirs.unionByName(mine), keys, [F.col("_time"), side], slices)
-    pick, span, local, take = ((F.max_by, (Window.unboundedPreceding, -1), (Window.unboundedPreceding, 0), F.last) if back
-                               else (F.min_by, (1, Window.unboundedFollowing), (0, Window.unboundedFollowing), F.first))
+    # Forward is backward in the opposite order: Spark computes a frame up to the last row anew for every row.
+    pick, towards = (F.max_by, F.asc) if back else (F.min_by, F.desc)
     summary = placed.groupBy(_GROUP, _SLICE).agg(pick("_right", F.when(F.col("_right").isNotNull(), F.col(_ID))).alias("_edge"))
-    along = Window.partitionBy(_GROUP).orderBy(_SLICE).rowsBetween(*span)
-    summary = summary.select(_GROUP, _SLICE, take("_edge", True).over(along).alias("_from"))
-    here = Window.partitionBy(_GROUP, _SLICE).orderBy(_ID).rowsBetween(*local)
-    found = placed.join(summary, [_GROUP, _SLICE]).withColumn("_right", F.coalesce(take("_right", True).over(here), F.col("_from"))).where("_row is not null")
+    along = Window.partitionBy(_GROUP).orderBy(towards(_SLICE)).rowsBetween(Window.unboundedPreceding, -1)
+    summary = summary.select(_GROUP, _SLICE, F.last("_edge", True).over(along).alias("_from"))
+    here = Window.partitionBy(_GROUP, _SLICE).orderBy(towards(_ID)).rowsBetween(Window.unboundedPreceding, 0)
+    found = placed.join(summary, [_GROUP, _SLICE]).withColumn("_right", F.coalesce(F.last("_right", True).over(here), F.col("_from"))).where("_row is not null")
     near = F.col("_time").isNotNull()
     if tolerance is not None:
         limit = F.expr(f"interval {tolerance}")

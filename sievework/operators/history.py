@@ -57,10 +57,13 @@ def version_history(log: DataFrame, keys: Sequence[str], stamp: str, attributes:
     # Does the first row of the slice change something?  If so it is the slice's first change.
     opens = F.coalesce(~F.col("_before").eqNullSafe(F.col("_first._state")), F.lit(True))
     summary = summary.withColumn("_change", F.when(opens, F.col("_first.at")).otherwise(F.col("_change")))
-    summary = summary.select("_group", "_slice", "_before", F.first("_change", True).over(along.rowsBetween(1, Window.unboundedFollowing)).alias("_after"))
+    # What follows is looked for in the opposite order: Spark computes a frame up to the last row anew for every row.
+    back = Window.partitionBy("_group").orderBy(F.desc("_slice")).rowsBetween(Window.unboundedPreceding, -1)
+    summary = summary.select("_group", "_slice", "_before", F.last("_change", True).over(back).alias("_after"))
     known = placed.join(summary, ["_group", "_slice"]).withColumn("_lag", F.coalesce(F.lag("_state").over(here), F.col("_before")))
     known = known.withColumn("_new", F.col("_lag").isNull() | ~F.col("_lag").eqNullSafe(F.col("_state")))
-    following = F.min(F.when(F.col("_new"), F.col(stamp))).over(here.rowsBetween(1, Window.unboundedFollowing))
+    upwards = Window.partitionBy("_group", "_slice").orderBy(F.desc("_id")).rowsBetween(Window.unboundedPreceding, -1)
+    following = F.min(F.when(F.col("_new"), F.col(stamp))).over(upwards)
     dated = known.withColumn("valid_to", F.coalesce(following, F.col("_after"))).where(F.col("_new") & F.col("_state.v").isNotNull())
     return dated.select(
         *keys, *[F.col(f"_state.v.{a}").alias(a) for a in attributes], F.col(stamp).alias("valid_from"), "valid_to",

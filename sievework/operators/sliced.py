@@ -106,14 +106,13 @@ def _fill(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Seq
     pick = F.max_by if forward else F.min_by
     summary = sliced.groupBy(*_HELPERS).agg(
         *[pick(F.col(c), F.when(F.col(c).isNotNull(), position)).alias(f"_edge_{c}") for c in columns])
-    span = (Window.unboundedPreceding, -1) if forward else (1, Window.unboundedFollowing)
-    along = Window.partitionBy("_group").orderBy("_slice").rowsBetween(*span)
-    take = F.last if forward else F.first
-    summary = summary.select(*_HELPERS, *[take(f"_edge_{c}", True).over(along).alias(f"_from_{c}") for c in columns])
-    local_span = (Window.unboundedPreceding, 0) if forward else (0, Window.unboundedFollowing)
-    here = Window.partitionBy(*_HELPERS).orderBy(*columns_of(sort)).rowsBetween(*local_span)
+    # Backward is forward in the opposite order: Spark computes a frame up to the last row anew for every row.
+    along = Window.partitionBy("_group").orderBy("_slice" if forward else F.desc("_slice")).rowsBetween(*_BEFORE)
+    summary = summary.select(*_HELPERS, *[F.last(f"_edge_{c}", True).over(along).alias(f"_from_{c}") for c in columns])
+    towards = columns_of(sort if forward else [k.reversed() for k in sort])
+    here = Window.partitionBy(*_HELPERS).orderBy(*towards).rowsBetween(Window.unboundedPreceding, 0)
     joined = sliced.join(summary, list(_HELPERS))
-    filled = {c: F.coalesce(take(c, True).over(here), F.col(f"_from_{c}")) for c in columns}
+    filled = {c: F.coalesce(F.last(c, True).over(here), F.col(f"_from_{c}")) for c in columns}
     return joined.withColumns(filled).select(*df.columns)
 
 

@@ -4,6 +4,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sievework.operators import aggregate, compare, dedup, history, joins, profile, sliced
+from sievework.operators.frames import as_of_join
 from sievework.operators.order import asc, desc
 
 C = F.col
@@ -55,6 +56,15 @@ def test_carried_values_equal_plain_windows(skewed):
         assert compare.same_rows(got, want)
 
 
+def test_no_window_looks_at_the_rest_of_its_group_for_every_row(skewed):
+    """A frame that ends with the last row is computed anew for every row, so a slice would cost the square of its rows."""
+    log = skewed.select("k", "id", "v")
+    right = skewed.select("k", C("t").alias("rt"), C("id").alias("rid"))
+    for df in (sliced.fill_backward(skewed, ["k"], ["t", "id"], ["v"], 16), history.version_history(log, ["k"], "id", ["v"], slices=16),
+               as_of_join(skewed, right, ["k"], "t", "rt", direction="forward", tie_break=[asc("rid")], slices=16)):
+        assert "unboundedfollowing" not in df._jdf.queryExecution().optimizedPlan().toString().lower()
+
+
 def test_no_slice_holds_the_hot_group(skewed):
     """The point of slicing: the largest unit of window work is far below the hot key's 4,800 rows."""
     crowded = skewed.withColumns({"a": C("id") % 3, "b": C("id") % 2, "c": F.lit(1), "name": F.concat(F.lit("Customer#0000"), C("id").cast("string"))})
