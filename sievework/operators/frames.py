@@ -1,8 +1,8 @@
 """Sliding frames and as-of lookups over groups of any size.
 
 Rows are range-partitioned once by key and sort order, sorted, numbered and stored, as in ``sliced``.  What a slice needs from
-the slices around it comes as rows (the halo of a frame) or as one row (the last match of an as-of lookup), so minima, maxima and
-frames in time work as well as sums, and no group has to fit a task.
+the slices around it comes as rows (the halo of a frame of rows) or as one row (the last match of an as-of lookup, what a frame in time has
+before and behind the slice), so minima, maxima and frames in time work as well as sums, and no group has to fit a task.
 """
 
 from __future__ import annotations
@@ -83,6 +83,10 @@ def with_range_frame(df: DataFrame, keys: Sequence[str], at: Column, measures: M
 
     Rows of one position are combined first, before the shuffle, so frames run over positions and a crowded position costs
     nothing; results come back in a join that Spark can split.
+
+    Positions are parted into stretches as long as a frame.  A frame is then the end of one stretch, from where the frame begins, and
+    the start of the next one, up to the row: two running aggregates, however many rows a frame has.  They
+    are combined, never subtracted, so sums of doubles stay what they are.
     """
     if reach < 0:
         raise ValueError("a frame reaches back, so its reach is not negative")
@@ -93,20 +97,34 @@ def with_range_frame(df: DataFrame, keys: Sequence[str], at: Column, measures: M
         parts |= {f"_{name}_sum": ("sum", column), f"_{name}_count": ("count", column)} if kind == "mean" else {f"_{name}": (kind, column)}
     named = df.withColumn("_at", at.cast("long"))
     by_position = named.where("_at is not null").groupBy(*keys, "_at").agg(*[_KINDS[kind][0](column).alias(part) for part, (kind, column) in parts.items()])
-    placed = _placed(by_position, keys, [F.col("_at")], slices)
-    summary = through_storage(placed.groupBy(_GROUP, _SLICE).agg(F.min("_at").alias("_first"), F.max("_at").alias("_last")), "frame-slices")
-    near = _following(summary, F.col("_first"), lambda far: far - F.lit(reach) <= F.col("_last"))
-    borrowed = placed.join(near.select(_GROUP, _SLICE, "_next"), [_GROUP, _SLICE])
-    wanted = F.filter("_next", lambda t: t["far"] - F.lit(reach) <= F.col("_at"))
-    borrowed = borrowed.withColumn(_SLICE, F.explode(F.transform(wanted, lambda t: t["slice"])))
-    frame = Window.partitionBy(_GROUP, _SLICE).orderBy("_at").rangeBetween(-reach, 0)
-    kept = [_GROUP, _SLICE, "_at", *parts]
-    both = placed.select(*kept, F.lit(True).alias("_own")).unionByName(borrowed.select(*kept, F.lit(False).alias("_own")))
-    framed = both.withColumns({part: _KINDS[kind][1](part).over(frame) for part, (kind, _) in parts.items()}).where("_own")
+    combine = {part: _KINDS[kind][1] for part, (kind, _) in parts.items()}
+    types = {f.name: f.dataType for f in by_position.agg(*[f(part).alias(part) for part, f in combine.items()]).schema}
+    width = reach + 1
+    own = F.struct(F.col("_at").alias("_t"), F.lit(True).alias("_own"))
+    begin = F.struct((F.col("_at") - F.lit(reach)).alias("_t"), F.lit(False).alias("_own"))
+    told = F.when(F.pmod(F.col("_at"), F.lit(width)) == reach, F.array(own)).otherwise(F.array(begin, own))
+    rows = by_position.select("*", F.inline(told)).withColumns({part: F.when(F.col("_own"), F.col(part)) for part in parts})
+    placed = _placed(rows, keys, [F.col("_t"), F.col("_own")], slices).withColumn("_stretch", F.col("_t") - F.pmod(F.col("_t"), F.lit(width)))
+
+    def both(kind: str, a: Column, b: Column) -> Column:
+        return {"min": F.least, "max": F.greatest}.get(kind, lambda a, b: F.coalesce(a + b, a, b))(a, b)
+
+    # Of the stretches of a slice only the first and the last lie in others as well.
+    here = Window.partitionBy(_GROUP, "_stretch")
+    summary = placed.groupBy(_GROUP, _SLICE, "_stretch").agg(*[f(part).alias(part) for part, f in combine.items()])
+    carried = summary.withColumn("_slices", F.count(F.lit(1)).over(here)).where("_slices > 1")
+    ways = {"up": F.asc, "down": F.desc}
+    carried = carried.select(_GROUP, _SLICE, "_stretch", *[f(part).over(here.orderBy(towards(_SLICE)).rowsBetween(Window.unboundedPreceding, -1)).alias(f"{part}_{way}")
+                                                           for part, f in combine.items() for way, towards in ways.items()])
+    known = placed.join(carried, [_GROUP, _SLICE, "_stretch"], "left")
+    along = {way: Window.partitionBy(_GROUP, _SLICE, "_stretch").orderBy(towards(_ID)).rowsBetween(Window.unboundedPreceding, 0) for way, towards in ways.items()}
+    told = {way: {part: both(kind, f(part).over(along[way]), F.col(f"{part}_{way}")) for (part, (kind, _)), f in zip(parts.items(), combine.values())} for way in ways}
+    halves = known.withColumns({f"_half{part}": F.when(F.col("_own"), told["up"][part]).otherwise(told["down"][part]).cast(types[part]) for part in parts})
+    key = F.struct(*[F.col(f"{_GROUP}.{k}").alias(k) for k in keys], F.col("_at").alias("_at"))
+    framed = halves.groupBy(key.alias("_key")).agg(*[f(f"_half{part}").cast(types[part]).alias(part) for part, f in combine.items()])
     out = {name: F.col(f"_{name}_sum") / F.when(F.col(f"_{name}_count") > 0, F.col(f"_{name}_count")) if kind == "mean" else F.col(f"_{name}")
            for name, (kind, _) in measures.items()}
-    key = F.struct(*[F.col(f"{_GROUP}.{k}").alias(k) for k in keys], F.col("_at").alias("_at"))
-    per_key = framed.select(key.alias("_key"), *[c.alias(f"_{name}_out") for name, c in out.items()])
+    per_key = framed.select("_key", *[c.alias(f"_{name}_out") for name, c in out.items()])
     joined = joined_on_key(named, [*keys, "_at"], per_key, "left")
     made = {name: F.coalesce(f"_{name}_out", F.lit(0)) if kind == "count" else F.col(f"_{name}_out") for name, (kind, _) in measures.items()}
     return joined.withColumns(made).select(*df.columns, *measures)
