@@ -8,7 +8,8 @@ through the shared scratch folder first only where they are needed twice.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,6 +58,22 @@ def latest_view(spark: SparkSession, path: str, keys: Sequence[str], stamp: str,
     return latest_by(spark.read.parquet(path), keys, stamp, tie_break)
 
 
+@contextmanager
+def unsorted_partitions(spark: SparkSession, writers: int) -> Iterator[None]:
+    """Writes started inside keep up to ``writers`` files per task open instead of sorting the task's rows by partition.
+
+    For few partitions of many rows: the sort would need memory for all rows of a task.  Every open file has a buffer of its own.
+    A task that meets more partitions sorts the rest of its rows.
+    """
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, str(writers))
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 # The characters that Spark writes as %XX in the folder of a partition, and its folder for NULL.
 _ESCAPED = frozenset([*map(chr, range(1, 32)), *'"#%\'*/:=?\\\x7f{[]^'])
 _NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"

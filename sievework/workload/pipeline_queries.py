@@ -109,8 +109,9 @@ query("read_mixed_delivery",
 def _status_files(t):
     """Line items in one folder per status, each written in one piece, read back with the files that rows come from."""
     path = f"{t.scratch}/lines"
-    (t.lineitem.select("l_orderkey", "l_linenumber", "l_linestatus", C("l_returnflag").alias("flag"))
-     .repartition("flag").write.partitionBy("flag").parquet(path))
+    with publish.unsorted_partitions(t.spark, 16):
+        (t.lineitem.select("l_orderkey", "l_linenumber", "l_linestatus", C("l_returnflag").alias("flag"))
+         .repartition("flag").write.partitionBy("flag").parquet(path))
     rows = t.spark.read.parquet(path)
     named = delimited.rows_per_file(rows).join(rows.select(C("_metadata.file_path").alias("file"), "flag").distinct(), "file")
     return named.groupBy("flag").agg(F.sum("rows").alias("rows"), F.count_if(C("file").rlike("/part-[0-9]+[^/]*[.]parquet$") & (C("bytes") > 0)).alias("files"))

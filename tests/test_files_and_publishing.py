@@ -216,3 +216,31 @@ def test_layers_and_months(spark):
 def test_shared_folder_comes_from_the_session(spark):
     assert session.shared_dir(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
     assert session.scratch_path(spark, "x") != session.scratch_path(spark, "x")
+
+
+def test_few_large_partitions_are_written_without_a_sort(spark, tmp_path):
+    rows = spark.range(1000).selectExpr("id", "id % 3 AS flag", "id % 40 AS many").repartition(1)
+    setting = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(setting)
+    with publish.unsorted_partitions(spark, 8):
+        assert spark.conf.get(setting) == "8"
+        for name in ("flag", "many"):
+            rows.write.partitionBy(name).parquet(str(tmp_path / name))
+    assert spark.conf.get(setting) == before
+    for name, n in (("flag", 3), ("many", 40)):
+        back = spark.read.parquet(str(tmp_path / name))
+        assert len(back.inputFiles()) == n and same_rows(back.select("id", C(name).cast("long")), rows.select("id", name))
+
+
+def test_line_items_are_written_per_flag_without_a_sort(spark, tmp_path, monkeypatch):
+    import __spark_entry__
+    writer, settings = type(spark.range(1).write), []
+    write = writer.parquet
+
+    def watched(self, path, *args, **kwargs):
+        settings.append((path.rsplit("/", 1)[1], int(spark.conf.get("spark.sql.maxConcurrentOutputFileWriters"))))
+        return write(self, path, *args, **kwargs)
+    monkeypatch.setattr(writer, "parquet", watched)
+    found = __spark_entry__.queries()["source_file_lineage"](spark, "/root/testdata/sf0.001").collect()
+    assert sorted((r.flag, r.files) for r in found) == [("A", 1), ("N", 1), ("R", 1)]
+    assert [n for name, n in settings if name == "lines"] > [3]
