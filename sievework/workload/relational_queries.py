@@ -336,7 +336,7 @@ def _last_arrival(t):
     path = f"{t.scratch}/log"
     log = feeds.resent_log(t).select("ts", "path", "dur", "line")
     for k, part in enumerate((log.where("line < (1L << 40)"), log.where("line >= (1L << 40)"))):
-        part.repartitionByRange(4, "line").sortWithinPartitions("line").write.parquet(f"{path}/delivery={k}")
+        part.repartitionByRange("line").sortWithinPartitions("line").write.parquet(f"{path}/delivery={k}")
     arrived = with_row_arrival(t.spark.read.parquet(path))
     return dedup.nth_rows(arrived, ["ts", "path"], [desc("delivery"), desc("_arrival")], 1, 1).select("path", "line", "dur")
 

@@ -244,3 +244,22 @@ def test_line_items_are_written_per_flag_without_a_sort(spark, tmp_path, monkeyp
     found = __spark_entry__.queries()["source_file_lineage"](spark, "/root/testdata/sf0.001").collect()
     assert sorted((r.flag, r.files) for r in found) == [("A", 1), ("N", 1), ("R", 1)]
     assert [n for name, n in settings if name == "lines"] > [3]
+
+
+def test_deliveries_take_as_many_files_as_their_rows_need(spark):
+    """A fixed number of files would make the sort of a task, and what a task reads back, grow with the table."""
+    import glob
+    import __spark_entry__
+    settings = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1b"}
+    before = {name: spark.conf.get(name, None) for name in settings}
+    logs = spark.conf.get("spark.checkpoint.dir") + "/sievework/query-*/log/delivery=0"
+    known = set(glob.glob(logs))
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        __spark_entry__.queries()["keep_last_arrival"](spark, "/root/testdata/sf0.001")
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+    made, = set(glob.glob(logs)) - known
+    assert len(glob.glob(f"{made}/*.parquet")) > 4
