@@ -28,14 +28,17 @@ def _micros(t: datetime) -> int:
 
 
 class _Gaps(StatefulProcessor):
-    """State: ``reach`` (last time behind the watermark, rows since the last gap), ``pending`` stretches by their start."""
+    """State: ``reach`` (last time behind the watermark, rows since the last gap, the timer set), ``pending`` stretches by their start.
+
+    Every question to the state is a message to the JVM, so a key asks once for each and writes only what changed.
+    """
 
     def __init__(self, key: str, gap: timedelta, expire: timedelta):
         self.key, self.gap, self.expire = key, gap // timedelta(microseconds=1), expire // timedelta(milliseconds=1)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.reach = handle.getValueState("reach", "at long, n long")
+        self.reach = handle.getValueState("reach", "at long, n long, timer long")
         self.pending = handle.getListState("pending", "lo long, hi long, n long")
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
@@ -47,10 +50,11 @@ class _Gaps(StatefulProcessor):
 
     def _settle(self, key, fresh: list[tuple], watermark: int) -> Iterator[Row]:
         """Take what the watermark has passed in order of time; set a timer for the rest, or for the end."""
-        waiting = sorted([*((r[0], r[1], r[2]) for r in (self.pending.get() if self.pending.exists() else ())), *fresh])
-        at, n = (self.reach.get() if self.reach.exists() else (None, 0))
+        pending = [(r[0], r[1], r[2]) for r in self.pending.get()]
+        known = self.reach.get() or (None, 0, None)
+        at, n, timer = known
         left = []
-        for lo, hi, rows in waiting:
+        for lo, hi, rows in sorted([*pending, *fresh]):
             if hi > watermark * 1000:
                 left.append((lo, hi, rows))
                 continue
@@ -58,21 +62,27 @@ class _Gaps(StatefulProcessor):
                 yield self._row(key, at, lo, n)
                 n = 0
             at, n = hi if at is None else max(at, hi), n + rows
-        for timer in self.handle.listTimers():
-            self.handle.deleteTimer(timer)
         if not left and at is not None and at // 1000 + self.expire <= watermark:
             yield self._row(key, at, None, n)
+            if timer is not None:
+                self.handle.deleteTimer(timer)
             self.reach.clear()
-            self.pending.clear()
+            if pending:
+                self.pending.clear()
+            return
+        if not left and at is None:
             return
-        if at is not None:
-            self.reach.update((at, n))
-        if left:
+        wanted = min(hi for _, hi, _ in left) // 1000 + 1 if left else at // 1000 + self.expire
+        if wanted != timer:
+            if timer is not None:
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer(wanted)
+        if (at, n, wanted) != tuple(known):
+            self.reach.update((at, n, wanted))
+        if left and left != pending:
             self.pending.put(left)
-            self.handle.registerTimer(min(hi for _, hi, _ in left) // 1000 + 1)
-        else:
+        elif pending and not left:
             self.pending.clear()
-            self.handle.registerTimer(at // 1000 + self.expire)
 
     def _row(self, key, at: int, again: int | None, n: int) -> Row:
         def told(t):

@@ -171,3 +171,56 @@ def test_gaps_with_out_of_order_rows_restarts_and_expiry(spark, tmp_path):
     assert again == got
     with pytest.raises(ValueError):
         gaps.gaps(spark.createDataFrame([], schema), "k", "ts", gap, lateness, timedelta(hours=1))
+
+
+class _Told:
+    """A state store of one key that counts the messages to it."""
+
+    def __init__(self):
+        self.values, self.timers, self.messages = {}, set(), 0
+
+    def state(self, name, empty):
+        class State:
+            def get(_):
+                self.messages += 1
+                return self.values.get(name, empty)
+
+            def update(_, value):
+                self.messages += 1
+                self.values[name] = value
+            put = update
+
+            def clear(_):
+                self.messages += 1
+                self.values.pop(name, None)
+        return State()
+
+    def getValueState(self, name, schema):
+        return self.state(name, None)
+
+    def getListState(self, name, schema):
+        return self.state(name, ())
+
+    def registerTimer(self, at):
+        self.messages += 1
+        self.timers.add(at)
+
+    def deleteTimer(self, at):
+        self.messages += 1
+        self.timers.discard(at)
+
+
+def test_a_key_asks_its_state_few_questions():
+    from datetime import timedelta
+    from sievework.streaming.gaps import _Gaps
+    told, hour = _Told(), 3600 * 10**6
+    gaps = _Gaps("k", timedelta(hours=1), timedelta(hours=10))
+    gaps.init(told)
+    settle = lambda fresh, hours: [(r.n, r.seen_again is None) for r in gaps._settle((1,), fresh, hours * hour // 1000)]
+    assert settle([(0, 0, 2), (5 * hour, 5 * hour, 3)], 2) == [] and told.messages <= 5
+    assert told.timers == {5 * hour // 1000 + 1} and told.values["pending"] == [(5 * hour, 5 * hour, 3)]
+    told.messages = 0
+    assert settle([], 3) == [] and told.messages == 2  # nothing has changed
+    assert settle([], 6) == [(2, False)] and told.timers == {15 * hour // 1000} and "pending" not in told.values
+    assert settle([], 15) == [(3, True)] and not told.timers and not told.values
+    assert settle([], 16) == [] and not told.timers
