@@ -75,10 +75,15 @@ def _decimal(bare: Column) -> Column:
     return F.when(bare.rlike(_NUMBER), bare.try_cast("decimal(38,12)"))
 
 
+def _whole(bare: Column, other: Column) -> Column:
+    """Up to 18 digits are a whole number as they are; ``other`` says what becomes of any other text."""
+    return F.when(bare.rlike(r"^[+-]?[0-9]{1,18}\z"), bare.try_cast("bigint")).otherwise(other)
+
+
 def parse_amount(c: Column, marks: str = AMOUNT_MARKS, on_error: str = "null") -> Column:
     """Whole currency units: marks dropped, decimals cut off ("1200.0" is 1200)."""
     bare = F.translate(c, marks, "") if marks else c
-    return guarded(c, _decimal(bare).try_cast("bigint"), "amount", on_error)
+    return guarded(c, _whole(bare, _decimal(bare).try_cast("bigint")), "amount", on_error)
 
 
 def parse_integer(c: Column, marks: str = "", on_error: str = "null") -> Column:
@@ -86,7 +91,7 @@ def parse_integer(c: Column, marks: str = "", on_error: str = "null") -> Column:
     bare = F.translate(c, marks, "") if marks else c
     number = _decimal(bare)
     whole = F.when(number == F.floor(number), number.try_cast("bigint"))
-    return guarded(c, whole, "number", on_error)
+    return guarded(c, _whole(bare, whole), "number", on_error)
 
 
 def parse_number(c: Column, marks: str = "", on_error: str = "null") -> Column:

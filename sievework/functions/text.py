@@ -21,11 +21,21 @@ _BLANKS = "".join(map(chr, (0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x1C, 0x1D, 0x1E, 0x1F
                             0x1680, 0x2028, 0x2029)))
 
 
+#: Of these, the ones in ASCII text.
+_ASCII_BLANKS = "".join(c for c in _BLANKS if c < "\x80")
+
+# Wide forms with one narrow character each, and text in which NFKC does nothing else: besides them ASCII, kana that no mark
+# follows, and ideographs of the main block.
+_WIDE = "".join(map(chr, (*range(0xFF01, 0xFF5F), 0x3000, 0xFFE5)))
+_NARROW = "".join(map(chr, (*range(0x21, 0x7F), 0x20, 0xA5)))
+_ONE_BY_ONE = r"^[\x00-\x7F\u00A5\u3000\u3041-\u3096\u30A1-\u30FA\u30FC\u4E00-\u9FFF\uFF01-\uFF5E\uFFE5]*\z"
+
+
 @F.arrow_udf(T.StringType())
 def _nfkc_values(values: pa.Array) -> pa.Array:
     # Each distinct value of a batch once.  Arrow's own kernel leaves letters and their marks apart.
     distinct = values.dictionary_encode()
-    normal = pa.array([unicodedata.normalize("NFKC", v) for v in distinct.dictionary.to_pylist()], pa.string())
+    normal = pa.array([unicodedata.normalize("NFKC", v).strip() for v in distinct.dictionary.to_pylist()], pa.string())
     return normal.take(distinct.indices)
 
 
@@ -43,11 +53,12 @@ def strip(c: Column) -> Column:
 def nfkc_strip(c: Column) -> Column:
     """Unicode NFKC, then strip.
 
-    ASCII text (as many bytes as characters) is in that form already and stays in
-    the JVM; the Arrow function sees NULL for it.
+    ASCII text (as many bytes as characters) is in that form already, and wide forms of it have one
+    narrow character each; both stay in the JVM, and the Arrow function sees NULL for them.
     """
     ascii_only = F.octet_length(c) == F.char_length(c)
-    return strip(F.coalesce(_nfkc(F.when(~ascii_only, c)), c))
+    other = _nfkc(F.when(~ascii_only & ~c.rlike(_ONE_BY_ONE), c))
+    return F.coalesce(other, F.btrim(F.when(ascii_only, c).otherwise(F.translate(c, _WIDE, _NARROW)), F.lit(_ASCII_BLANKS)))
 
 
 def missing_to_null(c: Column, tokens: Iterable[str]) -> Column:

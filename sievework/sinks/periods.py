@@ -18,9 +18,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sievework.sinks.publish import _partition_dir, layer_path, read_table
+from sievework.sinks.publish import _partition_dir, layer_path, read_table, unsorted_partitions
 
 PERIOD, RUN = "period", "run"
+#: Files a task keeps open; with more periods than that it sorts the rest of its rows.
+OPEN_FILES = 8
 PUBLISHED, REFUSED = "published", "refused"
 LEDGER = T.StructType([
     T.StructField("seq", T.LongType(), False),
@@ -50,8 +52,9 @@ class PeriodStore:
     def stage(self, df: DataFrame, layer: str, table: str, run: str) -> DataFrame:
         """Write ``df`` (with a period column) into the run's folder of the table, and read it back."""
         path = f"{layer_path(self.root, layer, table)}/{RUN}={run}"
-        # Rows of a period come together, in as many tasks as its size needs.
-        df.hint("rebalance", F.col(PERIOD)).write.mode("error").partitionBy(PERIOD).parquet(path)
+        # Rows of a period come together, in as many tasks as its size needs; few periods meet in a task, so it need not sort.
+        with unsorted_partitions(self.spark, OPEN_FILES):
+            df.hint("rebalance", F.col(PERIOD)).write.mode("error").partitionBy(PERIOD).parquet(path)
         return self.spark.read.schema(_ordered(df.schema)).parquet(path)
 
     def publish(self, run: str, tables: Sequence[tuple[str, str]], rows: dict[tuple[str, str], int], periods: Iterable[str],
