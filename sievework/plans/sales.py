@@ -16,7 +16,7 @@ from sievework.operators.aggregate import zero_fill
 from sievework.operators.joins import checked_join, resolve_alias
 from sievework.session import scratch_path, through_storage
 from sievework.sinks.contract import enforce_contract
-from sievework.sinks.publish import layer_path, replace_partition
+from sievework.sinks.publish import layer_path, replace_partition, unsorted_partitions
 from sievework.sources.registry import SourceSpec, load, sources_for
 
 # Names and constants of the agreed tables.
@@ -158,8 +158,9 @@ def run_month(spark: SparkSession, month: str, registry: Iterable[SourceSpec], m
     counted = classified.observe(arrived, F.count(F.lit(1)).alias("raw_rows"),
                                  F.count("reject_reason").alias("rejected_rows"))
     staged_path = scratch_path(spark, f"classified-{month}")
-    (counted.withColumn("usable", F.col("reject_reason").isNull())
-     .write.partitionBy("usable").parquet(staged_path))
+    with unsorted_partitions(spark, 2):
+        (counted.withColumn("usable", F.col("reject_reason").isNull())
+         .write.partitionBy("usable").parquet(staged_path))
     layout = T.StructType([*classified.schema.fields, T.StructField("usable", T.BooleanType())])
     staged = spark.read.schema(layout).parquet(staged_path)
     clean = staged.filter(F.col("usable")).drop("usable", "reject_reason")

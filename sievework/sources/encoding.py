@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import csv
 from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -57,28 +58,31 @@ def encoding_evidence(spark: SparkSession, paths: str | Sequence[str]) -> DataFr
         F.count_if(~F.col("utf8") & ~F.col("cp932")).alias("unreadable_lines"))
 
 
+@contextmanager
+def _split_per_task(spark: SparkSession) -> Iterator[None]:
+    """Scans run inside give every split of a file a task of its own: opening a file counts as much as the largest split."""
+    name = "spark.sql.files.openCostInBytes"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def first_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """(path, first_line): the bytes of the first line of every file.
+    """(path, first_line): the bytes of the first line of every file that has one; as long as the file listing.
 
-    A line is the first of its file if its task began at the file's start and no line came
-    before it; a task reads few files, and only its own first lines leave it.
+    Every split is a task, so the first line of a file is the first row of the task that begins at the file's start.
+    No other line leaves the scan.
     """
     lines = spark.read.text(paths).select(
-        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), F.col("value"))
-
-    def firsts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[str] = set()
-        for batch in batches:
-            keep = []
-            for k, path in enumerate(batch.column(0).to_pylist()):
-                if path not in seen:
-                    seen.add(path)
-                    keep.append(k)
-            if keep:
-                yield pa.RecordBatch.from_arrays([c.take(pa.array(keep)) for c in batch.columns], names=["path", "first_line"])
-
-    return (lines.filter("block = 0").select("path", F.col("value").cast("binary").alias("raw"))
-            .mapInArrow(firsts, "path string, first_line binary"))
+        F.col("_metadata.file_path").alias("path"), F.col("value").cast("binary").alias("first_line"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("position"))
+    with _split_per_task(spark):
+        found = lines.where("block = 0 and position = 0").select("path", "first_line").collect()
+    return spark.createDataFrame(found, "path string, first_line binary")
 
 
 def _header(line: bytes, codec: str, separator: str) -> tuple[str, ...]:
