@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sievework.functions.text import content_key
-from sievework.operators.compare import row_difference
 from sievework.operators.dedup import latest_by
 from sievework.operators.frames import _placed, as_of_join
 from sievework.operators.joins import one_row_per_key
@@ -91,6 +90,17 @@ def versions_path(path: str) -> str:
     return f"{path.rstrip('/')}/versions"
 
 
+def _changed_folders(versions: DataFrame, old: DataFrame) -> DataFrame:
+    """Folders whose rows differ, by their number and 128 bits of hashes, so that no version is shuffled.
+
+    A version occurs once, so hashes that are combined by XOR do not cancel.  NULLs leave a hash alone and are told apart by a list of their own.
+    """
+    values = [F.array(*[F.col(c).isNull() for c in versions.columns]), *[F.col(c) for c in versions.columns]]
+    marks = [F.count(F.lit(1)).alias("rows"), *[F.bit_xor(F.xxhash64(F.lit(k), *values)).alias(f"hash{k}") for k in (1, 2)]]
+    told = versions.groupBy(BUCKET).agg(*marks).unionByName(old.groupBy(BUCKET).agg(*marks))
+    return told.groupBy(BUCKET, "rows", "hash1", "hash2").agg(F.count(F.lit(1)).alias("sides")).where("sides < 2").select(BUCKET).distinct()
+
+
 def merge_versions(batch: DataFrame, path: str, keys: Sequence[str], stamp: str, attributes: Sequence[str], buckets: int, ended: str | None = None) -> int:
     """Merge a batch of entries into the dimension at ``path``; returns how many folders of versions were rewritten.
 
@@ -116,7 +126,7 @@ def merge_versions(batch: DataFrame, path: str, keys: Sequence[str], stamp: str,
     versions = version_history(entries, keys, stamp, attributes, "_ended").withColumn(BUCKET, bucket)
     versions = through_storage(versions, "versions-merged")
     old = read_table(spark, versions_path(path), versions.schema).select(*versions.columns)
-    changed = through_storage(row_difference(versions, null_safe(old, folders, [BUCKET], "left_semi")).select(BUCKET).distinct(), "versions-changed")
-    replace_partitions(null_safe(versions, changed, [BUCKET], "left_semi"), versions_path(path), [BUCKET], rerun=changed)
+    changed = through_storage(_changed_folders(versions, null_safe(old, folders, [BUCKET], "left_semi")), "versions-changed")
+    replace_partitions(null_safe(versions, changed, [BUCKET], "left_semi"), versions_path(path), [BUCKET], rerun=changed, stored=True)
     replace_partitions(entries, f"{path.rstrip('/')}/entries", [BUCKET])
     return changed.count()

@@ -109,11 +109,12 @@ def replace_partition(df: DataFrame, path: str, values: Mapping[str, str],
 
 
 def replace_partitions(df: DataFrame, path: str, by: Sequence[str], agreed: T.StructType | None = None,
-                       rerun: DataFrame | None = None) -> None:
+                       rerun: DataFrame | None = None, stored: bool = False) -> None:
     """Swap in every partition that ``df`` has rows for; all others stay as they are.
 
     ``rerun`` lists the partitions this run is responsible for (one row each).  Those
-    of them without rows in ``df`` are emptied.
+    of them without rows in ``df`` are emptied.  ``stored`` says that ``df`` and ``rerun`` read finished files already,
+    none of them of the table, and need no staging.
     """
     spark = df.sparkSession
     if agreed is not None:
@@ -121,14 +122,14 @@ def replace_partitions(df: DataFrame, path: str, by: Sequence[str], agreed: T.St
     # Rebalancing brings rows of a partition together, so that not every task writes a
     # file into every partition, and splits partitions that are too large for one task.
     rows = df.hint("rebalance", *[F.col(c) for c in by])
-    if rerun is not None:
-        rows = through_storage(rows, "partitions")
+    if rerun is not None and not stored:
+        rows = df = through_storage(rows, "partitions")
         rerun = through_storage(rerun.select(*by).distinct(), "rerun")  # it may be derived from the table
     (rows.write.mode("overwrite").partitionBy(*by)
      .option("partitionOverwriteMode", "dynamic").parquet(path))
     if rerun is not None:
-        for row in null_safe(rerun, rows.select(*by).distinct(), by, "left_anti").collect():
-            clear_partition(spark, path, row.asDict(), rows.schema)
+        for row in null_safe(rerun, df.select(*by).distinct(), by, "left_anti").collect():
+            clear_partition(spark, path, row.asDict(), df.schema)
 
 
 def null_safe(left: DataFrame, right: DataFrame, columns: Sequence[str], how: str) -> DataFrame:
