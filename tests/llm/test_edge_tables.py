@@ -256,3 +256,20 @@ def test_contained_items_of_documents_without_id(spark):
     items = spark.createDataFrame([(1, item), (2, other)], "item_id long, text string")
     got = bag(contamination.contained_items(docs, items), "doc_id", "item_id")
     assert got == Counter({(None, 1): 1, (None, 2): 1, (5, 1): 1, (5, 2): 1})
+
+
+def test_slices_of_signatures_and_pairs_lose_no_link(spark, monkeypatch):
+    """Tables above a slice's size are worked on in slices: signatures, reordering and comparisons give the same components."""
+    passage = " ".join(f"p{k}" for k in range(60))
+    own = [" ".join(f"w{k}x{j}" for j in range(90)) + " " + passage for k in range(40)]
+    texts = own + [t + " extra" for t in own[:12]] + own[:5]
+    table = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    monkeypatch.setattr(jaccard, "SLICE_SHINGLES", 1)
+    monkeypatch.setattr(jaccard, "FREQUENT", 3)
+    used = []
+    monkeypatch.setattr(jaccard, "_slice", lambda column, k, of, f=jaccard._slice: used.append((column, of)) or f(column, k, of))
+    found = {r.doc_id: r.component_id for r in jaccard.similar_components(table).collect()}
+    assert found == {k: k if k < 40 else (k - 40) % 52 if k < 52 else k - 52 for k in range(len(texts))}
+    assert ("sig", jaccard.SLICES) in used
+    kept = sorted(r.doc_id for r in jaccard.one_per_group(table.unionByName(table.where("doc_id < 3"))).collect())
+    assert kept == list(range(40))
