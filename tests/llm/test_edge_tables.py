@@ -273,3 +273,32 @@ def test_slices_of_signatures_and_pairs_lose_no_link(spark, monkeypatch):
     assert ("sig", jaccard.SLICES) in used
     kept = sorted(r.doc_id for r in jaccard.one_per_group(table.unionByName(table.where("doc_id < 3"))).collect())
     assert kept == list(range(40))
+
+
+def test_crowds_of_unlike_sets_make_few_pairs(spark, monkeypatch):
+    """Sets of shared passages only, and sets with a passage of all: few pairs are compared, and a set without a partner leaves no signature."""
+    rng = random.Random(12)
+    passages, common = [sentence(rng, 40) for _ in range(20)], sentence(rng, 40)
+    texts = [" ".join(rng.sample(passages, 4)) for _ in range(200)] + [sentence(rng, 120) + " " + common for _ in range(100)]
+    origin = sentence(rng, 150).split()
+    for _ in range(60):
+        near = list(origin)
+        for _ in range(rng.randint(0, 6)):
+            near[rng.randrange(150)] = sentence(rng, 1)
+        texts.append(" ".join(near))
+    rows, tables, store = Counter(), [], jaccard.Scratch.store
+
+    def counted(self, df, label, replace=False):
+        table = store(self, df, label, replace)
+        rows[label] += table.count()
+        tables.append(label)
+        return table
+
+    monkeypatch.setattr(jaccard, "FREQUENT", 3)
+    monkeypatch.setattr(jaccard.Scratch, "store", counted)
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.similar_components(frame).collect()}
+    sets, roots = brute.similar_groups(texts)
+    assert got == {k: (len(s), r) for k, (s, r) in enumerate(zip(sets, roots))}
+    assert rows["near-pairs"] < 2_000
+    assert len(tables) < 40

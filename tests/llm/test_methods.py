@@ -148,6 +148,24 @@ def test_similar_sets_share_a_first_signature():
             assert all(len(sigs) > k for s in (a, b) for sigs, k in jaccard.signatures(s))
 
 
+def test_parities_keep_similar_pairs():
+    """Sets at the threshold stay, also where their sizes have different numbers of classes; unlike ones go."""
+    rng = np.random.default_rng(5)
+    held, pairs, unlike = [], [], []
+    for n in [1, 3, 7, 16, 31, 32, 33, 48, 64, 100, 128, 129, 400, 1000, 4096]:
+        for _ in range(10):
+            common, cut = rng.integers(0, 2**64, n, dtype=np.uint64), int(rng.integers(0, n // 3 + 1))
+            a = np.unique(np.concatenate([common, rng.integers(0, 2**64, cut, dtype=np.uint64)]))
+            b = np.unique(np.concatenate([common, rng.integers(0, 2**64, n // 3 - cut, dtype=np.uint64)]))
+            pairs.append((len(held), len(held) + 1, len(a) + len(b)))
+            unlike.append((len(held), len(held) + 2, len(a) + n, n))
+            held += [jaccard.parities(a), jaccard.parities(b), jaccard.parities(np.unique(rng.integers(0, 2**64, n, dtype=np.uint64)))]
+    known = jaccard.Parities(held)
+    assert known.near(*np.array(pairs).T).all()
+    far = np.array([x[:3] for x in unlike if x[3] >= 100]).T
+    assert not known.near(*far).any()
+
+
 def test_shingle_sets():
     texts = ["", " ", "a", "A b", "one two three four five", "One two three four five six", "x " * 50, "É é"]
     got = [len(s) for s in jaccard.shingle_sets([t.encode() for t in texts])]
