@@ -13,7 +13,9 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 import brute  # noqa: E402
 
+
 import corpus_pipeline  # noqa: E402
+from sievework.llm import repeats  # noqa: E402
 from test_edge_tables import SCHEMA, CLASH, edge_texts, sentence  # noqa: E402
 
 
@@ -87,3 +89,14 @@ def test_passages_are_counted_in_words(spark, tmp_path):
     docs = spark.createDataFrame([(k, t, len(t)) for k, t in enumerate(texts)], "doc_id long, text string, n_chars long")
     got = {r.doc_id: r.text for r in corpus_pipeline.repeated_passages(spark, docs, str(tmp_path)).collect()}
     assert got == {0: f"{ends[0]} A  B {ends[1]}", 1: f"{ends[2]} C  D {ends[3]}", 2: texts[2], 3: texts[3]}
+
+
+def test_texts_and_their_codes_are_not_stored(spark, monkeypatch):
+    """The third stage's two searches store what they found, not a further copy of all texts or of the codes of their words."""
+    stored, store = [], repeats.through_storage
+    monkeypatch.setattr(repeats, "through_storage", lambda df, label: stored.append((label, df.columns)) or store(df, label))
+    passage = " ".join(f"p{k}" for k in range(60))
+    docs = spark.createDataFrame([(k, f"a{k} b{k} {passage} c{k}") for k in range(3)] + [(3, "other words")], "doc_id long, text string")
+    got = {r.d.doc_id: r.kept_text for r in repeats.without_repeats(docs, ["doc_id"], with_text=True, n_words=51).collect()}
+    assert [got[k].split() for k in range(4)] == [[f"a{k}", f"b{k}", f"c{k}"] for k in range(3)] + [["other", "words"]]
+    assert stored and not [label for label, columns in stored if "text" in columns]
